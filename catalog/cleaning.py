@@ -193,7 +193,7 @@ def error_type(spark, d):
 @query("select model, row_id from prediction_rows where high_confidence_error", "prediction_rows")
 def high_confidence_error(spark, d):
     confidence = exprs.predicted_confidence(F.col("y_pred"), F.col("phishing_probability"))
-    flag = exprs.high_confidence_error(F.col("y_true"), F.col("y_pred"), confidence)
+    flag = exprs.high_confidence_error(F.col("y_true"), F.col("y_pred"), confidence, i.FLAGGED_FROM)
     return i.predictions(spark, d).where(flag).select("model", "row_id")
 
 

@@ -157,15 +157,19 @@ from (
   from weighted_orders)"""
 
 
+# No prediction of this table is wrong with a confidence of 0.80, the usual threshold.
+FLAGGED_FROM = 0.65
+
+
 def prediction_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prediction_table(predictions(spark, sf_dir).drop("p1000"))
+    return prediction_table(predictions(spark, sf_dir).drop("p1000"), FLAGGED_FROM)
 
 
 PREDICTION_ROWS = """
 select *, y_true=y_pred correct,
   case when y_true=-1 and y_pred=-1 then 'true_positive_phishing' when y_true<>-1 and y_pred<>-1 then 'true_negative_legitimate'
        when y_true=-1 then 'false_negative' else 'false_positive' end error_type,
-  y_true<>y_pred and predicted_confidence>=cast(0.8 as double) high_confidence_error
+  y_true<>y_pred and predicted_confidence>=cast(0.65 as double) high_confidence_error
 from (select * exclude (p1000), case when y_pred=-1 then phishing_probability else cast(1 as double)-phishing_probability end predicted_confidence
       from predictions)"""
 

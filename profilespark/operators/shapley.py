@@ -112,10 +112,13 @@ def shapley_contributions(samples: DataFrame, background: DataFrame, nodes: Sequ
 
 
 def contribution_table(contributions: DataFrame, spec: TableSpec) -> DataFrame:
-    """Add absolute value, direction and rank within each sample (one row per feature)."""
+    """Add absolute value, direction and rank within each sample (one row per feature).
+
+    Sums that cancel up to the last bits count as no effect.
+    """
     order = Window.partitionBy(spec.key).orderBy(F.round("absolute_shap_value", 12).desc(), "feature")
     return contributions.withColumns(
-        {"absolute_shap_value": F.abs("shap_value"), "direction": direction(F.col("shap_value"))}
+        {"absolute_shap_value": F.abs("shap_value"), "direction": direction(F.round("shap_value", 12))}
     ).withColumn("rank", F.row_number().over(order))
 
 
