@@ -11,6 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from profilespark.session import materialize
+
 # Leading hex digits of the hash that name a bucket: 65,536 buckets per group.
 BUCKET_DIGITS = 4
 
@@ -30,7 +32,11 @@ def with_order_key(df: DataFrame, seed: Column | int, row_id: str, digits: int =
 
 
 def bucket_counts(keyed: DataFrame, group: Sequence[str]) -> DataFrame:
-    return keyed.groupBy(*group, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    """Rows per bucket of each group, written once: at most 16^digits rows per group.
+
+    Several steps read this table; planned lazily, each would count the rows again.
+    """
+    return materialize(keyed.groupBy(*group, "_bucket").agg(F.count(F.lit(1)).alias("_n")), "buckets")
 
 
 def cut_keys(keyed: DataFrame, buckets: DataFrame, group: Sequence[str], wanted: DataFrame) -> DataFrame:
@@ -82,11 +88,12 @@ def running_totals(cells: DataFrame, group: Sequence[str], digits: Sequence[tupl
 
     ``digits`` are coarse, order-preserving parts of ``order``, most significant
     first. Totals of coarse parts are carried down to finer ones, so each window
-    sees one part only.
+    sees one part only. The cells, one row per distinct value of ``order``, are
+    written once because every level reads them.
     """
     group = list(group)
     names = [name for name, _ in digits]
-    cells = cells.withColumns(dict(digits))
+    cells = materialize(cells.withColumns(dict(digits)), "cells")
     carried = None
     for depth in range(1, len(names) + 1):
         node, parent = group + names[:depth], group + names[: depth - 1]

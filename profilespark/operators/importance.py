@@ -2,21 +2,34 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from profilespark.functions.exprs import rename_and_fill
 from profilespark.functions.ranking import assign_segments, bucket_counts, cut_keys, with_order_key
 from profilespark.operators.quality import require_columns
+from profilespark.session import materialize
 from profilespark.spec import SEED, WEIGHT, TableSpec
 
 REPEATS = 20
 SUMMARY_COLUMNS = (
     "model", "feature", "selected_in_folds", "mean_importance", "std_importance_across_folds", "mean_within_fold_std",
 )
-# Buckets per (fold, feature, repeat): fewer than for a split, because there are many groups.
-PERMUTATION_BUCKET_DIGITS = 2
+# Rows of one (fold, feature, repeat) that may share a hash bucket: the most one task sorts for a cut.
+BUCKET_ROWS = 4_000_000
+
+
+def _tasks() -> int:
+    """As many tasks as the session shuffles into, at least one per core."""
+    spark = SparkSession.active()
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _bucket_digits(rows: int) -> int:
+    """Hex digits that keep buckets under BUCKET_ROWS; there are many groups, so no more than that."""
+    return max(1, math.ceil(math.log(max(rows, 1) / BUCKET_ROWS, 16)))
 
 
 def _bin(value: Column, points: Sequence[float]) -> Column:
@@ -26,13 +39,15 @@ def _bin(value: Column, points: Sequence[float]) -> Column:
 
 
 def permuted_rows(rows: DataFrame, spec: TableSpec, points: dict[str, list[float]], repeats: int = REPEATS,
-                  seed: int = SEED, fold: str = "outer_fold") -> DataFrame:
+                  seed: int = SEED, fold: str = "outer_fold", digits: int = 2) -> DataFrame:
     """Rows with one feature permuted within its fold, for every used feature and repeat.
 
     A model only sees on which side of its split points a value falls. Rows are
     put in seeded hash order per (fold, feature, repeat) and handed the fold's
     values in ascending order: a uniform permutation. The hand-over points are
     exact cut keys, so no row is shuffled to fetch its new value.
+
+    Adds ``_game``, the number of the (feature, repeat) pair: feature-major, from 0.
     """
     n_bins = max(len(p) for p in points.values()) + 1
     bins = rows.select(fold, *[_bin(F.col(f), p).alias(f) for f, p in points.items()])
@@ -41,24 +56,26 @@ def permuted_rows(rows: DataFrame, spec: TableSpec, points: dict[str, list[float
     ).agg(F.count(F.lit(1)))
     count = [F.coalesce(F.col(f"`{b}`"), F.lit(0)) for b in range(1, n_bins + 1)]
     so_far = [sum(count[1:b], count[0]) for b in range(1, n_bins)]
-    repeated = F.explode(F.sequence(F.lit(1), F.lit(repeats)))
+    first_game = (F.array_position(F.array(*[F.lit(f) for f in points]), F.col("_feature")).cast("int") - 1) * repeats
     cuts_at = F.array(*[F.struct(F.lit(b).alias("_cut"), rank.cast("bigint").alias("_rank")) for b, rank in enumerate(so_far, 1)])
-    wanted = sizes.select(fold, "_feature", repeated.alias("_repeat"), cuts_at.alias("_at")).select(
-        fold, "_feature", "_repeat", F.inline("_at")
+    wanted = sizes.select(fold, F.explode(F.sequence(first_game, first_game + repeats - 1)).alias("_game"), cuts_at.alias("_at")).select(
+        fold, "_game", F.inline("_at")
     )
-    copies = rows.withColumn("_feature", F.explode(F.array(*[F.lit(f) for f in points]))).withColumn("_repeat", repeated)
-    seeds = F.concat_ws("/", F.lit(seed) + F.col(fold), F.col("_feature"), F.col("_repeat"))
-    keyed = with_order_key(copies, seeds, spec.key, PERMUTATION_BUCKET_DIGITS)
-    group = [fold, "_feature", "_repeat"]
+    games = F.array(*[
+        F.struct(F.lit(n * repeats + k).alias("_game"), F.lit(f"/{f}/{k + 1}").alias("_name"))
+        for n, f in enumerate(points) for k in range(repeats)
+    ])
+    copies = rows.withColumn("_fold_seed", (F.lit(seed) + F.col(fold)).cast("string")).select("*", F.inline(games))
+    keyed = with_order_key(copies, F.concat("_fold_seed", "_name"), spec.key, digits).drop("_fold_seed", "_name")
+    group = [fold, "_game"]
     cuts = cut_keys(keyed, bucket_counts(keyed, group), group, wanted)
     placed = assign_segments(keyed, group, cuts, n_bins - 1, "_segment")
     changed = {}
-    for feature, split_points in points.items():
+    for n, (feature, split_points) in enumerate(points.items()):
         # Any value of the interval will do: its upper split point, or one past the last.
         inside = F.array(*[F.lit(v) for v in [*split_points, split_points[-1] + 1.0]])
-        changed[feature] = F.when(F.col("_feature") == feature, F.get(inside, F.col("_segment") - 1)).otherwise(
-            F.col(feature).cast("double")
-        )
+        own = F.col("_game").between(n * repeats, (n + 1) * repeats - 1)
+        changed[feature] = F.when(own, F.get(inside, F.col("_segment") - 1)).otherwise(F.col(feature).cast("double"))
     return placed.withColumns(changed).drop("_segment")
 
 
@@ -82,11 +99,18 @@ def permutation_importance(rows: DataFrame, spec: TableSpec, points: dict[str, l
     if not points:
         result = idle
     else:
-        shuffled = predict(permuted_rows(rows, spec, points, repeats, seed, fold)).groupBy(fold, "_feature", "_repeat").agg(
+        # Every row is about to be copied for each feature and repeat: spread the narrow
+        # rows first, so a task does not carry all copies of a large input split.
+        narrow = rows.select(spec.key, fold, *spec.features, spec.target, WEIGHT)
+        spread = materialize(narrow.repartition(_tasks(), spec.key), "held-out")
+        digits = _bucket_digits(spread.count())  # from the file footers
+        shuffled = predict(permuted_rows(spread, spec, points, repeats, seed, fold, digits)).groupBy(fold, "_game").agg(
             right.alias("_permuted")
         )
+        names = F.array(*[F.lit(f) for f in points])
+        feature = F.get(names, F.call_function("div", F.col("_game"), F.lit(repeats)).cast("int"))
         drops = shuffled.join(F.broadcast(base), fold).withColumn("_drop", F.col("_base") - F.col("_permuted"))
-        result = drops.groupBy(fold, F.col("_feature").alias("feature")).agg(
+        result = drops.groupBy(fold, feature.alias("feature")).agg(
             F.avg("_drop").alias("importance_mean"), F.stddev_pop("_drop").alias("importance_std")
         ).unionByName(idle)
     return result.select(F.lit(model).alias("model"), F.col(fold).alias("outer_fold"), "feature", "importance_mean", "importance_std")

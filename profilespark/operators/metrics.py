@@ -80,7 +80,10 @@ def recall(predictions: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def score_masses(predictions: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Positive and negative mass per distinct score, with running totals from the lowest score."""
+    """Positive and negative mass per distinct score, with running totals from the lowest score.
+
+    One pass over the predictions, pre-aggregated before the shuffle.
+    """
     w, pos = prediction_mass(predictions), F.col("y_true") == POSITIVE
     cells = predictions.groupBy(*by, F.col("phishing_probability").alias("score")).agg(
         _sum_where(pos, w).alias("pos"), _sum_where(~pos, w).alias("neg"), F.lit(1).cast("bigint").alias("at")
