@@ -28,8 +28,11 @@ def _tasks() -> int:
 
 
 def _bucket_digits(rows: int) -> int:
-    """Hex digits that keep buckets under BUCKET_ROWS; there are many groups, so no more than that."""
-    return max(1, math.ceil(math.log(max(rows, 1) / BUCKET_ROWS, 16)))
+    """Hex digits that keep buckets under BUCKET_ROWS, and no more: there are many groups.
+
+    Two at least, so that only a small share of the rows lies in a bucket with a cut.
+    """
+    return max(2, math.ceil(math.log(max(rows, 1) / BUCKET_ROWS, 16)))
 
 
 def _bin(value: Column, points: Sequence[float]) -> Column:

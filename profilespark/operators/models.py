@@ -6,11 +6,10 @@ majority ties go to it.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import cached_property
 
-from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
@@ -18,8 +17,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from profilespark.functions.exprs import union_results
 from profilespark.operators.diagnostics import prediction_table
 from profilespark.operators.metrics import accuracy
-from profilespark.operators.selection import MutualInformationSelector
-from profilespark.operators.trees import Node, collapse, cut_leaves, leaf_probability, node_table, predicted_label
+from profilespark.operators.selection import MutualInformationSelector, MutualInformationSelectorModel
+from profilespark.operators.trees import (
+    Node, collapse, count_rows, cut_leaves, leaf_probability, node_table, predicted_label,
+)
+from profilespark.session import materialize
 from profilespark.spec import FAMILIES, SEED, WEIGHT, TableSpec
 
 LABEL = "_label"
@@ -67,21 +69,58 @@ def build_model(family: str, parameters: Mapping[str, object], spec: TableSpec,
     return Pipeline(stages=[MutualInformationSelector(spec=spec, k=k), build_classifier(family, classifier, weighted)])
 
 
+def fits_on_cells(params: Mapping[str, object], weighted: bool) -> bool:
+    """Whether a tree grown on collapsed rows is the tree grown on the rows themselves.
+
+    Impurity only sees summed weights. A minimum leaf size counts rows, which a
+    collapsed table can honour if it asks nothing (1) or if weights are row counts.
+    """
+    return not weighted or int(params.get("min_samples_leaf", 1)) == 1
+
+
+def grow_tree(table: DataFrame, spec: TableSpec, features: Sequence[str], params: Mapping[str, object],
+              weighted: bool) -> tuple[Model, list[Node]]:
+    """Tree on the given features, with the training rows of every node.
+
+    Where it makes no difference, rows are first collapsed to distinct
+    (features, label) cells, so growing costs as much as there are profiles.
+    """
+    selector = MutualInformationSelectorModel(selected=tuple(features), outputCol="features")
+    classifier = build_classifier(FAMILIES[0], params, weighted=True)
+    if not fits_on_cells(params, weighted):
+        if spec.multiplicity:
+            raise ValueError("A minimum leaf size over weighted rows needs the rows, not their cells.")
+        model = classifier.fit(selector.transform(with_label(table, spec)))
+        return model, node_table(model, features)
+    cells = with_label(table, spec).groupBy(*features, LABEL).agg(
+        F.sum(spec.mass).alias(WEIGHT), F.sum(spec.rows).alias("_rows")
+    )
+    cells = selector.transform(materialize(cells, "training-cells"))
+    smallest = int(params.get("min_samples_leaf", 1))
+    classifier = classifier.setMinInstancesPerNode(1)
+    if smallest > 1:
+        # Weights are row counts here; half a row of slack keeps rounding out of the comparison.
+        rows = cells.agg(F.sum("_rows")).first()[0]
+        classifier = classifier.setMinWeightFractionPerNode((smallest - 0.5) / rows)
+    model = classifier.fit(cells)
+    # One number per leaf.
+    in_leaf = model.transform(cells).groupBy("leaf").agg(F.sum("_rows").alias("n")).collect()
+    return model, count_rows(node_table(model, features), {int(r["leaf"]): r["n"] for r in in_leaf})
+
+
 @dataclass(frozen=True)
 class FittedModel:
     """A fitted selector and classifier, with nodes under ``min_split`` rows read as leaves."""
 
-    stages: PipelineModel
+    selector: MutualInformationSelectorModel
+    classifier: Model
+    grown_nodes: list[Node]
     spec: TableSpec
     min_split: int = 2
 
     @property
     def selected(self) -> tuple[str, ...]:
-        return self.stages.stages[0].selected
-
-    @cached_property
-    def grown_nodes(self) -> list[Node]:
-        return node_table(self.stages.stages[-1], self.selected)
+        return self.selector.selected
 
     @property
     def nodes(self) -> list[Node]:
@@ -91,22 +130,43 @@ class FittedModel:
         if self.min_split <= 2:
             return vector_to_array("probability")[0]
         # A single tree gives a number, a forest a vector of them.
-        forest = hasattr(self.stages.stages[-1], "treeWeights")
+        forest = hasattr(self.classifier, "treeWeights")
         leaves = vector_to_array("leaf") if forest else F.array("leaf")
         return leaf_probability(leaves, cut_leaves(self.grown_nodes, min_rows=self.min_split))
 
     def score(self, df: DataFrame) -> DataFrame:
         """Add ``phishing_probability`` and ``y_pred``; a narrow operation."""
-        scored = self.stages.transform(df).withColumn("phishing_probability", self._probability())
+        scored = PipelineModel([self.selector, self.classifier]).transform(df)
+        scored = scored.withColumn("phishing_probability", self._probability())
         added = ["features", "rawPrediction", "probability", "prediction", "leaf"]
         return scored.withColumn("y_pred", predicted_label(F.col("phishing_probability"))).drop(*added)
 
 
+def grow_forest(table: DataFrame, spec: TableSpec, features: Sequence[str], params: Mapping[str, object],
+                weighted: bool) -> tuple[Model, list[Node]]:
+    """Forest on the rows themselves: bootstrap draws rows, so they cannot be collapsed."""
+    selector = MutualInformationSelectorModel(selected=tuple(features), outputCol="features")
+    model = build_classifier(FAMILIES[1], params, weighted).fit(selector.transform(with_label(table, spec)))
+    return model, node_table(model, features)
+
+
+def fit_selected(family: str, parameters: Mapping[str, object], df: DataFrame, spec: TableSpec, features: Sequence[str],
+                 weighted: bool = True) -> FittedModel:
+    """Fit a parameter record on features that are already chosen."""
+    _, params = split_parameters(parameters)
+    if family not in FAMILIES:
+        raise ValueError(f"Unsupported model family: {family!r}. Expected one of {list(FAMILIES)}.")
+    grow = grow_tree if family == FAMILIES[0] else grow_forest
+    model, nodes = grow(df, spec if weighted else spec.with_(weight=None), features, params, weighted)
+    selector = MutualInformationSelectorModel(selected=tuple(features), outputCol="features")
+    return FittedModel(selector, model, nodes, spec, int(params.get("min_samples_split", 2)))
+
+
 def fit(family: str, parameters: Mapping[str, object], df: DataFrame, spec: TableSpec, weighted: bool = True) -> FittedModel:
-    """Fit (or refit) a parameter record on all given rows."""
-    _, classifier = split_parameters(parameters)
-    stages = build_model(family, parameters, spec, weighted).fit(with_label(df, spec))
-    return FittedModel(stages, spec, int(classifier.get("min_samples_split", 2)))
+    """Fit (or refit) a parameter record on all given rows: selection first, then the classifier."""
+    k, _ = split_parameters(parameters)
+    selector = MutualInformationSelector(spec=spec, k=k).fit(df)
+    return fit_selected(family, parameters, df, spec, selector.selected, weighted)
 
 
 def predict(model: FittedModel, df: DataFrame, name: str) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import json
 from collections import defaultdict
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.ml import Model
@@ -165,6 +165,21 @@ def cut_leaves(nodes: Sequence[Node], depth: int | None = None, min_rows: int =
     return values
 
 
+def count_rows(nodes: Sequence[Node], leaf_rows: Mapping[int, int]) -> list[Node]:
+    """One tree with the rows of its nodes added up from the rows of its numbered leaves."""
+    (tree,) = _by_tree(nodes).values()
+    counted: list[Node] = []
+    numbers = iter(range(len(tree)))
+
+    def walk(n: Node) -> int:
+        rows = leaf_rows.get(next(numbers), 0) if n.is_leaf else walk(tree[n.left]) + walk(tree[n.right])
+        counted.append(replace(n, rows=rows))
+        return rows
+
+    walk(_root(tree))
+    return counted
+
+
 def leaf_probability(leaf: Column, values: list[list[float]]) -> Column:
     """Average leaf value of a row, given its array of leaf numbers (one per tree)."""
     table = F.from_json(F.lit(json.dumps(values)), "array<array<double>>")  # folded into one literal

@@ -43,13 +43,14 @@ class SearchPlan:
         return search.random_candidates(spark, self.spaces[family], self.n_iter, seed)
 
 
-def run_search(folded: DataFrame, spec: TableSpec, family: str, plan: SearchPlan, seed: int) -> tuple[DataFrame, dict]:
+def run_search(folded: DataFrame, spec: TableSpec, family: str, plan: SearchPlan, seed: int,
+               weighted: bool = True) -> tuple[DataFrame, dict]:
     """Scored candidates with the one-standard-error choice flagged, and that choice's parameters."""
     spark = SparkSession.active()
     candidates = plan.candidates(spark, family, seed)
     names = sorted(plan.spaces[family])
     records = [r.asDict() for r in candidates.collect()]
-    scores = cv_scores(folded, spec, family, records, plan.n_inner, parallelism=plan.parallelism)
+    scores = cv_scores(folded, spec, family, records, plan.n_inner, weighted=weighted, parallelism=plan.parallelism)
     results = search.cv_results(scores, range(1, plan.n_inner + 1))
     chosen = search.one_se_rule(
         results.join(spark.createDataFrame(records, candidates.schema), "candidate_id"), plan.n_inner
@@ -70,7 +71,7 @@ def _importance(model: FittedModel, held_out: DataFrame, family: str, plan: Sear
     return scores.withColumn("selected", F.col("feature").isin(*model.selected))
 
 
-def nested_cv(folded: DataFrame, spec: TableSpec, family: str, plan: SearchPlan) -> dict[str, DataFrame]:
+def nested_cv(folded: DataFrame, spec: TableSpec, family: str, plan: SearchPlan, weighted: bool = True) -> dict[str, DataFrame]:
     """Search on every outer training set, then score, predict and permute on its held-out fold.
 
     Each fold's tables are written before the next fold starts, so a lost
@@ -81,8 +82,8 @@ def nested_cv(folded: DataFrame, spec: TableSpec, family: str, plan: SearchPlan)
         train = folded.where(F.col("outer_fold") != outer).drop("outer_fold")
         held_out = folded.where(F.col("outer_fold") == outer)
         inner = _inner_folds(train, spec, plan, plan.seed + outer)
-        chosen, best = run_search(inner, spec, family, plan, plan.seed + outer)
-        model = fit(family, best, inner, spec)
+        chosen, best = run_search(inner, spec, family, plan, plan.seed + outer, weighted)
+        model = fit(family, best, inner, spec, weighted)
         searches.append(chosen.withColumn("outer_fold", F.lit(outer)))
         predictions.append(materialize(predict(model, held_out, family), "oof"))
         if plan.repeats:
@@ -105,14 +106,14 @@ def select_model(table: DataFrame, spec: TableSpec, plan: SearchPlan | None = No
     metric = "weighted_accuracy" if weighted else "accuracy"
     folded = materialize(stratified_kfold(table, spec.target, spec.key, plan.n_outer, plan.seed), "outer-folds")
     families = [f for f in FAMILIES if f in plan.spaces]
-    nested = {family: nested_cv(folded, spec, family, plan) for family in families}
+    nested = {family: nested_cv(folded, spec, family, plan, weighted) for family in families}
     stacked = lambda name: union_results([nested[f][name] for f in families])
     scores, predictions = stacked("fold_scores"), stacked("oof_predictions")
     summary = search.nested_summary(scores)
     best = search.best_family(summary).first()["model"]
 
     final = _inner_folds(table, spec, plan, plan.seed)
-    searches = {family: run_search(final, spec, family, plan, plan.seed) for family in families}
+    searches = {family: run_search(final, spec, family, plan, plan.seed, weighted) for family in families}
     chosen, parameters = searches[best]
     names = sorted(plan.spaces[best])
     features = selected_feature_table(mutual_information(table, spec), spec, parameters[search.K])
