@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from catalog import inputs as i
+from catalog.inputs import holdout_sql
 from catalog.registry import query, r, sql_round
 from profilespark.functions import exprs
 from profilespark.operators import dedup, quality, splits
@@ -117,10 +118,10 @@ def quality_report_eda(spark, d):
 @query(_report_sql({**EDA_CHECKS, "missing_values": f"({FEATURE_MISSING})",
                     "absent_labels": "(case when max(case when Result=-1 then 1 else 0 end)=0 then 1 else 0 end"
                                      "+case when max(case when Result=1 then 1 else 0 end)=0 then 1 else 0 end)"},
-                   "(select * from dirty_orders where Result<>1)"), "dirty_orders")
+                   "dirty_orders"), "dirty_orders")
 def quality_report_modelling(spark, d):
-    one_class = i.dirty_orders(spark, d).where("Result <> 1")
-    return quality.quality_report(one_class, i.ORDERS, quality.MODELLING).withColumn("passed", F.col("passed").cast("int"))
+    report = quality.quality_report(i.dirty_orders(spark, d), i.ORDERS, quality.MODELLING)
+    return report.withColumn("passed", F.col("passed").cast("int"))
 
 
 @query(" union all ".join(f"select * from (select '{c}' \"column\", count(*) missing from dirty_orders where {c} is null) where missing>0"
@@ -134,11 +135,12 @@ def duplicate_keys(spark, d):
     return quality.duplicate_keys(i.dirty_orders(spark, d), "row_id")
 
 
-@query("select row_id, Result from order_profiles where row_id%7=0", "order_profiles")
+@query("""select o_orderkey row_id, o_orderstatus from orders where not exists (select 1 from weighted_orders w where w.row_id=o_orderkey)""",
+       "weighted_orders")
 def unaligned_weights(spark, d):
-    rows = i.order_profiles(spark, d).select("row_id", "Result")
-    weights = i.weighted_orders(spark, d).select("row_id", F.when(F.col("row_id") % 7 != 0, F.col("sample_weight")).alias("sample_weight"))
-    return quality.unaligned_weights(rows, weights, "row_id")
+    """Orders without lines have no weight."""
+    rows = i.table(spark, d, "orders").select(F.col("o_orderkey").alias("row_id"), "o_orderstatus")
+    return quality.unaligned_weights(rows, i.weighted_orders(spark, d).select("row_id", "sample_weight"), "row_id")
 
 
 @query("""select 'left' side, count(*) duplicate_keys from (select row_id from dirty_orders group by row_id having count(*)>1)
@@ -168,9 +170,11 @@ def split_features_target(spark, d):
     return exprs.split_features_target(i.order_profiles(spark, d), i.ORDERS)
 
 
-@query("select row_id, Result from weighted_orders where outer_fold=3", "weighted_orders")
+@query("select row_id, Result, cast(f.i as int) outer_fold from weighted_orders join (select unnest(range(1,11)) i) f on f.i<>outer_fold", "weighted_orders")
 def select_rows(spark, d):
-    return i.weighted_orders(spark, d).where(F.col("outer_fold") == 3).select("row_id", "Result")
+    """The training rows of every fold."""
+    rows = i.weighted_orders(spark, d).select("row_id", "Result", "outer_fold")
+    return splits.training_rows(rows, 10)
 
 
 @query("select model, row_id, cast(case when y_true=-1 then 1 else 0 end as int) y_binary from predictions", "predictions")
@@ -282,16 +286,6 @@ def unique_profiles(spark, d):
 
 # --- E: splits and folds --------------------------------------------------------------------------------------------
 
-def holdout_sql(source: str, key: str = "row_id", test_size: float = 0.2, seed: int = 42) -> str:
-    return f"""
-select s.* exclude (rn), case when rn <= base + case when place <= missing then 1 else 0 end then 'train' else 'test' end split
-from (select *, row_number() over (partition by Result order by md5('{seed}:'||{key})) rn from {source}) s
-join (select Result, base, row_number() over (order by rest desc, Result) place, n_train-sum(base) over () missing
-      from (select Result, n_train, c*n_train//n base, (c*n_train)%n rest
-            from (select Result, c, n, n-cast(ceil(cast({test_size} as double)*n) as bigint) n_train
-                  from (select Result, count(*)::hugeint c, sum(count(*)) over () n from {source} group by Result)))) a using (Result)"""
-
-
 def kfold_sql(source: str, k: int, seed: str, out: str, within: str = "", label: str = "Result", key: str = "row_id") -> str:
     """Folds as contiguous ranges of the hash order within each class, sized by dealing class positions in turn."""
     group = f"{within}, " if within else ""

@@ -14,7 +14,7 @@ from profilespark.sources import tables
 
 SCORE = i.tree_score_sql()
 USED = ("f_disc", "f_lines", "f_prio", "f_qty", "f_returns")
-REPEATS = 3
+REPEATS = 20
 
 
 def _predict(df):
@@ -61,7 +61,7 @@ def permutation_importance(spark, d):
     return rounded(_importance(spark, d), "importance_mean", "importance_std", digits=8)
 
 
-SUMMARY = f"""select 'Decision Tree' model, feature, cast(sum(case when feature<>'f_status' and outer_fold%2=0 then 1 else 0 end) as bigint) selected_in_folds,
+SUMMARY = f"""select 'Decision Tree' model, feature, cast(sum(case when feature<>'f_status' then 1 else 0 end) as bigint) selected_in_folds,
     avg(importance_mean) mean_importance, stddev_samp(importance_mean) std_importance_across_folds, avg(importance_std) mean_within_fold_std
   from ({IMPORTANCE}) group by feature"""
 SUMMARY_NAMES = ("mean_importance", "std_importance_across_folds", "mean_within_fold_std")
@@ -69,7 +69,7 @@ SUMMARY_NAMES = ("mean_importance", "std_importance_across_folds", "mean_within_
 
 def _summary(spark, d):
     scores = _importance(spark, d)
-    return importance.importance_summary(scores.withColumn("selected", (F.col("feature") != "f_status") & (F.col("outer_fold") % 2 == 0)))
+    return importance.importance_summary(scores.withColumn("selected", F.col("feature").isin(*USED)))
 
 
 @query(f"select model, feature, selected_in_folds, {', '.join(f'{sql_round(n, 8)} {n}' for n in SUMMARY_NAMES)} from ({SUMMARY})", "weighted_orders")
@@ -124,21 +124,21 @@ def _shapley_sql() -> str:
 SHAPLEY = _shapley_sql()
 
 
-def _contributions(spark, d):
+def _explained(spark, d):
     rows = i.order_profiles(spark, d)
-    return shapley.shapley_contributions(rows, background_sample(rows, "row_id"), i.ORDER_TREES, i.ORDERS)
+    return shapley.explained_rows(rows, background_sample(rows, "row_id"), i.ORDER_TREES, i.ORDERS)
 
 
 @query(f"{SHAPLEY} select row_id, feature, feature_value, {sql_round('shap_value', 9)} shap_value from contributions", "order_profiles")
 def shapley_contributions(spark, d):
-    return rounded(_contributions(spark, d), "shap_value", digits=9)
+    return rounded(shapley.shapley_contributions(_explained(spark, d), i.ORDERS), "shap_value", digits=9)
 
 
 @query(f"""{SHAPLEY} select row_id, feature, feature_value, {sql_round('shap_value', 9)} shap_value, {sql_round('abs(shap_value)', 9)} absolute_shap_value,
   case when round(shap_value,12)>0 then 'increases_phishing_probability' when round(shap_value,12)<0 then 'decreases_phishing_probability' else 'no_effect' end direction,
   cast(row_number() over (partition by row_id order by round(abs(shap_value),12) desc, feature) as int) rank from contributions""", "order_profiles")
 def contribution_table(spark, d):
-    return rounded(shapley.contribution_table(_contributions(spark, d), i.ORDERS), "shap_value", "absolute_shap_value", digits=9)
+    return rounded(shapley.contribution_table(_explained(spark, d), i.ORDERS), "shap_value", "absolute_shap_value", digits=9)
 
 
 @query(f"""{SHAPLEY}, base as (select avg({SCORE}) b, count(*) n from (select * from order_profiles order by md5('42:'||row_id) limit 500))
@@ -148,6 +148,6 @@ def contribution_table(spark, d):
   from (select row_id, {SCORE} p from order_profiles) join (select row_id, sum(shap_value) s from contributions group by row_id) using (row_id) cross join base""",
        "order_profiles")
 def explanation_summary(spark, d):
-    rows = i.order_profiles(spark, d)
-    table = shapley.explanation_summary(_contributions(spark, d), rows, background_sample(rows, "row_id"), i.ORDER_TREES, i.ORDERS)
+    background = background_sample(i.order_profiles(spark, d), "row_id")
+    table = shapley.explanation_summary(_explained(spark, d), background, i.ORDER_TREES, i.ORDERS)
     return rounded(table, "explained_phishing_probability", "base_value", "sum_of_shap_values", "reconstructed_probability", "absolute_additivity_error")

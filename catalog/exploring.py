@@ -46,9 +46,9 @@ def dataset_statistics(spark, d):
     return eda.dataset_statistics(i.weighted_orders(spark, d), i.WEIGHTED_ORDERS)
 
 
-@query(statistics_sql("dirty_orders", i.ORDER_FEATURES, "1"), "dirty_orders")
-def dataset_statistics_dirty(spark, d):
-    return eda.dataset_statistics(i.dirty_orders(spark, d), i.ORDERS)
+@query(statistics_sql("orders_with_gaps", i.ORDER_FEATURES, "1"), "orders_with_gaps")
+def dataset_statistics_with_gaps(spark, d):
+    return eda.dataset_statistics(i.orders_with_gaps(spark, d), i.ORDERS)
 
 
 def _conflicts(source: str, features: tuple[str, ...]) -> str:
@@ -63,13 +63,12 @@ def conflicting_profiles(spark, d):
 
 
 SAME = " and ".join(f"o.{c} is not distinct from p.{c}" for c in i.ORDER_FEATURES)
-TWO_LABELS = "(select * from dirty_orders where Result<>0)"
 
 
-@query(f"select o.* from {TWO_LABELS} o where exists (select 1 from ({_conflicts(TWO_LABELS, i.ORDER_FEATURES)}) p where {SAME})",
-       "dirty_orders")
+@query(f"select o.* from orders_with_gaps o where exists (select 1 from ({_conflicts('orders_with_gaps', i.ORDER_FEATURES)}) p where {SAME})",
+       "orders_with_gaps")
 def conflicting_rows(spark, d):
-    return eda.conflicting_rows(i.dirty_orders(spark, d).where("Result <> 0"), i.ORDERS)
+    return eda.conflicting_rows(i.orders_with_gaps(spark, d), i.ORDERS)
 
 
 @query(f"""with c as ({_conflicts('order_profiles', i.ORDER_FEATURES)})
@@ -136,9 +135,9 @@ def class_distribution(spark, d):
     return rounded(eda.class_distribution(i.weighted_orders(spark, d), i.WEIGHTED_ORDERS), "percentage")
 
 
-@query(distribution_sql("dirty_orders", i.ORDER_FEATURES, "1"), "dirty_orders")
-def class_distribution_dirty(spark, d):
-    return rounded(eda.class_distribution(i.dirty_orders(spark, d), i.ORDERS), "percentage")
+@query(distribution_sql("orders_with_gaps", i.ORDER_FEATURES, "1"), "orders_with_gaps")
+def class_distribution_with_gaps(spark, d):
+    return rounded(eda.class_distribution(i.orders_with_gaps(spark, d), i.ORDERS), "percentage")
 
 
 @query(f"""select d.*, mi_rank, cast(ceil(mi_rank/2.0) as int) page from ({distribution_sql('order_profiles', i.ORDER_FEATURES, '1')}) d

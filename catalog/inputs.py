@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from profilespark.operators.diagnostics import prediction_table
 from profilespark.operators.search import DECISION_TREE_SPACE, RANDOM_FOREST_SPACE, grid_candidates, random_candidates
+from profilespark.operators.splits import stratified_holdout
 from profilespark.operators.trees import Node
 from profilespark.spec import FAMILIES, TableSpec
 
@@ -31,6 +32,15 @@ def _steps(value: Column, low: Column, high: Column) -> Column:
     return F.when(low, -1).when(high, 0).otherwise(1).cast("int")
 
 
+def _order_columns() -> list[Column]:
+    status = F.col("o_orderstatus")
+    return [
+        _steps(status, status == "F", status == "P").alias("f_status"),
+        F.when(F.substring("o_orderpriority", 1, 1) <= "2", 1).otherwise(-1).cast("int").alias("f_prio"),
+        F.when(F.col("o_totalprice") >= 250000, 1).otherwise(-1).cast("int").alias("Result"),
+    ]
+
+
 def order_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
         F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("q"), F.max("l_discount").alias("md"),
@@ -38,16 +48,13 @@ def order_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     orders = table(spark, sf_dir, "orders")
     n, q, md, ret = F.col("n"), F.col("q"), F.col("md"), F.col("returned")
-    status = F.col("o_orderstatus")
     return orders.join(lines, orders["o_orderkey"] == lines["l_orderkey"]).select(
         F.col("o_orderkey").cast("bigint").alias("row_id"),
         _steps(n, n <= 2, n <= 5).alias("f_lines"),
         _steps(q, q < 60, q < 120).alias("f_qty"),
         _steps(ret, ret == 0, ret == 1).alias("f_returns"),
         _steps(md, md < 0.05, md < 0.08).alias("f_disc"),
-        _steps(status, status == "F", status == "P").alias("f_status"),
-        F.when(F.substring("o_orderpriority", 1, 1) <= "2", 1).otherwise(-1).cast("int").alias("f_prio"),
-        F.when(F.col("o_totalprice") >= 250000, 1).otherwise(-1).cast("int").alias("Result"),
+        *_order_columns(),
     )
 
 
@@ -108,24 +115,28 @@ WEIGHTED_ORDERS_SQL = """
 select *, cast(row_id%3+1 as double) sample_weight, cast(row_id%10+1 as int) outer_fold from order_profiles"""
 
 
+def orders_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order keyed by customer: orders without lines lack features, customers repeat."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer"), *_order_columns())
+    lines = order_profiles(spark, sf_dir).select(F.col("row_id").alias("order_id"), *ORDER_FEATURES[:4])
+    return orders.join(lines, "order_id", "left").select(F.col("customer").alias("row_id"), *ORDER_FEATURES, "Result")
+
+
+ORDERS_WITH_GAPS = """
+select o_custkey row_id, f_lines, f_qty, f_returns, f_disc,
+  cast(case o_orderstatus when 'F' then -1 when 'P' then 0 else 1 end as int) f_status,
+  cast(case when substr(o_orderpriority,1,1)<='2' then 1 else -1 end as int) f_prio,
+  cast(case when o_totalprice>=250000 then 1 else -1 end as int) Result
+from orders left join (select row_id, f_lines, f_qty, f_returns, f_disc from order_profiles) l on l.row_id=o_orderkey"""
+
+
 def dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order profiles with missing cells, foreign labels and repeated keys."""
-    row = F.col("row_id")
-    return order_profiles(spark, sf_dir).withColumns(
-        {
-            "f_disc": F.when(row % 97 != 0, F.col("f_disc")),
-            "f_qty": F.when(row % 89 != 0, F.col("f_qty")),
-            "Result": F.when(row % 101 == 0, 0).otherwise(F.col("Result")).cast("int"),
-            "row_id": F.when(row % 50 == 0, row + 1).otherwise(row),
-        }
-    )
+    """Orders with gaps whose pending ones carry a foreign label."""
+    return orders_with_gaps(spark, sf_dir).withColumn("Result", F.when(F.col("f_status") == 0, 0).otherwise(F.col("Result")).cast("int"))
 
 
 DIRTY_ORDERS = """
-select case when row_id%50=0 then row_id+1 else row_id end row_id, f_lines,
-  case when row_id%89<>0 then f_qty end f_qty, f_returns, case when row_id%97<>0 then f_disc end f_disc,
-  f_status, f_prio, cast(case when row_id%101=0 then 0 else Result end as int) Result
-from order_profiles"""
+select * exclude (Result), cast(case when f_status=0 then 0 else Result end as int) Result from orders_with_gaps"""
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,11 +186,24 @@ from (select * exclude (p1000), case when y_pred=-1 then phishing_probability el
 
 
 def sided_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Predictions split into a training and a test side."""
-    return prediction_rows(spark, sf_dir).withColumn("split", F.when(F.col("row_id") % 5 == 0, "test").otherwise("train"))
+    """Predictions with the side of a stratified holdout their row is on."""
+    sides = stratified_holdout(order_profiles(spark, sf_dir).select("row_id", "Result"), "Result", "row_id").select("row_id", "split")
+    return prediction_rows(spark, sf_dir).join(sides, "row_id")
+
+
+def holdout_sql(source: str, key: str = "row_id", test_size: float = 0.2, seed: int = 42) -> str:
+    """Holdout by ranking whole classes; classes get their share by largest remainder."""
+    return f"""
+select s.* exclude (rn), case when rn <= base + case when place <= missing then 1 else 0 end then 'train' else 'test' end split
+from (select *, row_number() over (partition by Result order by md5('{seed}:'||{key})) rn from {source}) s
+join (select Result, base, row_number() over (order by rest desc, Result) place, n_train-sum(base) over () missing
+      from (select Result, n_train, c*n_train//n base, (c*n_train)%n rest
+            from (select Result, c, n, n-cast(ceil(cast({test_size} as double)*n) as bigint) n_train
+                  from (select Result, count(*)::hugeint c, sum(count(*)) over () n from {source} group by Result)))) a using (Result)"""
 
 
-SIDED_PREDICTIONS = "select *, case when row_id%5=0 then 'test' else 'train' end split from prediction_rows"
+SIDED_PREDICTIONS = f"""select p.*, split from prediction_rows p
+  join (select row_id, split from ({holdout_sql('order_profiles')})) s using (row_id)"""
 
 # ---------------------------------------------------------------------------
 # Search scores. Each candidate labels rows at its own operating point, a score
@@ -337,7 +361,8 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
     "order_profiles": (ORDER_PROFILES, ()),
     "document_quality": (DOCUMENT_QUALITY, ()),
     "weighted_orders": (WEIGHTED_ORDERS_SQL, ("order_profiles",)),
-    "dirty_orders": (DIRTY_ORDERS, ("order_profiles",)),
+    "orders_with_gaps": (ORDERS_WITH_GAPS, ("order_profiles",)),
+    "dirty_orders": (DIRTY_ORDERS, ("orders_with_gaps",)),
     "predictions": (PREDICTIONS, ("weighted_orders",)),
     "prediction_rows": (PREDICTION_ROWS, ("predictions",)),
     "sided_predictions": (SIDED_PREDICTIONS, ("prediction_rows",)),

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from catalog import inputs as i
 from catalog.registry import query, r, rounded, sql_round
 from profilespark.operators import diagnostics, metrics
-from profilespark.operators.search import best_family, nested_summary
 
 BY = ["model", "outer_fold"]
 
@@ -83,12 +82,10 @@ def roc_curve_all_points(spark, d):
 @query(f"""select m.model, t.y y_true, p.y y_pred, coalesce(mass, cast(0 as double)) mass,
     {sql_round('coalesce(100*mass/sum(mass) over (partition by m.model, t.y), 0)')} row_percentage
   from (select distinct model from predictions) m cross join (values (-1),(1)) t(y) cross join (values (-1),(1)) p(y)
-  left join (select model, y_true, y_pred, sum(sample_weight) mass from predictions where y_true=1 or y_pred=-1 group by all) c
+  left join (select model, y_true, y_pred, sum(sample_weight) mass from predictions group by all) c
     on c.model=m.model and c.y_true=t.y and c.y_pred=p.y""", "predictions")
 def confusion_matrix(spark, d):
-    # Without the false negatives, so one cell is empty and must still be listed.
-    kept = i.predictions(spark, d).where("y_true = 1 or y_pred = -1")
-    return rounded(metrics.confusion_matrix(kept, ["model"]), "row_percentage")
+    return rounded(metrics.confusion_matrix(i.predictions(spark, d), ["model"]), "row_percentage")
 
 
 NAMES = ("accuracy", "phishing_precision", "phishing_recall", "macro_f1", "roc_auc")
@@ -167,8 +164,7 @@ def oof_predictions(spark, d):
 
 @query(f"select {PREDICTION_COLUMNS} from sided_predictions where split='test'", "sided_predictions")
 def test_predictions(spark, d):
-    scored = i.predictions(spark, d).where("row_id % 5 = 0").drop("p1000", "outer_fold")
-    return _flags(diagnostics.prediction_table(scored, i.FLAGGED_FROM))
+    return _flags(i.sided_predictions(spark, d).where("split = 'test'").drop("split", "outer_fold"))
 
 
 RATES = ("weighted_false_negative_rate", "weighted_false_positive_rate", "weighted_error_rate")
@@ -231,28 +227,3 @@ def wilcoxon_paired(spark, d):
     long = folds.unpivot(["model", "outer_fold"], list(NAMES), "metric", "score")
     tests = diagnostics.wilcoxon_paired(diagnostics.fold_pivot(long, ["metric"], "score"), ["metric"])
     return tests.withColumns({"p_value": r("p_value", 10), "mean_paired_difference_rf_minus_dt": r("mean_paired_difference_rf_minus_dt")})
-
-
-# --- I8 - I10 over the same fold metrics ----------------------------------------------------------------------------
-
-SUMMARY_METRICS = ("accuracy", "phishing_precision", "phishing_recall", "roc_auc")
-SUMMARY = f"""select model, {', '.join(f'avg({m}) {m}_mean, stddev_samp({m}) {m}_std' for m in SUMMARY_METRICS)},
-    avg(selected) mean_selected_features, stddev_samp(selected) std_selected_features
-  from (select *, outer_fold%3+4 selected from ({METRICS_SQL})) group by model"""
-SUMMARY_NAMES = [f"{m}_{s}" for m in SUMMARY_METRICS for s in ("mean", "std")] + ["mean_selected_features", "std_selected_features"]
-SUMMARY_ROUNDED = ", ".join(f"{sql_round(n)} {n}" for n in SUMMARY_NAMES)
-
-
-def _nested(spark, d):
-    folds = metrics.classification_metrics(i.predictions(spark, d), BY)
-    return nested_summary(folds.withColumn("selected_feature_count", F.col("outer_fold") % 3 + 4))
-
-
-@query(f"select model, {SUMMARY_ROUNDED} from ({SUMMARY})", "predictions")
-def nested_cv_summary(spark, d):
-    return rounded(_nested(spark, d), *SUMMARY_NAMES)
-
-
-@query(f"select model, {SUMMARY_ROUNDED} from ({SUMMARY}) order by accuracy_mean desc, model limit 1", "predictions")
-def best_model_family(spark, d):
-    return rounded(best_family(_nested(spark, d)), *SUMMARY_NAMES)

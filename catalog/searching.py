@@ -14,7 +14,7 @@ from catalog.measuring import BY, METRICS_SQL
 from catalog.registry import query, r, rounded, sql_round
 from profilespark.functions.exprs import union_results
 from profilespark.operators import cross_validation, metrics, search
-from profilespark.operators.splits import kfold
+from profilespark.operators.splits import repeated_kfold
 from profilespark.sources import tables
 from profilespark.spec import FAMILIES
 
@@ -104,6 +104,25 @@ def fold_scores(spark, d):
     return rounded(_fold_scores(spark, d), *SCORE_NAMES)
 
 
+SUMMARY_METRICS = ("accuracy", "phishing_precision", "phishing_recall", "roc_auc")
+SUMMARY = f"""select model, {', '.join(f'avg({m}) {m}_mean, stddev_samp({m}) {m}_std' for m in SUMMARY_METRICS)},
+    avg(selected_feature_count) mean_selected_features, stddev_samp(selected_feature_count) std_selected_features
+  from ({FOLD_SCORES}) group by model"""
+SUMMARY_NAMES = [f"{m}_{s}" for m in SUMMARY_METRICS for s in ("mean", "std")] + ["mean_selected_features", "std_selected_features"]
+SUMMARY_ROUNDED = ", ".join(f"{sql_round(n)} {n}" for n in SUMMARY_NAMES)
+FOLD_INPUTS = ("predictions", "tree_fold_chosen", "forest_fold_chosen")
+
+
+@query(f"select model, {SUMMARY_ROUNDED} from ({SUMMARY})", *FOLD_INPUTS)
+def nested_cv_summary(spark, d):
+    return rounded(search.nested_summary(_fold_scores(spark, d)), *SUMMARY_NAMES)
+
+
+@query(f"select model, {SUMMARY_ROUNDED} from ({SUMMARY}) order by accuracy_mean desc, model limit 1", *FOLD_INPUTS)
+def best_model_family(spark, d):
+    return rounded(search.best_family(search.nested_summary(_fold_scores(spark, d))), *SUMMARY_NAMES)
+
+
 def json_sql(names: list[str], text: set[str]) -> str:
     """JSON text of the parameters, names sorted, words quoted."""
     def value(n: str) -> str:
@@ -202,9 +221,7 @@ N_TRIAL_SPLITS = 4
 
 def _trial_scores(spark, d):
     rows = i.predictions(spark, d).where(F.col("model") == TREE)
-    dealt = union_results([
-        kfold(rows, "row_id", N_TRIAL_SPLITS, t, "split").withColumn("trial", F.lit(t)) for t in TRIALS
-    ])
+    dealt = repeated_kfold(rows, "row_id", TRIALS, N_TRIAL_SPLITS, "split")
     by = ["trial", "split"]
     at = i.candidates(spark, TREE).select("candidate_id", i.operating_point(F.col("candidate_id")).alias("threshold"))
     return i.threshold_scores(i._histogram(dealt, by), by).join(F.broadcast(at), "threshold").select(*by, "candidate_id", "score")

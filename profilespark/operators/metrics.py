@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from profilespark.functions.exprs import safe_ratio
 from profilespark.functions.ranking import running_totals, unit_digits
+from profilespark.session import materialize
 from profilespark.spec import FAMILIES, NEGATIVE, POSITIVE, WEIGHT
 
 METRICS = ("macro_f1", "phishing_precision", "phishing_recall", "accuracy", "roc_auc")
@@ -139,9 +140,18 @@ def confusion_matrix(predictions: DataFrame, by: Sequence[str]) -> DataFrame:
     return masses.select(*by, F.inline(F.array(*cells)))
 
 
+def collapse_predictions(predictions: DataFrame, by: Sequence[str]) -> DataFrame:
+    """A prediction table with one weighted row per distinct (truth, label, score), written once."""
+    cells = predictions.groupBy(*by, "y_true", "y_pred", "phishing_probability").agg(
+        F.sum(prediction_mass(predictions)).alias(WEIGHT)
+    )
+    return materialize(cells, "outcomes")
+
+
 def classification_metrics(predictions: DataFrame, by: Sequence[str]) -> DataFrame:
-    """The five metrics in one row per group."""
+    """The five metrics in one row per group, from one pass over the predictions."""
     by = list(by)
+    predictions = collapse_predictions(predictions, by)
     columns = {
         "macro_f1": macro_f1_column(), "phishing_precision": precision_column(),
         "phishing_recall": recall_column(), "accuracy": accuracy_column(),

@@ -16,7 +16,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from profilespark.functions.exprs import direction
 from profilespark.operators.trees import Node, leaf_conditions, predicted_label, score_expression, used_features
@@ -83,24 +83,24 @@ def shapley_by_profile(samples: DataFrame, background: DataFrame, nodes: Sequenc
     return sample_profiles.drop("_n").join(scaled, "_profile").drop("_profile")
 
 
-def shapley_contributions(samples: DataFrame, background: DataFrame, nodes: Sequence[Node], spec: TableSpec,
-                          selected: Sequence[str] | None = None) -> DataFrame:
-    """``row key, feature, feature_value, shap_value`` for every sample row and selected feature.
+def explained_rows(samples: DataFrame, background: DataFrame, nodes: Sequence[Node], spec: TableSpec,
+                   selected: Sequence[str] | None = None) -> DataFrame:
+    """Key and features of every sample row with its ``contributions``, an array of
+    ``(feature, feature_value, shap_value)`` over the selected features.
 
-    Selected features the model never splits on contribute exactly 0.
+    Selected features the model never splits on contribute exactly 0. One row
+    per sample, so ranking and summing need no further shuffle.
     """
     features = used_features(nodes)
     selected = list(spec.features if selected is None else selected)
-    keyed = samples.select(spec.key, *spec.features)
-    if not features:
-        wide = keyed
-    else:
+    rows = samples.select(spec.key, *spec.features)
+    if features:
         by_profile = shapley_by_profile(samples, background, nodes, samples.sparkSession)
         renamed = by_profile.withColumnsRenamed({f: f"_p_{f}" for f in features})
         same = [F.col(f).cast("double") == F.col(f"_p_{f}") for f in features]
         # One profile row per sample: adaptive execution broadcasts the profiles when
         # they are measured small and splits a hot profile otherwise.
-        wide = keyed.join(renamed, same).drop(*[f"_p_{f}" for f in features])
+        rows = rows.join(renamed, same).drop(*[f"_p_{f}" for f in features])
     cells = [
         F.struct(
             F.lit(f).alias("feature"), F.col(f).cast("double").alias("feature_value"),
@@ -108,32 +108,45 @@ def shapley_contributions(samples: DataFrame, background: DataFrame, nodes: Sequ
         )
         for f in selected
     ]
-    return wide.select(spec.key, F.inline(F.array(*cells)))
+    return rows.select(spec.key, *spec.features, F.array(*cells).alias("contributions"))
 
 
-def contribution_table(contributions: DataFrame, spec: TableSpec) -> DataFrame:
-    """Add absolute value, direction and rank within each sample (one row per feature).
+def shapley_contributions(explained: DataFrame, spec: TableSpec) -> DataFrame:
+    """``row key, feature, feature_value, shap_value`` for every sample row and selected feature."""
+    return explained.select(spec.key, F.inline("contributions"))
+
+
+def contribution_table(explained: DataFrame, spec: TableSpec) -> DataFrame:
+    """Contributions with absolute value, direction and rank within the sample.
 
     Sums that cancel up to the last bits count as no effect.
     """
-    order = Window.partitionBy(spec.key).orderBy(F.round("absolute_shap_value", 12).desc(), "feature")
-    return contributions.withColumns(
-        {"absolute_shap_value": F.abs("shap_value"), "direction": direction(F.round("shap_value", 12))}
-    ).withColumn("rank", F.row_number().over(order))
+    def order(c: Column) -> Column:
+        return F.struct(-F.round(F.abs(c["shap_value"]), 12), c["feature"], c["feature_value"], c["shap_value"])
+
+    ranked = F.array_sort(F.transform("contributions", order))
+    value = F.col("_c.shap_value")
+    return explained.select(spec.key, F.posexplode(ranked).alias("_position", "_c")).select(
+        spec.key,
+        (F.col("_position") + 1).alias("rank"),
+        F.col("_c.feature").alias("feature"),
+        F.col("_c.feature_value").alias("feature_value"),
+        value.alias("shap_value"),
+        F.abs(value).alias("absolute_shap_value"),
+        direction(F.round(value, 12)).alias("direction"),
+    )
 
 
-def explanation_summary(contributions: DataFrame, samples: DataFrame, background: DataFrame, nodes: Sequence[Node],
-                        spec: TableSpec) -> DataFrame:
+def explanation_summary(explained: DataFrame, background: DataFrame, nodes: Sequence[Node], spec: TableSpec) -> DataFrame:
     """Prediction, base value, sum of contributions and additivity error per sample."""
     score = score_expression(nodes)
     base = background.agg(F.avg(score).alias("base_value"), F.count(F.lit(1)).alias("background_size"))
-    sums = contributions.groupBy(spec.key).agg(F.sum("shap_value").alias("sum_of_shap_values"))
-    scored = samples.select(spec.key, score.alias("explained_phishing_probability"))
-    joined = scored.join(sums, spec.key).withColumn("_k", F.lit(0)).join(
-        F.broadcast(base.withColumn("_k", F.lit(0))), "_k"  # one row
-    )
+    total = F.aggregate("contributions", F.lit(0.0), lambda a, c: a + c["shap_value"])
+    rows = explained.select(
+        spec.key, score.alias("explained_phishing_probability"), total.alias("sum_of_shap_values"), F.lit(0).alias("_k")
+    ).join(F.broadcast(base.withColumn("_k", F.lit(0))), "_k")  # one row
     rebuilt = F.col("base_value") + F.col("sum_of_shap_values")
-    return joined.select(
+    return rows.select(
         spec.key,
         predicted_label(F.col("explained_phishing_probability")).alias("predicted_class"),
         F.lit(POSITIVE).alias("explained_class"),

@@ -7,6 +7,8 @@ are never shuffled or sorted: only the handful of cut keys is.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from profilespark.functions.ranking import assign_segments, bucket_counts, cut_keys, with_order_key
@@ -94,6 +96,13 @@ def kfold(df: DataFrame, row_id: str, k: int = 4, seed: int = 0, out: str = "fol
     return stratified_kfold(df.withColumn("_stratum", F.lit(0)), "_stratum", row_id, k, seed, out).drop("_stratum")
 
 
+def repeated_kfold(df: DataFrame, row_id: str, seeds: Sequence[int], k: int = 4, out: str = "fold") -> DataFrame:
+    """Shuffled folds for several trials in one job; ``trial`` is the seed."""
+    trials = F.explode(F.array(*[F.lit(s) for s in seeds]))
+    copies = df.withColumn("trial", trials).withColumn("_stratum", F.lit(0))
+    return stratified_kfold(copies, "_stratum", row_id, k, F.col("trial"), out, ("trial",)).drop("_stratum")
+
+
 def background_sample(df: DataFrame, row_id: str, size: int = BACKGROUND_SIZE, seed: int = SEED) -> DataFrame:
     """min(size, n) rows without replacement: the first ones in hash order (a top-k plan)."""
     keyed = with_order_key(df, seed, row_id)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from profilespark.operators.importance import importance_rank, importance_topn
 from profilespark.operators.models import fit
-from profilespark.operators.shapley import contribution_table, explanation_summary, shapley_contributions
+from profilespark.operators.shapley import contribution_table, explained_rows, explanation_summary
 from profilespark.operators.splits import BACKGROUND_SIZE, background_sample
 from profilespark.session import materialize
 from profilespark.spec import TableSpec
@@ -18,11 +18,11 @@ def explain(dev: DataFrame, samples: DataFrame, spec: TableSpec, family: str, pa
     model = fit(family, parameters, dev, spec)
     background = materialize(background_sample(dev, spec.key, background_size), "background")
     nodes = model.nodes
-    contributions = materialize(shapley_contributions(samples, background, nodes, spec, model.selected), "contributions")
+    explained = materialize(explained_rows(samples, background, nodes, spec, model.selected), "explained")
     ranked = importance_rank(importance_summary, family)
     return {
         "importance_rank": ranked,
         "importance_topn": importance_topn(ranked),
-        "contributions": contribution_table(contributions, spec),
-        "summary": explanation_summary(contributions, samples, background, nodes, spec),
+        "contributions": contribution_table(explained, spec),
+        "summary": explanation_summary(explained, background, nodes, spec),
     }

@@ -204,8 +204,9 @@ def test_importance_of_unused_features_is_zero_and_permutation_keeps_values(spar
 def test_shapley_values_add_up(spark, sf_dir):
     rows = i.order_profiles(spark, sf_dir)
     background = background_sample(rows, "row_id")
-    contributions = shapley.shapley_contributions(rows, background, i.ORDER_TREES, i.ORDERS)
-    summary = shapley.explanation_summary(contributions, rows, background, i.ORDER_TREES, i.ORDERS)
+    explained = shapley.explained_rows(rows, background, i.ORDER_TREES, i.ORDERS)
+    contributions = shapley.shapley_contributions(explained, i.ORDERS)
+    summary = shapley.explanation_summary(explained, background, i.ORDER_TREES, i.ORDERS)
     assert summary.count() == rows.count()
     assert summary.agg(F.max("absolute_additivity_error")).first()[0] < 1e-9
     assert contributions.where("feature = 'f_status' and shap_value <> 0").count() == 0
@@ -216,7 +217,8 @@ def test_shapley_of_a_stump(spark):
     spec = TableSpec(features=("a", "b"), key="row_id")
     rows = spark.createDataFrame([(1, 0, 0), (2, 1, 0)], "row_id int, a int, b int")
     background = spark.createDataFrame([(1, 0, 0), (2, 0, 1), (3, 0, 1), (4, 1, 1)], "row_id int, a int, b int")
-    values = {(r["row_id"], r["feature"]): r["shap_value"] for r in shapley.shapley_contributions(rows, background, stump, spec).collect()}
+    explained = shapley.explained_rows(rows, background, stump, spec)
+    values = {(r["row_id"], r["feature"]): r["shap_value"] for r in shapley.shapley_contributions(explained, spec).collect()}
     base = 0.75 * 0.2 + 0.25 * 0.8
     assert values[(1, "a")] == pytest.approx(0.2 - base) and values[(2, "a")] == pytest.approx(0.8 - base)
     assert values[(1, "b")] == 0.0
