@@ -51,7 +51,7 @@ IMPORTANCE = f"""select outer_fold, feature, avg(base-permuted) importance_mean,
 def _importance(spark, d):
     rows = i.weighted_orders(spark, d)
     return importance.permutation_importance(
-        rows, i.WEIGHTED_ORDERS, thresholds(i.ORDER_TREES), _predict, "Decision Tree", REPEATS
+        rows, i.WEIGHTED_ORDERS, thresholds(i.ORDER_TREES), _predict, "Decision Tree", REPEATS, portable=True
     )
 
 

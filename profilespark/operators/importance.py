@@ -19,12 +19,15 @@ SUMMARY_COLUMNS = (
 )
 # Rows of one (fold, feature, repeat) that may share a hash bucket: the most one task sorts for a cut.
 BUCKET_ROWS = 4_000_000
+# Permuted copies worth a task of their own.
+COPIES_PER_TASK = 200_000
 
 
-def _tasks() -> int:
-    """As many tasks as the session shuffles into, at least one per core."""
+def _tasks(copies: int) -> int:
+    """Tasks for so many copies: up to as many as the session shuffles into."""
     spark = SparkSession.active()
-    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    most = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return max(1, min(most, math.ceil(copies / COPIES_PER_TASK)))
 
 
 def _bucket_digits(rows: int) -> int:
@@ -42,7 +45,7 @@ def _bin(value: Column, points: Sequence[float]) -> Column:
 
 
 def permuted_rows(rows: DataFrame, spec: TableSpec, points: dict[str, list[float]], repeats: int = REPEATS,
-                  seed: int = SEED, fold: str = "outer_fold", digits: int = 2) -> DataFrame:
+                  seed: int = SEED, fold: str = "outer_fold", digits: int = 2, portable: bool = False) -> DataFrame:
     """Rows with one feature permuted within its fold, for every used feature and repeat.
 
     A model only sees on which side of its split points a value falls. Rows are
@@ -69,7 +72,7 @@ def permuted_rows(rows: DataFrame, spec: TableSpec, points: dict[str, list[float
         for n, f in enumerate(points) for k in range(repeats)
     ])
     copies = rows.withColumn("_fold_seed", (F.lit(seed) + F.col(fold)).cast("string")).select("*", F.inline(games))
-    keyed = with_order_key(copies, F.concat("_fold_seed", "_name"), spec.key, digits).drop("_fold_seed", "_name")
+    keyed = with_order_key(copies, F.concat("_fold_seed", "_name"), spec.key, digits, portable).drop("_fold_seed", "_name")
     group = [fold, "_game"]
     cuts = cut_keys(keyed, bucket_counts(keyed, group), group, wanted)
     placed = assign_segments(keyed, group, cuts, n_bins - 1, "_segment")
@@ -84,12 +87,13 @@ def permuted_rows(rows: DataFrame, spec: TableSpec, points: dict[str, list[float
 
 def permutation_importance(rows: DataFrame, spec: TableSpec, points: dict[str, list[float]],
                            predict: Callable[[DataFrame], DataFrame], model: str, repeats: int = REPEATS,
-                           seed: int = SEED, fold: str = "outer_fold") -> DataFrame:
+                           seed: int = SEED, fold: str = "outer_fold", portable: bool = False) -> DataFrame:
     """Drop of weighted accuracy per (fold, feature): mean and population spread over the repeats.
 
     ``predict`` adds ``y_pred`` to a table with the feature columns. Features the
     model does not split on keep their predictions, so they get exactly 0
-    without being scored. Weights stay with their row.
+    without being scored. Weights stay with their row. ``portable`` permutes in an
+    order other engines can reproduce, at a higher price.
     """
     weight = F.col(WEIGHT).cast("double")
     right = F.sum(F.when(F.col("y_pred") == F.col(spec.target), weight).otherwise(0.0)) / F.sum(weight)
@@ -105,9 +109,11 @@ def permutation_importance(rows: DataFrame, spec: TableSpec, points: dict[str, l
         # Every row is about to be copied for each feature and repeat: spread the narrow
         # rows first, so a task does not carry all copies of a large input split.
         narrow = rows.select(spec.key, fold, *spec.features, spec.target, WEIGHT)
-        spread = materialize(narrow.repartition(_tasks(), spec.key), "held-out")
-        digits = _bucket_digits(spread.count())  # from the file footers
-        shuffled = predict(permuted_rows(spread, spec, points, repeats, seed, fold, digits)).groupBy(fold, "_game").agg(
+        n = rows.count()  # from the file footers where the table is a written one
+        tasks = _tasks(n * len(points) * repeats)
+        spread = materialize(narrow.repartition(tasks, F.xxhash64(spec.key)), "held-out")
+        digits = _bucket_digits(n)
+        shuffled = predict(permuted_rows(spread, spec, points, repeats, seed, fold, digits, portable)).groupBy(fold, "_game").agg(
             right.alias("_permuted")
         )
         names = F.array(*[F.lit(f) for f in points])

@@ -182,10 +182,11 @@ def test_heatmap_order(spark):
     assert [(r["k"], r["depth_12"]) for r in heatmap.collect()] == [("5", 0.7), ("10", None), ("all", None)]
 
 
-def test_importance_of_unused_features_is_zero_and_permutation_keeps_values(spark, sf_dir):
+@pytest.mark.parametrize("portable", [True, False])
+def test_importance_of_unused_features_is_zero_and_permutation_keeps_values(spark, sf_dir, portable):
     rows = i.weighted_orders(spark, sf_dir)
     points = thresholds(i.ORDER_TREES)
-    permuted = importance.permuted_rows(rows, i.WEIGHTED_ORDERS, points, 2)
+    permuted = importance.permuted_rows(rows, i.WEIGHTED_ORDERS, points, 2, portable=portable)
     assert permuted.count() == rows.count() * len(points) * 2
     # Within a fold the permuted column holds as many values per interval as the original.
     game = list(points).index("f_qty") * 2
