@@ -16,7 +16,8 @@ from profilespark.operators.importance import importance_summary, permutation_im
 from profilespark.operators.selection import MutualInformationSelector
 from profilespark.operators.trees import thresholds
 from profilespark.plans import evaluate, explain, select_model
-from profilespark.session import materialize
+from profilespark.session import materialize, scratch_path
+from profilespark.sources import tables
 from profilespark.spec import FAMILIES, WEIGHT
 
 TREE, FOREST = FAMILIES
@@ -68,6 +69,14 @@ def random_forest(spark, d):
     return models.predict(models.fit(FOREST, FOREST_PARAMETERS, rows, SPEC), rows, FOREST)
 
 
+@query()
+def selector_and_classifier(spark, d):
+    """Selection and classifier as one estimator."""
+    rows = _documents(spark, d)
+    fitted = models.build_model(TREE, TREE_PARAMETERS, SPEC).fit(models.with_label(rows, SPEC))
+    return fitted.transform(rows).select("row_id", F.col("prediction").alias("label_index"))
+
+
 @query()
 def weighted_fit(spark, d):
     """The same parameters with and without weights, side by side."""
@@ -108,7 +117,7 @@ def cv_scores(spark, d):
 @query()
 def nested_cv(spark, d):
     folded = materialize(splits.stratified_kfold(_documents(spark, d), SPEC.target, "row_id", PLAN.n_outer), "outer")
-    return select_model.nested_cv(folded, SPEC, TREE, PLAN)["fold_scores"]
+    return select_model.nested_cv(folded, SPEC, [TREE], PLAN)["fold_scores"]
 
 
 @query()
@@ -120,15 +129,18 @@ def permutation_importance_of_fit(spark, d):
 
 @query()
 def model_selection(spark, d):
-    return select_model.select_model(_documents(spark, d), SPEC, PLAN)["results_summary"]
+    """The whole stage: every table is written, the one-row summary is returned."""
+    stage = select_model.select_model(_documents(spark, d), SPEC, PLAN)
+    written = tables.write_tables(stage, scratch_path(spark, "model-selection"))
+    return tables.parquet_scan(spark, written["results_summary"])
 
 
 @query()
 def holdout_evaluation(spark, d):
     dev, test = _sides(spark, d)
     candidates = [(TREE, 0.8, TREE_PARAMETERS), (FOREST, 0.8, FOREST_PARAMETERS)]
-    tables = evaluate.evaluate_holdout(dev, test, SPEC, candidates[1], candidates, "weighted", True)
-    return tables["evaluation_summary"]
+    stage = evaluate.evaluate_holdout(dev, test, SPEC, candidates[1], candidates, "weighted", True)
+    return stage["evaluation_summary"]
 
 
 @query()

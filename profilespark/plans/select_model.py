@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from profilespark.functions.exprs import union_results
 from profilespark.operators import search
-from profilespark.operators.cross_validation import PARALLELISM, cv_scores
+from profilespark.operators.cross_validation import PARALLELISM, cv_scores, fold_cells
 from profilespark.operators.diagnostics import error_by_feature_value, error_summary, fold_pivot, wilcoxon_paired
 from profilespark.operators.eda import mutual_information
 from profilespark.operators.importance import REPEATS, importance_summary, permutation_importance
@@ -19,7 +19,7 @@ from profilespark.operators.selection import feature_ranking_topn, selected_feat
 from profilespark.operators.splits import stratified_kfold
 from profilespark.operators.trees import thresholds
 from profilespark.session import materialize
-from profilespark.spec import FAMILIES, SEED, WEIGHT, TableSpec
+from profilespark.spec import FAMILIES, HIGH_CONFIDENCE, SEED, WEIGHT, TableSpec
 
 
 @dataclass(frozen=True)
@@ -43,14 +43,30 @@ class SearchPlan:
         return search.random_candidates(spark, self.spaces[family], self.n_iter, seed)
 
 
-def run_search(folded: DataFrame, spec: TableSpec, family: str, plan: SearchPlan, seed: int,
+@dataclass(frozen=True)
+class InnerFolds:
+    """One training table with its inner folds: rows and cells, both written, shared by the families."""
+
+    rows: DataFrame
+    cells: DataFrame
+
+    @classmethod
+    def of(cls, table: DataFrame, spec: TableSpec, plan: SearchPlan, seed: int) -> "InnerFolds":
+        folded = stratified_kfold(table, spec.target, spec.key, plan.n_inner, seed, "inner_fold")
+        rows = materialize(folded, "inner-folds", ["inner_fold"])
+        return cls(rows, fold_cells(rows, spec))
+
+
+def run_search(inner: InnerFolds, spec: TableSpec, family: str, plan: SearchPlan, seed: int,
                weighted: bool = True) -> tuple[DataFrame, dict]:
     """Scored candidates with the one-standard-error choice flagged, and that choice's parameters."""
     spark = SparkSession.active()
     candidates = plan.candidates(spark, family, seed)
     names = sorted(plan.spaces[family])
     records = [r.asDict() for r in candidates.collect()]
-    scores = cv_scores(folded, spec, family, records, plan.n_inner, weighted=weighted, parallelism=plan.parallelism)
+    scores = cv_scores(
+        inner.rows, spec, family, records, plan.n_inner, weighted=weighted, parallelism=plan.parallelism, cells=inner.cells
+    )
     results = search.cv_results(scores, range(1, plan.n_inner + 1))
     chosen = search.one_se_rule(
         results.join(spark.createDataFrame(records, candidates.schema), "candidate_id"), plan.n_inner
@@ -60,10 +76,6 @@ def run_search(folded: DataFrame, spec: TableSpec, family: str, plan: SearchPlan
     return chosen, best
 
 
-def _inner_folds(rows: DataFrame, spec: TableSpec, plan: SearchPlan, seed: int) -> DataFrame:
-    return materialize(stratified_kfold(rows, spec.target, spec.key, plan.n_inner, seed, "inner_fold"), "inner-folds")
-
-
 def _importance(model: FittedModel, held_out: DataFrame, family: str, plan: SearchPlan) -> DataFrame:
     scores = permutation_importance(
         held_out, model.spec, thresholds(model.nodes), model.score, family, plan.repeats, plan.seed
@@ -71,32 +83,56 @@ def _importance(model: FittedModel, held_out: DataFrame, family: str, plan: Sear
     return scores.withColumn("selected", F.col("feature").isin(*model.selected))
 
 
-def nested_cv(folded: DataFrame, spec: TableSpec, family: str, plan: SearchPlan, weighted: bool = True) -> dict[str, DataFrame]:
+def nested_cv(folded: DataFrame, spec: TableSpec, families: Sequence[str], plan: SearchPlan,
+              weighted: bool = True) -> dict[str, DataFrame]:
     """Search on every outer training set, then score, predict and permute on its held-out fold.
 
-    Each fold's tables are written before the next fold starts, so a lost
-    executor costs one fold's work and no lineage grows.
+    Both families see the same folds. Each fold's tables are written before the
+    next fold starts, so a lost executor costs one fold's work and no lineage grows.
     """
     searches, predictions, importances = [], [], []
     for outer in range(1, plan.n_outer + 1):
         train = folded.where(F.col("outer_fold") != outer).drop("outer_fold")
         held_out = folded.where(F.col("outer_fold") == outer)
-        inner = _inner_folds(train, spec, plan, plan.seed + outer)
-        chosen, best = run_search(inner, spec, family, plan, plan.seed + outer, weighted)
-        model = fit(family, best, inner, spec, weighted)
-        searches.append(chosen.withColumn("outer_fold", F.lit(outer)))
-        predictions.append(materialize(predict(model, held_out, family), "oof"))
-        if plan.repeats:
-            importances.append(materialize(_importance(model, held_out, family, plan), "importance"))
-    # Families differ in their parameters; folds of one family do not.
-    tables = {"search": union_results(searches), "oof_predictions": union_results(predictions)}
+        inner = InnerFolds.of(train, spec, plan, plan.seed + outer)
+        for family in families:
+            chosen, best = run_search(inner, spec, family, plan, plan.seed + outer, weighted)
+            model = fit(family, best, inner.rows, spec, weighted)
+            searches.append(chosen.select(
+                "model", F.lit(outer).alias("outer_fold"), F.col(search.K).cast("string").alias(search.K),
+                "selected_by_one_se", "mean_test_score",
+            ))
+            predictions.append(materialize(predict(model, held_out, family), "oof"))
+            if plan.repeats:
+                importances.append(materialize(_importance(model, held_out, family, plan), "importance"))
+    tables = {"oof_predictions": union_results(predictions)}
     if importances:
         tables["permutation_importance"] = union_results(importances)
     metrics = classification_metrics(tables["oof_predictions"], ["model", "outer_fold"])
-    tables["fold_scores"] = materialize(search.fold_scores(tables["search"], metrics, len(spec.features)), "fold-scores")
+    tables["fold_scores"] = materialize(
+        search.fold_scores(union_results(searches), metrics, len(spec.features)), "fold-scores"
+    )
     return tables
 
 
+def run_configuration(table: DataFrame, spec: TableSpec, plan: SearchPlan, metric: str, weighted: bool) -> DataFrame:
+    """One row that records how a run was set up."""
+    return table.agg(F.count(F.lit(1)).alias("development_rows"), F.sum(spec.mass).alias("development_weighted_instances")).withColumns({
+        "input_features": F.lit(len(spec.features)),
+        "feature_selection_k_values": F.array(*[F.lit(str(k)) for k in next(iter(plan.spaces.values()))[search.K]]),
+        "random_state": F.lit(plan.seed),
+        "primary_scoring": F.lit(metric),
+        "random_forest_random_iterations": F.lit(plan.n_iter),
+        "outer_folds": F.lit(plan.n_outer),
+        "final_inner_folds": F.lit(plan.n_inner),
+        "compute_permutation_importance": F.lit(plan.repeats > 0),
+        "permutation_repeats": F.lit(plan.repeats),
+        "high_confidence_threshold": F.lit(HIGH_CONFIDENCE),
+        "sample_weighting_enabled": F.lit(weighted),
+        "selection_rule": F.lit("one_standard_error"),
+    })
+
+
 def select_model(table: DataFrame, spec: TableSpec, plan: SearchPlan | None = None, weighted: bool = True) -> dict[str, DataFrame]:
     """Every table of the model-selection stage for one prepared development table.
 
@@ -104,21 +140,21 @@ def select_model(table: DataFrame, spec: TableSpec, plan: SearchPlan | None = No
     """
     plan = plan or SearchPlan()
     metric = "weighted_accuracy" if weighted else "accuracy"
-    folded = materialize(stratified_kfold(table, spec.target, spec.key, plan.n_outer, plan.seed), "outer-folds")
+    folded = materialize(stratified_kfold(table, spec.target, spec.key, plan.n_outer, plan.seed), "outer-folds", ["outer_fold"])
     families = [f for f in FAMILIES if f in plan.spaces]
-    nested = {family: nested_cv(folded, spec, family, plan, weighted) for family in families}
-    stacked = lambda name: union_results([nested[f][name] for f in families])
-    scores, predictions = stacked("fold_scores"), stacked("oof_predictions")
+    nested = nested_cv(folded, spec, families, plan, weighted)
+    scores, predictions = nested["fold_scores"], nested["oof_predictions"]
     summary = search.nested_summary(scores)
     best = search.best_family(summary).first()["model"]
 
-    final = _inner_folds(table, spec, plan, plan.seed)
+    final = InnerFolds.of(table, spec, plan, plan.seed)
     searches = {family: run_search(final, spec, family, plan, plan.seed, weighted) for family in families}
     chosen, parameters = searches[best]
     names = sorted(plan.spaces[best])
     features = selected_feature_table(mutual_information(table, spec), spec, parameters[search.K])
     depths = plan.spaces[best][search.DEPTH]
     tables = {
+        "run_config": run_configuration(table, spec, plan, metric, weighted),
         "fold_scores": scores,
         "model_summary": summary,
         "oof_predictions": predictions,
@@ -136,7 +172,7 @@ def select_model(table: DataFrame, spec: TableSpec, plan: SearchPlan | None = No
     if set(families) == set(FAMILIES):
         tables["statistical_tests"] = wilcoxon_paired(fold_pivot(scores))
     if plan.repeats:
-        tables["permutation_importance_summary"] = importance_summary(stacked("permutation_importance"))
+        tables["permutation_importance_summary"] = importance_summary(nested["permutation_importance"])
     tables["results_summary"] = results_summary(tables, table, best, weighted)
     return tables
 
