@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from catalog import inputs as i
 from catalog.cleaning import _write_csv
-from catalog.registry import query, r, rounded, sql_round
+from catalog.registry import query, rounded, sql_round
 from profilespark.operators import importance, shapley
 from profilespark.operators.splits import background_sample
-from profilespark.operators.trees import predicted_label, score_expression, thresholds
+from profilespark.operators.trees import score_nodes, thresholds
 from profilespark.sources import tables
 
 SCORE = i.tree_score_sql()
@@ -18,14 +18,13 @@ REPEATS = 20
 
 
 def _predict(df):
-    return df.withColumn("y_pred", predicted_label(score_expression(i.ORDER_TREES)))
+    return score_nodes(df, i.ORDER_TREES)
 
 
 @query(f"""select row_id, {sql_round(SCORE)} phishing_probability, cast(case when {SCORE}>=0.5::double then -1 else 1 end as int) y_pred
            from order_profiles""", "order_profiles")
 def predict_with_probability(spark, d):
-    score = score_expression(i.ORDER_TREES)
-    return i.order_profiles(spark, d).select("row_id", r(score).alias("phishing_probability"), predicted_label(score).alias("y_pred"))
+    return rounded(_predict(i.order_profiles(spark, d)).select("row_id", "phishing_probability", "y_pred"), "phishing_probability")
 
 
 def _permuted_sql() -> str:
@@ -149,5 +148,5 @@ def contribution_table(spark, d):
        "order_profiles")
 def explanation_summary(spark, d):
     background = background_sample(i.order_profiles(spark, d), "row_id")
-    table = shapley.explanation_summary(_explained(spark, d), background, i.ORDER_TREES, i.ORDERS)
+    table = shapley.explanation_summary(_explained(spark, d), background, _predict, i.ORDERS)
     return rounded(table, "explained_phishing_probability", "base_value", "sum_of_shap_values", "reconstructed_probability", "absolute_additivity_error")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
@@ -114,14 +115,19 @@ class FittedModel:
 
     selector: MutualInformationSelectorModel
     classifier: Model
-    grown_nodes: list[Node]
     spec: TableSpec
     min_split: int = 2
+    counted_nodes: list[Node] | None = None
 
     @property
     def selected(self) -> tuple[str, ...]:
         return self.selector.selected
 
+    @cached_property
+    def grown_nodes(self) -> list[Node]:
+        """Nodes as grown; a forest's are only read when asked for."""
+        return self.counted_nodes if self.counted_nodes is not None else node_table(self.classifier, self.selected)
+
     @property
     def nodes(self) -> list[Node]:
         return collapse(self.grown_nodes, self.min_split)
@@ -142,24 +148,21 @@ class FittedModel:
         return scored.withColumn("y_pred", predicted_label(F.col("phishing_probability"))).drop(*added)
 
 
-def grow_forest(table: DataFrame, spec: TableSpec, features: Sequence[str], params: Mapping[str, object],
-                weighted: bool) -> tuple[Model, list[Node]]:
-    """Forest on the rows themselves: bootstrap draws rows, so they cannot be collapsed."""
-    selector = MutualInformationSelectorModel(selected=tuple(features), outputCol="features")
-    model = build_classifier(FAMILIES[1], params, weighted).fit(selector.transform(with_label(table, spec)))
-    return model, node_table(model, features)
-
-
 def fit_selected(family: str, parameters: Mapping[str, object], df: DataFrame, spec: TableSpec, features: Sequence[str],
                  weighted: bool = True) -> FittedModel:
-    """Fit a parameter record on features that are already chosen."""
+    """Fit a parameter record on features that are already chosen.
+
+    A forest is fitted on the rows themselves: bootstrap draws rows, so they
+    cannot be collapsed.
+    """
     _, params = split_parameters(parameters)
-    if family not in FAMILIES:
-        raise ValueError(f"Unsupported model family: {family!r}. Expected one of {list(FAMILIES)}.")
-    grow = grow_tree if family == FAMILIES[0] else grow_forest
-    model, nodes = grow(df, spec if weighted else spec.with_(weight=None), features, params, weighted)
     selector = MutualInformationSelectorModel(selected=tuple(features), outputCol="features")
-    return FittedModel(selector, model, nodes, spec, int(params.get("min_samples_split", 2)))
+    min_split = int(params.get("min_samples_split", 2))
+    if family == FAMILIES[0]:
+        model, nodes = grow_tree(df, spec if weighted else spec.with_(weight=None), features, params, weighted)
+        return FittedModel(selector, model, spec, min_split, nodes)
+    forest = build_classifier(family, params, weighted).fit(selector.transform(with_label(df, spec)))
+    return FittedModel(selector, forest, spec, min_split)
 
 
 def fit(family: str, parameters: Mapping[str, object], df: DataFrame, spec: TableSpec, weighted: bool = True) -> FittedModel:

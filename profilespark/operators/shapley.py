@@ -14,23 +14,29 @@ meet: their number is bounded by the model and the background, not by the data.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from profilespark.functions.exprs import direction
-from profilespark.operators.trees import Node, leaf_conditions, predicted_label, score_expression, used_features
+from profilespark.operators.trees import Node, leaf_conditions, used_features
 from profilespark.spec import POSITIVE, TableSpec
 
 # One bit each in a 64-bit mask; trees are at most 30 deep.
 MAX_PATH_FEATURES = 62
+# Rows of a table with a handful of numbers each that every executor can hold.
+BROADCAST_ROWS = 1_000_000
+
+
+def _small(df: DataFrame, rows: int) -> DataFrame:
+    """Broadcast hint for a table known to be small; beyond that Spark decides by measured size."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
 def _masks(profiles: DataFrame, features: list[str], conditions: DataFrame, carry: Sequence[str]) -> DataFrame:
     """One row per (profile, leaf) with the bits of the path features it satisfies."""
     long = profiles.unpivot(["_profile", *carry], features, "feature", "_value")
-    # The leaf table is the model itself, which the driver already holds.
-    tested = long.join(F.broadcast(conditions), "feature")
+    tested = long.join(conditions, "feature")
     holds = (F.col("_value") > F.col("low")) & (F.col("_value") <= F.col("high"))
     bit = F.when(holds, F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("bit"))).otherwise(F.lit(0).cast("bigint"))
     return tested.groupBy("_profile", *carry, "leaf").agg(F.sum(bit).alias("mask"))
@@ -46,15 +52,18 @@ def shapley_by_profile(samples: DataFrame, background: DataFrame, nodes: Sequenc
     """Contributions of every used feature for every distinct sample profile, one row per profile."""
     features = used_features(nodes)
     conditions = leaf_conditions(nodes, spark).where("feature is not null")
-    leaves = conditions.select("leaf", "value", "n_features").distinct()
+    # Set by the model: one row per leaf and path feature.
+    n_conditions, n_leaves = conditions.count(), sum(n.is_leaf for n in nodes)
+    conditions = _small(conditions, n_conditions)
+    leaves = _small(conditions.select("leaf", "value", "n_features").distinct(), n_leaves)
     sample_profiles, base_profiles = _profiles(samples, features), _profiles(background, features)
     masks = _masks(sample_profiles, features, conditions, [])
     base = _masks(base_profiles, features, conditions, ["_n"]).groupBy("leaf", F.col("mask").alias("base_mask")).agg(
         F.sum("_n").alias("weight")
     )
-    # At most one row per leaf and background row.
-    total = background.agg(F.count(F.lit(1)).cast("double").alias("_total"))
-    meet = masks.select("leaf", "mask").distinct().join(F.broadcast(base), "leaf").join(F.broadcast(leaves), "leaf")
+    n_background = background.count()
+    base = _small(base, n_leaves * n_background)  # at most one row per leaf and background row
+    meet = masks.select("leaf", "mask").distinct().join(base, "leaf").join(leaves, "leaf")
     only_x, only_z = F.expr("mask & ~base_mask"), F.expr("base_mask & ~mask")
     alive = F.expr("(mask | base_mask) = shiftleft(1L, n_features) - 1")
     met = meet.where(alive).withColumns({"x_bits": only_x, "z_bits": only_z}).where("x_bits <> z_bits").withColumns(
@@ -68,18 +77,15 @@ def shapley_by_profile(samples: DataFrame, background: DataFrame, nodes: Sequenc
     loss = factorial(a) * factorial(b - 1) / factorial(a + b)
     in_x, in_z = F.expr("(x_bits & shiftleft(1L, bit)) <> 0"), F.expr("(z_bits & shiftleft(1L, bit)) <> 0")
     share = F.when(in_x, gain).when(in_z, -loss).otherwise(F.lit(0.0)) * F.col("value") * F.col("weight")
-    bits = conditions.select("leaf", "feature", "bit")
-    per_mask = met.join(F.broadcast(bits), "leaf").groupBy("leaf", "mask", "feature").agg(F.sum(share).alias("share"))
+    bits = _small(conditions.select("leaf", "feature", "bit"), n_conditions)
+    per_mask = met.join(bits, "leaf").groupBy("leaf", "mask", "feature").agg(F.sum(share).alias("share"))
     zero = sample_profiles.select("_profile", F.explode(F.array(*[F.lit(f) for f in features])).alias("feature"), F.lit(0.0).alias("share"))
     summed = (
         masks.join(per_mask, ["leaf", "mask"]).select("_profile", "feature", "share").unionByName(zero)
         .groupBy("_profile", "feature").agg(F.sum("share").alias("share"))
     )
     wide = summed.groupBy("_profile").pivot("feature", features).agg(F.sum("share"))
-    # One number: the background size.
-    scaled = wide.withColumn("_k", F.lit(0)).join(F.broadcast(total.withColumn("_k", F.lit(0))), "_k").select(
-        "_profile", *[(F.col(f) / F.col("_total")).alias(f"phi_{f}") for f in features]
-    )
+    scaled = wide.select("_profile", *[(F.col(f) / F.lit(float(n_background))).alias(f"phi_{f}") for f in features])
     return sample_profiles.drop("_n").join(scaled, "_profile").drop("_profile")
 
 
@@ -137,18 +143,22 @@ def contribution_table(explained: DataFrame, spec: TableSpec) -> DataFrame:
     )
 
 
-def explanation_summary(explained: DataFrame, background: DataFrame, nodes: Sequence[Node], spec: TableSpec) -> DataFrame:
-    """Prediction, base value, sum of contributions and additivity error per sample."""
-    score = score_expression(nodes)
-    base = background.agg(F.avg(score).alias("base_value"), F.count(F.lit(1)).alias("background_size"))
+def explanation_summary(explained: DataFrame, background: DataFrame, score: Callable[[DataFrame], DataFrame],
+                        spec: TableSpec) -> DataFrame:
+    """Prediction, base value, sum of contributions and additivity error per sample.
+
+    ``score`` adds ``phishing_probability`` and ``y_pred`` to rows with the features.
+    """
+    base = score(background).agg(F.avg("phishing_probability").alias("base_value"), F.count(F.lit(1)).alias("background_size"))
     total = F.aggregate("contributions", F.lit(0.0), lambda a, c: a + c["shap_value"])
-    rows = explained.select(
-        spec.key, score.alias("explained_phishing_probability"), total.alias("sum_of_shap_values"), F.lit(0).alias("_k")
+    rows = score(explained).select(
+        spec.key, F.col("phishing_probability").alias("explained_phishing_probability"), "y_pred",
+        total.alias("sum_of_shap_values"), F.lit(0).alias("_k"),
     ).join(F.broadcast(base.withColumn("_k", F.lit(0))), "_k")  # one row
     rebuilt = F.col("base_value") + F.col("sum_of_shap_values")
     return rows.select(
         spec.key,
-        predicted_label(F.col("explained_phishing_probability")).alias("predicted_class"),
+        F.col("y_pred").alias("predicted_class"),
         F.lit(POSITIVE).alias("explained_class"),
         "explained_phishing_probability", "base_value", "sum_of_shap_values",
         rebuilt.alias("reconstructed_probability"),

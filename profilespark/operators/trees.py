@@ -96,6 +96,12 @@ def predicted_label(probability: Column) -> Column:
     return F.when(probability >= 0.5, F.lit(POSITIVE)).otherwise(F.lit(NEGATIVE))
 
 
+def score_nodes(df: DataFrame, nodes: Sequence[Node]) -> DataFrame:
+    """Add ``phishing_probability`` and ``y_pred`` of a small model given as nodes."""
+    scored = df.withColumn("phishing_probability", score_expression(nodes))
+    return scored.withColumn("y_pred", predicted_label(F.col("phishing_probability")))
+
+
 def used_features(nodes: Sequence[Node]) -> list[str]:
     return sorted({n.feature for n in nodes if not n.is_leaf})
 

@@ -24,5 +24,5 @@ def explain(dev: DataFrame, samples: DataFrame, spec: TableSpec, family: str, pa
         "importance_rank": ranked,
         "importance_topn": importance_topn(ranked),
         "contributions": contribution_table(explained, spec),
-        "summary": explanation_summary(explained, background, nodes, spec),
+        "summary": explanation_summary(explained, background, model.score, spec),
     }

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from catalog import inputs as i
 from profilespark.operators import diagnostics, eda, importance, metrics, models, search, selection, shapley
 from profilespark.operators.splits import background_sample
-from profilespark.operators.trees import Node, cut_leaves, predicted_label, score_expression, thresholds, used_features
+from profilespark.operators.trees import Node, cut_leaves, score_expression, score_nodes, thresholds, used_features
 from profilespark.spec import FAMILIES, TableSpec
 
 SPEC = TableSpec(features=("a", "b"))
@@ -196,7 +196,7 @@ def test_importance_of_unused_features_is_zero_and_permutation_keeps_values(spar
         assert bins(permuted.where(F.col("_game") == game), "f_qty") == bins(rows, "f_qty")
     moved = permuted.where(F.col("_game") == game).withColumnRenamed("f_qty", "now").join(rows.select("row_id", "f_qty"), "row_id")
     assert moved.where("(now > 0.5) <> (f_qty > 0.5)").count() > 0
-    predict = lambda df: df.withColumn("y_pred", predicted_label(score_expression(i.ORDER_TREES)))
+    predict = lambda df: score_nodes(df, i.ORDER_TREES)
     scores = importance.permutation_importance(rows, i.WEIGHTED_ORDERS, points, predict, "m", 2)
     zero = scores.where("feature = 'f_status'").collect()
     assert len(zero) == 10 and all(r["importance_mean"] == 0.0 and r["importance_std"] == 0.0 for r in zero)
@@ -207,12 +207,24 @@ def test_shapley_values_add_up(spark, sf_dir):
     background = background_sample(rows, "row_id")
     explained = shapley.explained_rows(rows, background, i.ORDER_TREES, i.ORDERS)
     contributions = shapley.shapley_contributions(explained, i.ORDERS)
-    summary = shapley.explanation_summary(explained, background, i.ORDER_TREES, i.ORDERS)
+    summary = shapley.explanation_summary(explained, background, lambda df: score_nodes(df, i.ORDER_TREES), i.ORDERS)
     assert summary.count() == rows.count()
     assert summary.agg(F.max("absolute_additivity_error")).first()[0] < 1e-9
     assert contributions.where("feature = 'f_status' and shap_value <> 0").count() == 0
 
 
+def test_shapley_without_broadcast_hints(spark, sf_dir, monkeypatch):
+    rows = i.order_profiles(spark, sf_dir)
+    background = background_sample(rows, "row_id")
+    values = lambda: sorted(
+        (r["row_id"], r["feature"], round(r["shap_value"], 12)) for r in shapley.shapley_contributions(
+            shapley.explained_rows(rows, background, i.ORDER_TREES, i.ORDERS), i.ORDERS).collect()
+    )
+    hinted = values()
+    monkeypatch.setattr(shapley, "BROADCAST_ROWS", 0)
+    assert values() == hinted
+
+
 def test_shapley_of_a_stump(spark):
     stump = [Node(0, 0, "a", 0.5, 1, 2, 0.5), Node(0, 1, None, None, None, None, 0.2), Node(0, 2, None, None, None, None, 0.8)]
     spec = TableSpec(features=("a", "b"), key="row_id")
