@@ -96,15 +96,17 @@ def row_key(df: DataFrame, out: str = "row_id") -> DataFrame:
     """Key for tables without one: digest of the row plus its occurrence number.
 
     Identical rows are counted (pre-aggregated) and spelled out again from the
-    count in chunks spread over the cluster, so a hot row never sits in one task.
+    count. A row that occurs too often for one task is cut into chunks that are
+    spread over the cluster; all others stay where they are.
     """
     columns = df.columns
     text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in columns])
     counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
-    chunks = counted.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(_n - 1) div {CHUNK}"))))
-    spread = chunks.repartition(*columns, "_chunk")
-    first = F.col("_chunk") * CHUNK + 1
+    few = counted.where(F.col("_n") <= CHUNK).withColumn("_occurrence", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n"))))
+    chunk = F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(_n - 1) div {CHUNK}")))
+    spread = counted.where(F.col("_n") > CHUNK).withColumn("_chunk", chunk).repartition(*columns, "_chunk")
     last = F.least(F.col("_n"), (F.col("_chunk") + 1) * CHUNK)
-    return spread.withColumn("_occurrence", F.explode(F.sequence(first, last))).select(
+    many = spread.withColumn("_occurrence", F.explode(F.sequence(F.col("_chunk") * CHUNK + 1, last))).drop("_chunk")
+    return few.unionByName(many).select(
         F.concat(F.md5(text), F.lit("-"), F.col("_occurrence").cast("string")).alias(out), *columns
     )
