@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -10,18 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The checkpoint folder of the session; a temporary one only on a local master."""
+    """A folder of this application below spark.checkpoint.dir, or below the warehouse where that is unset.
+
+    Both are storage that driver and executors share. Spark removes the folder when the application ends.
+    """
     sc = spark.sparkContext
-    folder = sc.getCheckpointDir()
-    if folder:
-        return folder
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("Set spark.checkpoint.dir to a folder shared by the cluster.")
-        folder = tempfile.mkdtemp(prefix="profilespark-")
-    sc.setCheckpointDir(folder)
-    return sc.getCheckpointDir()
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
+    folder = f"{base.rstrip('/')}/{sc.applicationId}"
+    jvm = sc._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not store.exists(path):
+        store.mkdirs(path)
+        store.deleteOnExit(path)
+    return store.makeQualified(path).toString()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -216,4 +216,4 @@ def test_missing_file_raises(spark):
 
 
 def test_shared_folder_is_the_sessions(spark):
-    assert shared_dir(spark) == spark.sparkContext.getCheckpointDir()
+    assert shared_dir(spark).removeprefix("file:") == f"{spark.conf.get('spark.checkpoint.dir')}/{spark.sparkContext.applicationId}"
