@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from profilespark.llm import line_dedup, mixing  # noqa: F401
+from profilespark.llm import exact_dedup, line_dedup, mixing, quality_rules  # noqa: F401
 from profilespark.llm.common import ORACLES, QUERIES  # noqa: F401
