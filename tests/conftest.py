@@ -11,7 +11,7 @@ SHARED = os.environ.get("TEST_SHARED_DIR", "/tmp/profilespark-shared")
 
 def session() -> SparkSession:
     spark = (
-        SparkSession.builder.master("local[8]").appName("profilespark-tests")
+        SparkSession.builder.master(f"local[{os.environ.get("TEST_CPUS", "8")}]").appName("profilespark-tests")
         .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g").config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", SHARED).config("spark.sql.warehouse.dir", f"{SHARED}/warehouse").getOrCreate()
