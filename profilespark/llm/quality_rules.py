@@ -28,8 +28,8 @@ REFERENCE_WORDS = 5_000
 COMMON_SHARE = 500
 LANGUAGE_SHARE = 1_000
 #: Documents farther from their language than this are not kept.
-MAX_CHAR_DISTANCE = 0.25
-MAX_WORD_DISTANCE = 0.5
+MAX_CHAR_DISTANCE = 0.3
+MAX_WORD_DISTANCE = 0.47
 
 #: Base rules.
 LEAST_WORDS = 10
