@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from profilespark.llm import exact_dedup, language_id, line_dedup, mixing, packing, quality_rules  # noqa: F401
+from profilespark.llm import exact_dedup, language_id, licenses, line_dedup, mixing, packing, quality_rules, warc  # noqa: F401
 from profilespark.llm.common import ORACLES, QUERIES  # noqa: F401
