@@ -102,7 +102,8 @@ def dedup_lines(docs: DataFrame, lines: DataFrame, runs: LineRuns, min_docs: int
 
     ``lines`` are the long lines of ``docs`` as added to the runs, in one batch or several.
     """
-    common = runs.totals().where(F.col("n_docs") >= min_docs).select(*_HASH, "max_doc")
+    # Written, so that the join below deals out both sides itself and Spark can split a line of very many documents.
+    common = materialize(runs.totals().where(F.col("n_docs") >= min_docs).select(*_HASH, "max_doc"), "common-lines")
     elsewhere = F.col("max_doc").isNotNull() & (F.col("doc_id").isNull() | (F.col("doc_id") < F.col("max_doc")))
     drops = lines.join(common, _HASH).where(elsewhere)
     drops = drops.groupBy(F.col("doc_id").alias("id")).agg(F.collect_set(F.struct(*_HASH)).alias("drops"))
