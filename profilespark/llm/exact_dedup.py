@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from profilespark.llm.common import WHITE, register, table, text_of
 from profilespark.session import materialize
@@ -46,13 +46,17 @@ def keyed(docs: DataFrame, key_bits: int = 64) -> DataFrame:
     )
 
 
+def _cell(max_depth: int) -> Column:
+    """The leading bits of the key; in two shifts, as a shift by 64 would be none."""
+    return F.shiftrightunsigned(F.shiftrightunsigned("key", 1), 63 - max_depth).cast("int")
+
+
 def directory(rows: DataFrame, page_bytes: int = PAGE_BYTES, max_depth: int = MAX_DEPTH) -> DataFrame:
     """Cells of ``max_depth`` leading key bits, each with its bucket (that bucket's smallest cell) and the bucket's pages.
 
     The byte counts of the cells, 2^max_depth numbers at most, are all that the doubling needs.
     """
-    cell = F.shiftrightunsigned("key", 64 - max_depth).cast("int").alias("cell")
-    counts = rows.groupBy(cell).agg(F.sum(F.octet_length("bare") + F.lit(64)).cast("long").alias("bytes")).toPandas()
+    counts = rows.groupBy(_cell(max_depth).alias("cell")).agg(F.sum(F.octet_length("bare") + F.lit(64)).cast("long").alias("bytes")).toPandas()
     load = np.zeros(1 << max_depth, np.int64)
     load[counts["cell"].to_numpy(np.int64)] = counts["bytes"].to_numpy(np.int64)
     capacity = max(page_bytes, int(load.sum()) * 4 >> max_depth)
@@ -115,9 +119,8 @@ def build_index(docs: DataFrame, page_bytes: int = PAGE_BYTES, max_depth: int =
     """The index of ``docs`` on shared files: one chained entry per row."""
     rows = keyed(docs, key_bits)
     cells = materialize(directory(rows, page_bytes, max_depth), "directory")
-    cell = F.shiftrightunsigned("key", 64 - max_depth).cast("int")
     # 2^max_depth cells at most, whatever the input: this broadcast is bounded.
-    placed = rows.withColumn("cell", cell).join(F.broadcast(cells), "cell")
+    placed = rows.withColumn("cell", _cell(max_depth)).join(F.broadcast(cells), "cell")
     page = F.pmod(F.xxhash64(F.coalesce("id", F.monotonically_increasing_id()), "n_chars"), F.col("pages")).cast("int")
     entries = placed.select(
         "bucket", page.alias("page"), "pages", "key", "id", "n_chars", F.sha2("bare", 256).alias("text_sha256"), F.encode("bare", "utf-8").alias("body"))
