@@ -42,6 +42,12 @@ DIGITS = "0123456789"
 PUNCTUATION = "!\"'(),-./:;?@[]^_`{}~+=\\"
 
 
+def _count_among(text: Column, characters: str) -> Column:
+    """How many characters are among some that are rare, so that runs of others are skipped as a whole."""
+    escaped = "".join(c if c.isalnum() else "\\" + c for c in characters)
+    return F.length(F.regexp_replace(text, f"[^{escaped}]+", "")).cast("bigint")
+
+
 def _repeated_words(words: str) -> Column:
     """Words that lie in a window found twice or more in the text, the first one included."""
     n = F.size(words)
@@ -77,9 +83,9 @@ def _counts(docs: DataFrame) -> DataFrame:
         "n_words": F.size("words").cast("bigint"),
         "n_chars": F.length("text").cast("bigint"),
         "n_white": count_of(F.col("text"), WHITE),
-        "n_symbols": count_of(F.col("text"), SYMBOLS),
-        "n_digits": count_of(F.col("text"), DIGITS),
-        "n_punctuation": count_of(F.col("text"), PUNCTUATION),
+        "n_symbols": _count_among(F.col("text"), SYMBOLS),
+        "n_digits": _count_among(F.col("text"), DIGITS),
+        "n_punctuation": _count_among(F.col("text"), PUNCTUATION),
         "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint"),
         "windows": _repeated_words("words"),
     })
@@ -115,6 +121,7 @@ def common_words(docs: DataFrame) -> DataFrame:
         F.concat(F.col("common.n"), F.array(F.col("total") - F.aggregate("common.n", F.lit(0).cast("bigint"), lambda a, x: a + x))).alias("word_counts"),
         F.col("total").alias("word_total"),
         F.map_from_arrays("common.word", F.sequence(F.lit(1), F.size("common"))).alias("number_of"),
+        F.array_max(F.transform("common.word", lambda w: F.octet_length(w))).alias("longest"),
     )
 
 
@@ -142,7 +149,8 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     # At most LANGUAGE_SHARE languages of COMMON_SHARE words each: bounded whatever the input, so it may be broadcast.
     words = materialize(common_words(docs), "common-words")
     rows = _counts(docs).join(F.broadcast(words), _LANG, "left")
-    rows = rows.withColumn("known", F.filter(F.transform("words", lambda w: F.element_at("number_of", F.lower(w))), lambda k: k.isNotNull()))
+    short = F.filter(F.transform("words", lambda w: F.lower(w)), lambda w: F.octet_length(w) <= F.col("longest"))
+    rows = rows.withColumn("known", F.filter(F.transform(short, lambda w: F.element_at("number_of", w)), lambda k: k.isNotNull()))
     judged = F.col("common").isNotNull() & (F.col("n_words") >= MIN_WORDS)
     features = materialize(rows.select(
         "doc_id", *_LANG, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", judged.alias("judged"),
