@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,3 +50,25 @@ def words_of(text: Column) -> Column:
 def count_of(text: Column, characters: str) -> Column:
     """How many characters of the text are among the given ones."""
     return (F.length(text) - F.length(F.translate(text, characters, ""))).cast("bigint")
+
+
+_SHIPPED: set[str] = set()
+
+
+def _ship_package(sc: SparkContext) -> None:
+    """Sends this package's modules to the executors, once per application, so that tasks can import them."""
+    if sc.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp()) / f"{package.name}.zip"  # read by the driver alone, which serves it to the executors
+    with zipfile.ZipFile(archive, "w") as out:
+        for module in sorted(package.rglob("*.py")):
+            out.write(module, module.relative_to(package.parent))
+    sc.addPyFile(str(archive))
+    _SHIPPED.add(sc.applicationId)
+
+
+def map_arrow(rows: DataFrame, function: Callable, schema: str | StructType) -> DataFrame:
+    """``mapInArrow`` of a function of this package."""
+    _ship_package(rows.sparkSession.sparkContext)
+    return rows.mapInArrow(function, schema)

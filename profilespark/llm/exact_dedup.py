@@ -27,7 +27,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from profilespark.llm.common import WHITE, register, table, text_of
+from profilespark.llm.common import WHITE, map_arrow, register, table, text_of
 from profilespark.session import materialize
 
 PAGE_BYTES = 256 * 1024
@@ -112,7 +112,7 @@ def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _owned(entries: DataFrame, schema: str, *ties: str) -> DataFrame:
     """Deals entries to the owners of their pages, in order, and chains them there."""
     order = ["bucket", "page", "key", F.desc("n_chars"), F.col("id").asc_nulls_last(), *ties]
-    return entries.repartition("bucket", "page").sortWithinPartitions(*order).mapInArrow(_chained, schema)
+    return map_arrow(entries.repartition("bucket", "page").sortWithinPartitions(*order), _chained, schema)
 
 
 def build_index(docs: DataFrame, page_bytes: int = PAGE_BYTES, max_depth: int = MAX_DEPTH, key_bits: int = 64) -> DataFrame:

@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from profilespark.llm.common import register, table
+from profilespark.llm.common import map_arrow, register, table
 from profilespark.session import materialize
 
 SAMPLE = 3_000
@@ -188,7 +188,7 @@ def learn_languages(docs: DataFrame, sample: int = SAMPLE) -> LanguageFilter:
         bar = F.when(F.col("lang") == lang, float(min(1.0, sample / n))).otherwise(bar)
     draw = F.conv(F.substring(F.md5(F.col("doc_id").cast("string")), 1, 8), 16, 10).cast("double") / 2**32
     chosen = labelled.where(draw < bar).select(number.alias("number"), "text")
-    counts = materialize(chosen.mapInArrow(_count_grams, "number int, gram long, n long").groupBy("number", "gram").agg(F.sum("n").alias("n")), "language-grams")
+    counts = materialize(map_arrow(chosen, _count_grams, "number int, gram long, n long").groupBy("number", "gram").agg(F.sum("n").alias("n")), "language-grams")
     totals = counts.groupBy("number").agg(F.sum("n").alias("total"))
     learnt = counts.join(F.broadcast(totals), "number").where(F.col("n") * GRAM_SHARE >= F.col("total"))
     slots = F.array(*[F.shiftrightunsigned("gram", 20 * j).bitwiseAND(F.lit((1 << SLOT_BITS) - 1)) for j in range(HASHES)])
@@ -209,7 +209,7 @@ def identify(docs: DataFrame, model: LanguageFilter) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(langs), pa.array(scores, pa.float64())], names=["row", "lang_pred", "score"])
 
     schema = T.StructType([docs.schema["row"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return docs.select("row", "text").mapInArrow(predicted, schema)
+    return map_arrow(docs.select("row", "text"), predicted, schema)
 
 
 @register("op6_language_id")

@@ -23,7 +23,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from profilespark.llm.common import register, table, text_of
+from profilespark.llm.common import map_arrow, register, table, text_of
 from profilespark.llm.license_rules import WORD, Rule, base_rules, signature_rules
 
 SPANS = "doc_id long, n_words long, detections array<struct<label:string,start:int,end:int,word:int,priority:int,base:boolean,suppressed:boolean>>"
@@ -105,7 +105,7 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(spans, pa.list_(_SPAN))], names=["doc_id", "n_words", "detections"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).mapInArrow(scanned, SPANS)
+    return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")), scanned, SPANS)
 
 
 @register("op1_license_scan")

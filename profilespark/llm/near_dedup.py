@@ -7,12 +7,12 @@ far more rarely. Candidates are compared exactly, by the weighted Jaccard simila
 texts, and linked from ``MIN_SIMILARITY`` on. Classes are the connected components of the links.
 
 Copies (texts of the same words) are collapsed first and stand for one text. Within a band's bucket
-not all pairs are compared. First every text is compared with the bucket's smallest doc_id, then, in
-buckets that still hold several classes, with a text that differs from band to band. What is left
-are pairs of different classes, and of those only such whose similarities to the smallest doc_id
-allow a similarity of MIN_SIMILARITY between them: one minus the weighted Jaccard similarity is a
-metric, so its triangle inequality rules out the others. All that remain are compared, without any
-bound on their number; no bucket is capped and no link between classes is lost that the bands found.
+not all pairs are compared: every text is compared with the bucket's smallest doc_id. Texts of buckets
+that then still hold several components meet again by their rarest shingles: two texts of similarity
+0.8 share one among the rarest fifth of either, early enough to leave room for all that they must
+share (the prefix and position filters of exact set joins), so only texts of different components
+that share one so are compared. No bucket is capped, and no link between
+components is lost that the bands found.
 
 Rows, nulls, ties: a document without a word, or with a null text or doc_id, is a class of its own;
 a text of one to four words is one shingle; rows that share a doc_id are texts of one node, so they may
@@ -30,15 +30,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from profilespark.llm import dart_minhash, shingles
-from profilespark.llm.common import register, table, text_of
+from profilespark.llm.common import map_arrow, register, table, text_of
 from profilespark.llm.components import connected_components
 from profilespark.session import materialize
 
 MIN_SIMILARITY = 0.8
 BANDS = 30
 ROWS = 6
-#: Rounds in which unfinished buckets are compared with a text of their own before all remaining pairs are.
-STAR_ROUNDS = 2
+#: Slots in which shingles are counted to tell rare ones; collisions only cost time.
+SLOT_BITS = 18
 #: Parsed texts that a comparing task remembers.
 REMEMBERED = 16
 
@@ -63,7 +63,7 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def sketches(docs: DataFrame) -> DataFrame:
     """doc_id, digests and number of the words, and the band hashes of every row."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).mapInArrow(_sketched, SKETCH)
+    return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")), _sketched, SKETCH)
 
 
 def _similarities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -89,54 +89,102 @@ def compare(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Exact similarity of pairs (a, b) of nodes, given their texts (node, text)."""
     joined = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
     joined = joined.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-    found = joined.select("a", "b", "text_a", "text_b").mapInArrow(_similarities, "a long, b long, similarity double")
+    found = map_arrow(joined.select("a", "b", "text_a", "text_b"), _similarities, "a long, b long, similarity double")
     return found.groupBy("a", "b").agg(F.max("similarity").alias("similarity"))
 
 
-def _rooted(rows: DataFrame, links: DataFrame) -> DataFrame:
-    """Rows of (band, node, ...) with the root of the node's component so far."""
-    roots = connected_components(links)
-    return rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+def _slot(h: np.ndarray) -> np.ndarray:
+    return (h >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
 
-def _unfinished(buckets: DataFrame) -> DataFrame:
-    """Rows of the buckets that still hold several components."""
-    many = buckets.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("band")
-    return buckets.join(many, "band", "left_semi")
+def _count_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(1 << SLOT_BITS, np.int64)
+    for batch in batches:
+        for _, block in shingles.blocks(batch.column("text").to_pylist()):
+            _, h, _, _ = shingles.shingles(block)
+            counts += np.bincount(_slot(h), minlength=len(counts))
+    at = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["slot", "n"])
+
+
+def shingle_counts(texts: DataFrame) -> np.ndarray:
+    """About how many texts hold the shingles of each slot: 2^SLOT_BITS numbers, whatever the input."""
+    slots = map_arrow(texts.select("text"), _count_shingles, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    counts = np.zeros(1 << SLOT_BITS, np.int64)
+    for batch in slots.toArrow().to_batches():
+        counts[batch.column("slot").to_numpy()] = batch.column("n").to_numpy()
+    return counts
+
+
+def prefixes(block: list[str], counts: np.ndarray, similarity: float = MIN_SIMILARITY) -> tuple[np.ndarray, ...]:
+    """The rarest shingles of every text: text number, token, the token's place from 0, and the text's tokens.
+
+    A shingle that a text holds k times is k tokens, so the weighted similarity is that of sets of tokens.
+    Of n tokens in any order that is the same for all texts, the first n - ceil(s n) + 1 hold one of every
+    text of similarity s or more, among that one's first tokens; with rare tokens first, that means little else.
+    """
+    owner, h, weight, _ = shingles.shingles(block)
+    of = np.repeat(np.arange(len(h)), weight)
+    copy = np.arange(len(of)) - np.repeat(np.cumsum(weight) - weight, weight)
+    owner, token = owner[of], shingles.mix(h[of] + copy.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    order = np.lexsort((token, counts[_slot(h)][of], owner))
+    owner, token = owner[order], token[order]
+    n = np.bincount(owner, minlength=len(block))
+    place = np.arange(len(owner)) - (np.cumsum(n) - n)[owner]
+    first = place < (n - np.ceil(similarity * n - 1e-9).astype(np.int64) + 1)[owner]
+    return owner[first], token[first], place[first], n[owner[first]]
+
+
+def rare_tokens(texts: DataFrame) -> DataFrame:
+    """node, root and the prefix tokens, with place and number, of texts (node, root, text)."""
+    shared = texts.sparkSession.sparkContext.broadcast(shingle_counts(texts))
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, block in shingles.blocks(batch.column("text").to_pylist()):
+                owner, token, place, n = prefixes(block, shared.value)
+                at = pa.array(start + owner)
+                columns = [batch.column("node").take(at), batch.column("root").take(at), *(pa.array(c.view(np.int64)) for c in (token, place, n))]
+                yield pa.RecordBatch.from_arrays(columns, names=["node", "root", "token", "place", "n"])
+
+    return map_arrow(texts.select("node", "root", "text"), found, "node long, root long, token long, place long, n long")
 
 
 def near_links(docs: DataFrame, marks: DataFrame) -> DataFrame:
     """Links (a, b) between nodes (smallest doc_ids of texts) whose components are the classes."""
     known = marks.where("n_words > 0 and doc_id is not null")
     nodes = known.groupBy("digest_1", "digest_2", "n_words").agg(F.min_by(F.struct("doc_id", "bands"), "doc_id").alias("one"))
-    rows = nodes.select(F.col("one.doc_id").alias("node"), F.explode("one.bands").alias("band"))
-    rows = materialize(rows, "bands")
-    stars = rows.groupBy("band").agg(F.min("node").alias("star"), F.count("*").alias("n")).where("n > 1")
-    buckets = materialize(rows.join(stars.drop("n"), "band"), "buckets")
+    rows = materialize(nodes.select(F.col("one.doc_id").alias("node"), F.explode("one.bands").alias("band")), "bands")
+    stars = materialize(rows.groupBy("band").agg(F.min("node").alias("star"), F.count("*").alias("n")).where("n > 1"), "stars")
+    buckets = materialize(rows.join(stars, "band"), "buckets")
     pairs = buckets.where("node > star").select(F.col("star").alias("a"), F.col("node").alias("b")).distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), text_of().alias("text"))
     texts = materialize(texts.join(buckets.select("node").distinct(), "node", "left_semi"), "candidate-texts")
     compared = materialize(compare(pairs, texts), "compared")
-    first = compared
-
-    for k in range(STAR_ROUNDS):
-        linked = compared.where(F.col("similarity") >= MIN_SIMILARITY)
-        open_ = materialize(_unfinished(_rooted(buckets, linked)), "open-buckets")
-        other = open_.groupBy("band").agg(F.min_by(F.struct("node", "root"), F.xxhash64("band", "node", F.lit(k))).alias("other"))
-        pairs = open_.join(other, "band").where("root <> other.root").select(F.least("node", "other.node").alias("a"), F.greatest("node", "other.node").alias("b")).distinct()
-        pairs = pairs.join(compared, ["a", "b"], "left_anti")
-        compared = materialize(compared.unionByName(compare(pairs, texts)), "compared")
-
-    linked = compared.where(F.col("similarity") >= MIN_SIMILARITY)
-    open_ = materialize(_unfinished(_rooted(buckets, linked)), "open-buckets")
-    known = first.select(F.col("a").alias("star"), F.col("b").alias("node"), (1 - F.col("similarity")).alias("distance"))
-    open_ = open_.join(known, ["star", "node"], "left").withColumn("distance", F.coalesce("distance", F.lit(0.0)))
-    left, right = (open_.select("band", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "root", "distance")]) for s in ("a", "b"))
-    near = F.abs(F.col("distance_a") - F.col("distance_b")) <= 1 - MIN_SIMILARITY + 1e-9
-    rest = left.join(right, "band").where((F.col("node_a") < F.col("node_b")) & (F.col("root_a") != F.col("root_b")) & near)
-    rest = rest.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct().join(compared, ["a", "b"], "left_anti")
-    last = materialize(compare(rest, texts), "compared-rest")
-    return compared.unionByName(last).where(F.col("similarity") >= MIN_SIMILARITY).select("a", "b")
+    linked = compared.where(F.col("similarity") >= MIN_SIMILARITY).select("a", "b")
+
+    # Buckets of two are finished. In larger ones texts of different components may still be similar.
+    roots = connected_components(linked)
+    rooted = buckets.where("n > 2").join(roots, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
+    rooted = materialize(rooted, "rooted-buckets")
+    several = rooted.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("band")
+    open_ = materialize(rooted.join(several, "band", "left_semi").select("node", "root").distinct(), "open-nodes")
+    if open_.isEmpty():
+        return linked
+    tokens = materialize(rare_tokens(texts.join(open_, "node")), "rare-tokens")
+    # In a token's group, texts are compared with all but those of their own component; the largest
+    # component of the group is not compared with itself.
+    held = tokens.groupBy("token", "root").agg(F.count("*").alias("texts"))
+    major = held.groupBy("token").agg(F.max_by("root", F.struct("texts", "root")).alias("major"), F.count("*").alias("roots")).where("roots > 1")
+    shared = materialize(tokens.join(major.drop("roots"), "token"), "shared-tokens")
+    minor = shared.where("root <> major").select("token", *[F.col(c).alias(f"x_{c}") for c in ("node", "root", "place", "n")])
+    # The first token that two texts share is followed by all others that they do, in both.
+    left = F.least(F.col("x_n") - F.col("x_place"), F.col("n") - F.col("place"))
+    enough = left >= MIN_SIMILARITY / (1 + MIN_SIMILARITY) * (F.col("x_n") + F.col("n")) - 1e-9
+    rest = minor.join(shared.drop("major"), "token").where((F.col("x_root") != F.col("root")) & enough)
+    rest = rest.select(F.least("x_node", "node").alias("a"), F.greatest("x_node", "node").alias("b")).distinct().join(compared, ["a", "b"], "left_anti")
+    last = compare(rest, texts).where(F.col("similarity") >= MIN_SIMILARITY).select("a", "b")
+    return linked.unionByName(materialize(last, "late-links"))
 
 
 def near_classes(docs: DataFrame) -> DataFrame:

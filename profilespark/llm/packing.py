@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from profilespark.llm.common import register, table, text_of
+from profilespark.llm.common import map_arrow, register, table, text_of
 from profilespark.llm.tokens import WORD_BPE, word_ids
 
 WINDOW = 2048
@@ -155,7 +155,7 @@ def pack(docs: DataFrame, tokenizer: str = WORD_BPE, window: int = WINDOW, piece
             sequence += used
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=_NAMES)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).mapInArrow(packed, PIECES)
+    return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")), packed, PIECES)
 
 
 @register("op9_packing")

@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from profilespark.llm.common import register, table, text_of, words_of
+from profilespark.llm.common import map_arrow, register, table, text_of, words_of
 from profilespark.llm.tokens import WORD_BPE, word_ids
 from profilespark.session import materialize, scratch_path
 
@@ -51,7 +51,7 @@ def count_tokens(docs: DataFrame, tokenizer: str = WORD_BPE) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(n, pa.int64())], names=[*names, "n_bpe"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "lang", F.size(words_of(text_of())).cast("long").alias("n_words"), text_of().alias("text"))
-    rows = rows.mapInArrow(counted, "doc_id long, source string, lang string, n_words long, n_bpe long")
+    rows = map_arrow(rows, counted, "doc_id long, source string, lang string, n_words long, n_bpe long")
     versions = F.array(
         F.struct(F.lit(WORDS).alias("tokenizer"), F.col("n_words").alias("n_tokens")),
         F.struct(F.lit(WORD_BPE_49K).alias("tokenizer"), F.col("n_bpe").alias("n_tokens")))

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from profilespark.llm.common import register, table
+from profilespark.llm.common import map_arrow, register, table
 from profilespark.session import materialize, scratch_path
 
 REVISIT_BYTES = 1000
@@ -134,7 +134,7 @@ def write_archives(pages: DataFrame) -> DataFrame:
             if out is not None:
                 out.close()
 
-    index = _marked(pages).mapInArrow(written, INDEX)
+    index = map_arrow(_marked(pages), written, INDEX)
     return materialize(index.withColumn("file", F.concat(F.lit(folder + "/"), F.col("file"))), "warc-index")
 
 
@@ -170,7 +170,7 @@ def read_records(index: DataFrame) -> DataFrame:
 
     part = F.floor(F.col("offset") / READ_BYTES)
     dealt = index.select("file", "offset", "length").repartition("file", part).sortWithinPartitions("file", "offset")
-    return dealt.mapInArrow(read, RECORD)
+    return map_arrow(dealt, read, RECORD)
 
 
 @register("op8_warc", f"""
