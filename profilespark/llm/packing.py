@@ -86,7 +86,7 @@ def balanced_windows(sizes: np.ndarray, capacity: int = WINDOW) -> tuple[np.ndar
         fullest = int(np.bincount(window, weights=sizes, minlength=k).max()) if len(sizes) else 0
         if fullest <= capacity:
             return window, k
-        k += max(1, int(k * (fullest - capacity) / capacity / 4))
+        k += max(1, int(k * (fullest - capacity) / capacity / 2))
 
 
 def _cut(n: int, window: int, piece: int) -> list[int]:

@@ -8,16 +8,18 @@ the library's on whole texts.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
+import sys
+from array import array
 
-import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer, pre_tokenizers
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 #: Chunks that a worker remembers, and pieces of chunks.
-REMEMBERED = 300_000
+REMEMBERED = 1_000_000
 
 #: Printable ASCII and the letters of Latin-1: no normal form but case changes them.
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
@@ -28,7 +30,10 @@ _SEPARATORS = re.compile(r"[\x1c-\x1f]")
 
 
 def _packed(encoding) -> bytes:
-    return np.array(encoding.ids, dtype="<u4").tobytes()
+    ids = array("I", encoding.ids)
+    if sys.byteorder == "big":
+        ids.byteswap()
+    return ids.tobytes()
 
 
 class WordIds:
@@ -83,6 +88,7 @@ _OWN: dict[str, WordIds] = {}
 def word_ids(path: str = WORD_BPE) -> WordIds:
     """This worker's tokenizer of a file, kept from task to task."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    gc.set_threshold(200_000, 50, 100)  # fewer walks over what is remembered
     if path not in _OWN:
         _OWN[path] = WordIds(path)
     return _OWN[path]
