@@ -17,7 +17,7 @@ from profilespark.spec import WEIGHT
 FEATURES = ", ".join(i.ORDER_FEATURES)
 
 
-def _write_arff(spark: SparkSession, sf_dir: str) -> str:
+def write_arff(spark: SparkSession, sf_dir: str) -> str:
     """The order profiles as ARFF text files with comments, blank lines, an ``Idx`` column and a target named ``class``."""
     path = scratch_path(spark, "arff")
     names = ["Idx", *i.ORDER_FEATURES, "class"]
@@ -37,12 +37,12 @@ def _write_csv(spark: SparkSession, df: DataFrame, name: str) -> str:
 
 @query(f"select {FEATURES}, Result from order_profiles", "order_profiles")
 def arff_scan(spark, d):
-    return arff.load_source(spark, _write_arff(spark, d))
+    return arff.load_source(spark, write_arff(spark, d))
 
 
 @query(f"select cast(row_id as int) Idx, {FEATURES}, Result class from order_profiles", "order_profiles")
 def normalize_ints(spark, d):
-    return arff.normalize_ints(arff.arff_scan(spark, _write_arff(spark, d)))
+    return arff.normalize_ints(arff.arff_scan(spark, write_arff(spark, d)))
 
 
 @query(f"select {FEATURES}, Result from order_profiles", "order_profiles")
@@ -86,7 +86,7 @@ def write_summary(spark, d):
     return spark.read.json(path)
 
 
-@query(f"""select md5(concat_ws('|', {FEATURES}, Result))||'-'||row_number() over (partition by {FEATURES}, Result order by row_id) row_id,
+@query(f"""select md5('["'||concat_ws('","', {FEATURES}, Result)||'"]')||'-'||row_number() over (partition by {FEATURES}, Result order by row_id) row_id,
        {FEATURES}, Result from order_profiles""", "order_profiles")
 def row_key(spark, d):
     return dedup.row_key(i.order_profiles(spark, d).drop("row_id"))
@@ -262,6 +262,26 @@ def weighted_majority_dedup_documents(spark, d):
     return dedup.weighted_majority_dedup(i.document_quality(spark, d), i.DOCS)
 
 
+FOREIGN_VOTES = f"""(select {FEATURES}, sum(n) all_rows, count(Result) labels, max(n) filter (Result is not null) top_n,
+    count(*) filter (n=top and Result is not null) holders, max(Result) filter (n=top) winner
+  from (select *, max(n) filter (Result is not null) over (partition by {FEATURES}) top
+        from (select {FEATURES}, Result, count(*) n from dirty_orders group by all)) group by {FEATURES})"""
+
+
+@query(f"select {FEATURES}, winner Result, top_n sample_weight from {FOREIGN_VOTES} where holders=1", "dirty_orders")
+def weighted_majority_dedup_foreign(spark, d):
+    """A vote with a label that nobody declared, over profiles with gaps."""
+    return dedup.weighted_majority_dedup(i.dirty_orders(spark, d), i.ORDERS)
+
+
+@query(f"""select cast(sum(all_rows) as bigint) rows_before, count(*) profiles_before,
+  count(*) filter (holders=1) profiles_kept, count(*) filter (holders<>1) dropped_ties, count(*) filter (holders=1 and labels>1) resolved_conflicts,
+  cast(coalesce(sum(top_n) filter (holders=1),0) as bigint) retained_mass, cast(coalesce(sum(all_rows-top_n) filter (holders=1),0) as bigint) minority_mass,
+  cast(coalesce(sum(all_rows) filter (holders<>1),0) as bigint) tied_mass from {FOREIGN_VOTES}""", "dirty_orders")
+def weighted_dedup_report_foreign(spark, d):
+    return dedup.weighted_dedup_report(i.dirty_orders(spark, d), i.ORDERS)
+
+
 @query(f"""select cast(count(*) as bigint) rows_before, (select count(*) from (select distinct {FEATURES}, Result from order_profiles)) rows_after,
            count(*)-(select count(*) from (select distinct {FEATURES}, Result from order_profiles)) exact_duplicates_removed from order_profiles""",
        "order_profiles")

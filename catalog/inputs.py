@@ -41,14 +41,14 @@ def _order_columns() -> list[Column]:
     ]
 
 
-def order_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _orders(spark: SparkSession, sf_dir: str, how: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
         F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("q"), F.max("l_discount").alias("md"),
         F.count_if(F.col("l_returnflag") == "R").alias("returned"),
     )
     orders = table(spark, sf_dir, "orders")
-    n, q, md, ret = F.col("n"), F.col("q"), F.col("md"), F.col("returned")
-    return orders.join(lines, orders["o_orderkey"] == lines["l_orderkey"]).select(
+    n, q, md, ret = (F.coalesce(F.col(c), F.lit(0)) for c in ("n", "q", "md", "returned"))
+    return orders.join(lines, orders["o_orderkey"] == lines["l_orderkey"], how).select(
         F.col("o_orderkey").cast("bigint").alias("row_id"),
         _steps(n, n <= 2, n <= 5).alias("f_lines"),
         _steps(q, q < 60, q < 120).alias("f_qty"),
@@ -58,7 +58,17 @@ def order_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-ORDER_PROFILES = """
+def order_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order; one without lines has none, no quantity, no discount and no returns."""
+    return _orders(spark, sf_dir, "left")
+
+
+def lined_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _orders(spark, sf_dir, "inner")
+
+
+def _orders_sql(join: str) -> str:
+    return f"""
 select cast(o_orderkey as bigint) row_id,
   cast(case when n<=2 then -1 when n<=5 then 0 else 1 end as int) f_lines,
   cast(case when q<60 then -1 when q<120 then 0 else 1 end as int) f_qty,
@@ -67,10 +77,15 @@ select cast(o_orderkey as bigint) row_id,
   cast(case o_orderstatus when 'F' then -1 when 'P' then 0 else 1 end as int) f_status,
   cast(case when substr(o_orderpriority,1,1)<='2' then 1 else -1 end as int) f_prio,
   cast(case when o_totalprice>=250000 then 1 else -1 end as int) Result
-from orders join (
-  select l_orderkey, count(*) n, sum(l_quantity) q, max(l_discount) md,
-         sum(case when l_returnflag='R' then 1 else 0 end) ret
-  from lineitem group by l_orderkey) li on o_orderkey=l_orderkey"""
+from (
+  select orders.*, coalesce(n,0) n, coalesce(q,0) q, coalesce(md,0) md, coalesce(ret,0) ret
+  from orders {join} join (
+    select l_orderkey, count(*) n, sum(l_quantity) q, max(l_discount) md,
+           sum(case when l_returnflag='R' then 1 else 0 end) ret
+    from lineitem group by l_orderkey) li on o_orderkey=l_orderkey)"""
+
+
+ORDER_PROFILES, LINED_ORDERS = _orders_sql("left"), _orders_sql("inner")
 
 
 def document_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,7 +133,7 @@ select *, cast(row_id%3+1 as double) sample_weight, cast(row_id%10+1 as int) out
 def orders_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order keyed by customer: orders without lines lack features, customers repeat."""
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer"), *_order_columns())
-    lines = order_profiles(spark, sf_dir).select(F.col("row_id").alias("order_id"), *ORDER_FEATURES[:4])
+    lines = lined_orders(spark, sf_dir).select(F.col("row_id").alias("order_id"), *ORDER_FEATURES[:4])
     return orders.join(lines, "order_id", "left").select(F.col("customer").alias("row_id"), *ORDER_FEATURES, "Result")
 
 
@@ -127,7 +142,7 @@ select o_custkey row_id, f_lines, f_qty, f_returns, f_disc,
   cast(case o_orderstatus when 'F' then -1 when 'P' then 0 else 1 end as int) f_status,
   cast(case when substr(o_orderpriority,1,1)<='2' then 1 else -1 end as int) f_prio,
   cast(case when o_totalprice>=250000 then 1 else -1 end as int) Result
-from orders left join (select row_id, f_lines, f_qty, f_returns, f_disc from order_profiles) l on l.row_id=o_orderkey"""
+from orders left join (select row_id, f_lines, f_qty, f_returns, f_disc from lined_orders) l on l.row_id=o_orderkey"""
 
 
 def dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -359,9 +374,10 @@ def tree_score_sql(prefix: str = "", replaced: dict[str, str] | None = None) ->
 
 CTES: dict[str, tuple[str, tuple[str, ...]]] = {
     "order_profiles": (ORDER_PROFILES, ()),
+    "lined_orders": (LINED_ORDERS, ()),
     "document_quality": (DOCUMENT_QUALITY, ()),
     "weighted_orders": (WEIGHTED_ORDERS_SQL, ("order_profiles",)),
-    "orders_with_gaps": (ORDERS_WITH_GAPS, ("order_profiles",)),
+    "orders_with_gaps": (ORDERS_WITH_GAPS, ("lined_orders",)),
     "dirty_orders": (DIRTY_ORDERS, ("orders_with_gaps",)),
     "predictions": (PREDICTIONS, ("weighted_orders",)),
     "prediction_rows": (PREDICTION_ROWS, ("predictions",)),

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from profilespark.spec import HIGH_CONFIDENCE, POSITIVE, TableSpec
+from profilespark.spec import HIGH_CONFIDENCE, POSITIVE, WEIGHT, TableSpec
 
 
 def split_features_target(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -16,6 +16,17 @@ def split_features_target(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.select(*key, *spec.features, spec.target, weight.alias("sample_weight"))
 
 
+def with_weight(df: DataFrame, spec: TableSpec, weighted: bool = True) -> tuple[DataFrame, TableSpec]:
+    """The table with exactly one weight column, under the usual name, and its spec.
+
+    Weights are 1.0 where the spec names none, the table lacks the column, or they are not wanted.
+    """
+    given = spec.weight if weighted and spec.weight in df.columns else None
+    weight = F.col(given).cast("double") if given else F.lit(1.0)
+    old = [c for c in (spec.weight, WEIGHT) if c in df.columns and c not in spec.features]
+    return df.withColumn("_weight", weight).drop(*old).withColumnRenamed("_weight", WEIGHT), spec.with_(weight=WEIGHT)
+
+
 def binarize_label(label: Column, positive: int = POSITIVE) -> Column:
     return (label == positive).cast("int")
 
@@ -71,8 +82,10 @@ def rename_and_fill(importance: DataFrame, model: str) -> DataFrame:
     )
 
 
-def union_results(tables: list[DataFrame]) -> DataFrame:
-    """Stack per-model tables of one schema."""
+def union_results(tables: list[DataFrame], spark: SparkSession | None = None) -> DataFrame:
+    """Stack per-model tables of one schema; of no tables, a table without rows and columns."""
+    if not tables:
+        return (spark or SparkSession.active()).createDataFrame([], "struct<>")
     stacked, *rest = tables
     for table in rest:
         stacked = stacked.unionByName(table)

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from profilespark.spec import WEIGHT, TableSpec
 
@@ -18,39 +16,32 @@ def unique_profiles(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.select(*spec.features).distinct()
 
 
-def profile_votes(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Rows per label of each profile: one shuffle, pre-aggregated on the map side.
-
-    The labels are the declared ones, so a profile held by a third of the table
-    still reaches the shuffle as one row per map task.
-    """
-    votes = [spec.label_rows(label).alias(f"_votes_{i}") for i, label in enumerate(spec.labels)]
-    return df.groupBy(*spec.features).agg(F.sum(spec.rows).alias("_rows"), *votes)
-
-
-def _vote_columns(spec: TableSpec) -> list[Column]:
-    return [F.col(f"_votes_{i}") for i in range(len(spec.labels))]
-
+def label_votes(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Rows per (profile, label), whatever labels occur: pre-aggregated on the map side."""
+    return df.groupBy(*spec.features, spec.target).agg(F.sum(spec.rows).alias("_votes"))
 
-def _top(spec: TableSpec) -> Column:
-    return F.greatest(*_vote_columns(spec))
-
-
-def _holders(spec: TableSpec) -> Column:
-    """How many labels reach the top count; two or more is a tie."""
-    return reduce(lambda a, b: a + b, [(v == _top(spec)).cast("int") for v in _vote_columns(spec)])
 
+def profile_votes(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Per profile: its rows, its labels, and the top count with the smallest and largest label that reach it.
 
-def _labels_present(spec: TableSpec) -> Column:
-    return reduce(lambda a, b: a + b, [(v > 0).cast("int") for v in _vote_columns(spec)])
+    The vote is over labels that occur, so rows of an undeclared label count too. A null label has
+    rows, but stands in no vote.
+    """
+    label = F.col(spec.target)
+    voted = F.when(label.isNotNull(), F.col("_votes"))
+    return label_votes(df, spec).groupBy(*spec.features).agg(
+        F.sum("_votes").alias("_rows"), F.count(label).alias("_labels"),
+        F.max(F.when(voted.isNotNull(), F.struct(voted.alias("n"), label.alias("label")))).alias("_last"),
+        F.max(F.when(voted.isNotNull(), F.struct(voted.alias("n"), (-label).alias("label")))).alias("_first"),
+    ).select(
+        *spec.features, "_rows", "_labels", F.coalesce(F.col("_last.n"), F.lit(0)).alias("_top"),
+        F.col("_last.label").alias("_winner"), (F.col("_last.label") == -F.col("_first.label")).alias("_clear"),
+    )
 
 
 def majority_from_votes(votes: DataFrame, spec: TableSpec) -> DataFrame:
     """Keep the majority label, weighted by its own support only; drop tied profiles."""
-    winner = F.coalesce(*[F.when(v == _top(spec), F.lit(label)) for v, label in zip(_vote_columns(spec), spec.labels)])
-    return votes.where((_holders(spec) == 1) & (_top(spec) > 0)).select(
-        *spec.features, winner.cast("int").alias(spec.target), _top(spec).alias(WEIGHT)
-    )
+    return votes.where("_clear").select(*spec.features, F.col("_winner").cast("int").alias(spec.target), F.col("_top").alias(WEIGHT))
 
 
 def weighted_majority_dedup(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -66,8 +57,7 @@ def exact_dedup_report(df: DataFrame) -> DataFrame:
 
 def weighted_dedup_report(df: DataFrame, spec: TableSpec) -> DataFrame:
     """What the vote did: ties dropped, conflicts resolved, mass kept and discarded."""
-    top, holders, present = _top(spec), _holders(spec), _labels_present(spec)
-    kept = holders == 1
+    top, kept = F.col("_top"), F.coalesce("_clear", F.lit(False))
     total = lambda c, value: F.sum(F.when(c, value).otherwise(F.lit(0).cast("bigint")))
     one = F.lit(1).cast("bigint")
     return profile_votes(df, spec).agg(
@@ -75,7 +65,7 @@ def weighted_dedup_report(df: DataFrame, spec: TableSpec) -> DataFrame:
         F.count(F.lit(1)).alias("profiles_before"),
         total(kept, one).alias("profiles_kept"),
         total(~kept, one).alias("dropped_ties"),
-        total(kept & (present > 1), one).alias("resolved_conflicts"),
+        total(kept & (F.col("_labels") > 1), one).alias("resolved_conflicts"),
         total(kept, top).alias("retained_mass"),
         total(kept, F.col("_rows") - top).alias("minority_mass"),
         total(~kept, F.col("_rows")).alias("tied_mass"),
@@ -100,7 +90,8 @@ def row_key(df: DataFrame, out: str = "row_id") -> DataFrame:
     spread over the cluster; all others stay where they are.
     """
     columns = df.columns
-    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in columns])
+    # As JSON: quoted texts and a null of its own, so different rows have different texts.
+    text = F.to_json(F.array(*[F.col(c).cast("string") for c in columns]))
     counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
     few = counted.where(F.col("_n") <= CHUNK).withColumn("_occurrence", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n"))))
     chunk = F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(_n - 1) div {CHUNK}")))

@@ -48,6 +48,9 @@ def error_summary(predictions: DataFrame, threshold: float = HIGH_CONFIDENCE) ->
 def error_by_feature_value(predictions: DataFrame, table: DataFrame, spec: TableSpec) -> DataFrame:
     """Error mass and rates per (model, feature, value) for all features in one job."""
     features = table.select(spec.key, *spec.features)
+    # One row per key, or an error: a key that occurs twice would count its predictions twice.
+    once = F.when(F.count(F.lit(1)) == 1, F.lit(True)).otherwise(F.raise_error(F.lit("A row key occurs more than once in the feature table.")).cast("boolean"))
+    features = features.groupBy(spec.key).agg(once.alias("_once"), *[F.first(f).alias(f) for f in spec.features]).where("_once").drop("_once")
     long = predictions.join(features, spec.key, "left").withColumn("_mass", prediction_mass(predictions))
     long = long.unpivot(
         ["model", "_mass", "correct", "error_type", "high_confidence_error", "phishing_probability"],

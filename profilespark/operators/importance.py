@@ -5,9 +5,9 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from profilespark.functions.exprs import rename_and_fill
+from profilespark.functions.exprs import rename_and_fill, with_weight
 from profilespark.functions.ranking import assign_segments, bucket_counts, cut_keys, with_order_key
 from profilespark.operators.quality import require_columns
 from profilespark.session import materialize
@@ -20,14 +20,12 @@ SUMMARY_COLUMNS = (
 # Rows of one (fold, feature, repeat) that may share a hash bucket: the most one task sorts for a cut.
 BUCKET_ROWS = 4_000_000
 # Permuted copies worth a task of their own.
-COPIES_PER_TASK = 200_000
+COPIES_PER_TASK = 1_000_000
 
 
 def _tasks(copies: int) -> int:
-    """Tasks for so many copies: up to as many as the session shuffles into."""
-    spark = SparkSession.active()
-    most = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return max(1, min(most, math.ceil(copies / COPIES_PER_TASK)))
+    """Tasks for so many copies, however many there are."""
+    return max(1, math.ceil(copies / COPIES_PER_TASK))
 
 
 def _bucket_digits(rows: int) -> int:
@@ -95,7 +93,8 @@ def permutation_importance(rows: DataFrame, spec: TableSpec, points: dict[str, l
     without being scored. Weights stay with their row. ``portable`` permutes in an
     order other engines can reproduce, at a higher price.
     """
-    weight = F.col(WEIGHT).cast("double")
+    rows, spec = with_weight(rows, spec)
+    weight = F.col(WEIGHT)
     right = F.sum(F.when(F.col("y_pred") == F.col(spec.target), weight).otherwise(0.0)) / F.sum(weight)
     base = predict(rows).groupBy(fold).agg(right.alias("_base"))
     unused = [f for f in spec.features if f not in points]

@@ -15,7 +15,7 @@ from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassi
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from profilespark.functions.exprs import union_results
+from profilespark.functions.exprs import union_results, with_weight
 from profilespark.operators.diagnostics import prediction_table
 from profilespark.operators.metrics import accuracy
 from profilespark.operators.selection import MutualInformationSelector, MutualInformationSelectorModel
@@ -26,15 +26,27 @@ from profilespark.session import materialize
 from profilespark.spec import FAMILIES, SEED, WEIGHT, TableSpec
 
 LABEL = "_label"
+# Split points that a tree looks at per feature: one per value up to MAX_BINS values, which bounds a
+# node's statistics; a feature with more values is cut at as many quantiles.
+MIN_BINS, MAX_BINS = 32, 1024
 # The deepest tree pyspark.ml grows; stands for "no limit".
 MAX_DEPTH = 30
 
 
+def with_bins(df: DataFrame, spec: TableSpec) -> TableSpec:
+    """The spec with the number of values of its widest feature, from one pass if nobody has counted yet."""
+    if spec.bins is not None or not spec.features:
+        return spec
+    counts = df.agg(*[F.approx_count_distinct(f, 0.02).alias(f) for f in spec.features]).first()
+    # Estimates may be a few percent low, and a bin too many changes nothing.
+    return spec.with_(bins=int(max(counts) * 1.1) + 2)
+
+
 def with_label(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.withColumn(LABEL, ((F.col(spec.target) - spec.positive) / (spec.negative - spec.positive)).cast("double"))
 
 
-def build_classifier(family: str, params: Mapping[str, object], weighted: bool = True) -> Estimator:
+def build_classifier(family: str, params: Mapping[str, object], weighted: bool = True, bins: int | None = None) -> Estimator:
     """Classifier stage from a parameter record (names without prefix).
 
     ``min_samples_split`` has no counterpart in ``pyspark.ml``; it is applied to
@@ -44,6 +56,7 @@ def build_classifier(family: str, params: Mapping[str, object], weighted: bool =
     shared = dict(
         featuresCol="features", labelCol=LABEL, seed=SEED, leafCol="leaf", impurity=params.get("criterion", "gini"),
         maxDepth=MAX_DEPTH if depth is None else int(depth), minInstancesPerNode=int(params.get("min_samples_leaf", 1)),
+        maxBins=min(MAX_BINS, max(MIN_BINS, bins or 0)),
     )
     if weighted:
         shared["weightCol"] = WEIGHT
@@ -67,7 +80,7 @@ def split_parameters(parameters: Mapping[str, object]) -> tuple[int | str, dict[
 def build_model(family: str, parameters: Mapping[str, object], spec: TableSpec, weighted: bool = True) -> Pipeline:
     """Selector and classifier in one estimator; only the classifier sees the weights."""
     k, classifier = split_parameters(parameters)
-    return Pipeline(stages=[MutualInformationSelector(spec=spec, k=k), build_classifier(family, classifier, weighted)])
+    return Pipeline(stages=[MutualInformationSelector(spec=spec, k=k), build_classifier(family, classifier, weighted, spec.bins)])
 
 
 def fits_on_cells(params: Mapping[str, object], weighted: bool) -> bool:
@@ -87,7 +100,7 @@ def grow_tree(table: DataFrame, spec: TableSpec, features: Sequence[str], params
     (features, label) cells, so growing costs as much as there are profiles.
     """
     selector = MutualInformationSelectorModel(selected=tuple(features), outputCol="features")
-    classifier = build_classifier(FAMILIES[0], params, weighted=True)
+    classifier = build_classifier(FAMILIES[0], params, weighted=True, bins=spec.bins)
     if not fits_on_cells(params, weighted):
         if spec.multiplicity:
             raise ValueError("A minimum leaf size over weighted rows needs the rows, not their cells.")
@@ -155,19 +168,21 @@ def fit_selected(family: str, parameters: Mapping[str, object], df: DataFrame, s
     A forest is fitted on the rows themselves: bootstrap draws rows, so they
     cannot be collapsed.
     """
+    df, spec = with_weight(df, spec, weighted)
     _, params = split_parameters(parameters)
     selector = MutualInformationSelectorModel(selected=tuple(features), outputCol="features")
     min_split = int(params.get("min_samples_split", 2))
     if family == FAMILIES[0]:
-        model, nodes = grow_tree(df, spec if weighted else spec.with_(weight=None), features, params, weighted)
+        model, nodes = grow_tree(df, spec, features, params, weighted)
         return FittedModel(selector, model, spec, min_split, nodes)
-    forest = build_classifier(family, params, weighted).fit(selector.transform(with_label(df, spec)))
+    forest = build_classifier(family, params, weighted, spec.bins).fit(selector.transform(with_label(df, spec)))
     return FittedModel(selector, forest, spec, min_split)
 
 
 def fit(family: str, parameters: Mapping[str, object], df: DataFrame, spec: TableSpec, weighted: bool = True) -> FittedModel:
     """Fit (or refit) a parameter record on all given rows: selection first, then the classifier."""
     k, _ = split_parameters(parameters)
+    df, spec = with_weight(df, with_bins(df, spec), weighted)
     selector = MutualInformationSelector(spec=spec, k=k).fit(df)
     return fit_selected(family, parameters, df, spec, selector.selected, weighted)
 
@@ -176,9 +191,10 @@ def predict(model: FittedModel, df: DataFrame, name: str) -> DataFrame:
     """Label and P(positive class) per row, as a prediction table keyed by the row key."""
     spec = model.spec
     keep = [c for c in ("outer_fold", "split") if c in df.columns]
+    weight = F.col(WEIGHT).cast("double") if WEIGHT in df.columns else F.lit(1.0)
     return prediction_table(
         model.score(df).select(
-            F.lit(name).alias("model"), *keep, spec.key, F.col(WEIGHT).cast("double").alias(WEIGHT),
+            F.lit(name).alias("model"), *keep, spec.key, weight.alias(WEIGHT),
             F.col(spec.target).alias("y_true"), "y_pred", "phishing_probability",
         )
     )
@@ -187,7 +203,8 @@ def predict(model: FittedModel, df: DataFrame, name: str) -> DataFrame:
 def fit_candidates(configurations: list[tuple[str, float, dict[str, object]]], dev: DataFrame, test: DataFrame,
                    spec: TableSpec, weighted: bool) -> tuple[DataFrame, dict[str, FittedModel]]:
     """Fit each family's chosen configuration; held-out accuracy per family."""
+    spec = with_bins(dev, spec)
+    test, _ = with_weight(test, spec, weighted)
     models = {name: fit(name, parameters, dev, spec, weighted) for name, _, parameters in configurations}
     scored = union_results([predict(model, test, name) for name, model in models.items()])
-    scored = scored if weighted else scored.drop(WEIGHT)
     return accuracy(scored, ["model"]).withColumnRenamed("accuracy", "test_accuracy"), models

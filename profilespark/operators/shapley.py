@@ -43,7 +43,7 @@ def _masks(profiles: DataFrame, features: list[str], conditions: DataFrame, carr
 
 
 def _profiles(df: DataFrame, features: list[str]) -> DataFrame:
-    digest = F.md5(F.concat_ws("|", *[F.col(f).cast("string") for f in features]))
+    digest = F.md5(F.to_json(F.array(*[F.col(f) for f in features])))  # a missing value is a value of its own
     counted = df.select(*[F.col(f).cast("double") for f in features]).groupBy(*features).agg(F.count(F.lit(1)).alias("_n"))
     return counted.withColumn("_profile", digest)
 
@@ -103,7 +103,7 @@ def explained_rows(samples: DataFrame, background: DataFrame, nodes: Sequence[No
     if features:
         by_profile = shapley_by_profile(samples, background, nodes, samples.sparkSession)
         renamed = by_profile.withColumnsRenamed({f: f"_p_{f}" for f in features})
-        same = [F.col(f).cast("double") == F.col(f"_p_{f}") for f in features]
+        same = [F.col(f).cast("double").eqNullSafe(F.col(f"_p_{f}")) for f in features]
         # One profile row per sample: adaptive execution broadcasts the profiles when
         # they are measured small and splits a hot profile otherwise.
         rows = rows.join(renamed, same).drop(*[f"_p_{f}" for f in features])

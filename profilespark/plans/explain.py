@@ -13,9 +13,9 @@ from profilespark.spec import TableSpec
 
 
 def explain(dev: DataFrame, samples: DataFrame, spec: TableSpec, family: str, parameters: dict[str, object],
-            importance_summary: DataFrame, background_size: int = BACKGROUND_SIZE) -> dict[str, DataFrame]:
+            importance_summary: DataFrame, background_size: int = BACKGROUND_SIZE, weighted: bool = True) -> dict[str, DataFrame]:
     """Refit on the development table, rank global importances, and explain any set of rows."""
-    model = fit(family, parameters, dev, spec)
+    model = fit(family, parameters, dev, spec, weighted)
     background = materialize(background_sample(dev, spec.key, background_size), "background")
     nodes = model.nodes
     explained = materialize(explained_rows(samples, background, nodes, spec, model.selected), "explained")

@@ -7,14 +7,14 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from profilespark.functions.exprs import union_results
+from profilespark.functions.exprs import union_results, with_weight
 from profilespark.operators import search
 from profilespark.operators.cross_validation import PARALLELISM, cv_scores, fold_cells
 from profilespark.operators.diagnostics import error_by_feature_value, error_summary, fold_pivot, wilcoxon_paired
 from profilespark.operators.eda import mutual_information
 from profilespark.operators.importance import REPEATS, importance_summary, permutation_importance
 from profilespark.operators.metrics import classification_metrics
-from profilespark.operators.models import FittedModel, fit, predict
+from profilespark.operators.models import FittedModel, fit, predict, with_bins
 from profilespark.operators.selection import feature_ranking_topn, selected_feature_table
 from profilespark.operators.splits import stratified_kfold
 from profilespark.operators.trees import thresholds
@@ -91,6 +91,7 @@ def nested_cv(folded: DataFrame, spec: TableSpec, families: Sequence[str], plan:
     next fold starts, so a lost executor costs one fold's work and no lineage grows.
     """
     searches, predictions, importances = [], [], []
+    folded, spec = with_weight(folded, spec, weighted)
     for outer in range(1, plan.n_outer + 1):
         train = folded.where(F.col("outer_fold") != outer).drop("outer_fold")
         held_out = folded.where(F.col("outer_fold") == outer)
@@ -136,9 +137,11 @@ def run_configuration(table: DataFrame, spec: TableSpec, plan: SearchPlan, metri
 def select_model(table: DataFrame, spec: TableSpec, plan: SearchPlan | None = None, weighted: bool = True) -> dict[str, DataFrame]:
     """Every table of the model-selection stage for one prepared development table.
 
-    ``table`` holds key, features, target and weight.
+    ``table`` holds key, features, target and perhaps a weight. The weight is settled here, once:
+    every fit, score and report below reads the same column.
     """
     plan = plan or SearchPlan()
+    table, spec = with_weight(table, with_bins(table, spec), weighted)
     metric = "weighted_accuracy" if weighted else "accuracy"
     folded = materialize(stratified_kfold(table, spec.target, spec.key, plan.n_outer, plan.seed), "outer-folds", ["outer_fold"])
     families = [f for f in FAMILIES if f in plan.spaces]

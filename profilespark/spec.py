@@ -32,6 +32,8 @@ class TableSpec:
     multiplicity: str | None = None
     positive: int = POSITIVE
     negative: int = NEGATIVE
+    # The most different values of a feature, where it has been measured (see ``with_bins``).
+    bins: int | None = None
 
     @classmethod
     def infer(cls, df: DataFrame, target: str = TARGET, weight: str = WEIGHT, key: str | None = None) -> "TableSpec":

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalog import inputs as i
-from profilespark.operators import diagnostics, eda, importance, metrics, models, search, selection, shapley
+from profilespark.operators import cross_validation, diagnostics, eda, importance, metrics, models, search, selection, shapley
 from profilespark.operators.splits import background_sample
 from profilespark.operators.trees import Node, cut_leaves, score_expression, score_nodes, thresholds, used_features
 from profilespark.spec import FAMILIES, TableSpec
@@ -235,6 +235,9 @@ def test_shapley_of_a_stump(spark):
     base = 0.75 * 0.2 + 0.25 * 0.8
     assert values[(1, "a")] == pytest.approx(0.2 - base) and values[(2, "a")] == pytest.approx(0.8 - base)
     assert values[(1, "b")] == 0.0
+    gaps = spark.createDataFrame([(1, 0, 0), (3, None, 0), (4, None, 1)], "row_id int, a int, b int")
+    explained = shapley.explained_rows(gaps, background, stump, spec)
+    assert sorted(r["row_id"] for r in explained.collect()) == [1, 3, 4]
 
 
 @pytest.fixture(scope="module")
@@ -299,3 +302,44 @@ def test_unknown_family(documents):
 
 def test_used_features():
     assert used_features(i.ORDER_TREES) == ["f_disc", "f_lines", "f_prio", "f_qty", "f_returns"]
+
+
+def test_unweighted_is_as_without_a_weight_column(spark, documents):
+    """Neither fits nor scores read a weight that is not wanted."""
+    spec = i.DOCS.with_(weight="sample_weight")
+    rows = documents.withColumn("sample_weight", (F.col("row_id") % 5 + 1).cast("double")).withColumn("inner_fold", (F.col("row_id") % 2 + 1).cast("int"))
+    for family, more in ((FAMILIES[0], {}), (FAMILIES[1], {"classifier__n_estimators": 3, "classifier__max_features": "sqrt", "classifier__bootstrap": True})):
+        for smallest in (1, 4):
+            candidate = {"candidate_id": 1, "feature_selection__k": 3, "classifier__criterion": "gini", "classifier__max_depth": 3,
+                         "classifier__min_samples_split": 2, "classifier__min_samples_leaf": smallest, **more}
+            scores = [
+                sorted(tuple(r) for r in cross_validation.cv_scores(table, s, family, [candidate], 2, weighted=w).collect())
+                for table, s, w in ((rows, spec, False), (rows.drop("sample_weight"), i.DOCS, True), (rows.drop("sample_weight"), i.DOCS, False))
+            ]
+            assert scores[0] == scores[1] == scores[2]
+
+
+def test_a_feature_table_holds_a_key_once(spark):
+    predictions = diagnostics.prediction_table(spark.createDataFrame(
+        [("m", 1, 1.0, -1, 1, 0.3), ("m", 2, 1.0, 1, 1, 0.2)],
+        "model string, row_id int, sample_weight double, y_true int, y_pred int, phishing_probability double"))
+    spec = SPEC.with_(key="row_id")
+    once = spark.createDataFrame([(1, 5, 5, 1), (2, 6, 6, 1)], "row_id int, a int, b int, Result int")
+    assert diagnostics.error_by_feature_value(predictions, once, spec).agg(F.sum("unique_profiles")).first()[0] == 4
+    with pytest.raises(Exception, match="more than once"):
+        diagnostics.error_by_feature_value(predictions, once.unionByName(once.limit(1)), spec).collect()
+
+
+def test_values_beyond_thirty_two_are_split_points(spark):
+    """A tree finds the one value, of a hundred, at which the label changes."""
+    rows = spark.range(400).select(F.col("id").alias("row_id"), (F.col("id") % 100).cast("int").alias("a"), F.lit(0).alias("b"))
+    rows = rows.withColumn("Result", F.when(F.col("a") <= 36, 1).otherwise(-1).cast("int"))
+    spec = SPEC.with_(key="row_id")
+    parameters = {"feature_selection__k": "all", "classifier__criterion": "gini", "classifier__max_depth": 1, "classifier__min_samples_split": 2, "classifier__min_samples_leaf": 1}
+    model = models.fit(FAMILIES[0], parameters, rows, spec)
+    assert model.score(rows).where("y_pred <> Result").count() == 0
+
+
+def test_a_submatrix_needs_a_correlation(spark):
+    with pytest.raises(ValueError, match="no two features"):
+        eda.top_correlated_submatrix(eda.spearman_matrix(frame(spark, [(1, 0, -1), (2, 0, 1)]), SPEC), SPEC)

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from profilespark.operators import dedup, eda, quality, splits
-from profilespark.plans.prepare import prepare, prepare_weighted
+from profilespark.functions.exprs import union_results
+from profilespark.plans.prepare import load_and_prepare, prepare, prepare_weighted
 from profilespark.session import shared_dir
 from profilespark.sources import arff, tables
 from profilespark.spec import TableSpec
@@ -38,7 +39,7 @@ def test_majority_vote_with_three_labels(spark):
 
 
 def test_all_profiles_tied_raises(spark):
-    with pytest.raises(ValueError, match="removed all"):
+    with pytest.raises(ValueError, match="clear majority"):
         prepare_weighted(frame(spark, [(1, 1, -1), (1, 1, 1)]), SPEC)
 
 
@@ -145,7 +146,7 @@ def test_checks_raise(spark):
         quality.check_schema(frame(spark, [(1, 1, 1)]), TableSpec(features=()))
     with pytest.raises(ValueError, match="missing required"):
         quality.require_columns(frame(spark, [(1, 1, 1)]), ["z"], "table")
-    with pytest.raises(ValueError, match="Missing from test: \\['b'\\]"):
+    with pytest.raises(ValueError, match="lacks the features \\['b'\\]"):
         quality.align_features(frame(spark, [(1, 1, 1)]).drop("b"), SPEC)
     assert quality.duplicate_columns(["a", "b", "a"]) == ["a"]
 
@@ -217,3 +218,31 @@ def test_missing_file_raises(spark):
 
 def test_shared_folder_is_the_sessions(spark):
     assert shared_dir(spark).removeprefix("file:") == f"{spark.conf.get('spark.checkpoint.dir')}/{spark.sparkContext.applicationId}"
+
+
+def test_undeclared_labels_vote(spark):
+    data = frame(spark, [(0, 0, 0), (0, 0, 0), (0, 0, 1), (1, 1, 0), (2, 2, 0), (2, 2, -1), (None, 1, 7)])
+    assert sorted(map(tuple, dedup.weighted_majority_dedup(data, SPEC).collect()), key=repr) == [(0, 0, 0, 2), (1, 1, 0, 1), (None, 1, 7, 1)]
+    report = dedup.weighted_dedup_report(data, SPEC).first()
+    assert (report["dropped_ties"], report["tied_mass"], report["minority_mass"], report["retained_mass"]) == (1, 2, 1, 4)
+    assert {tuple(r) for r in eda.conflicting_profiles(data, SPEC).collect()} == {(0, 0, 2, 3), (2, 2, 2, 2)}
+
+
+def test_rows_of_other_texts_have_other_keys(spark):
+    rows = [("x|y", "z"), ("x", "y|z"), (None, "q"), ("null", "q"), ('a","b', "c"), ("a", 'b","c')]
+    assert dedup.row_key(spark.createDataFrame(rows, "a string, b string")).select("row_id").distinct().count() == len(rows)
+
+
+def test_gaps_are_refused_where_they_have_no_rank(spark):
+    with pytest.raises(Exception, match="without missing values"):
+        eda.spearman_matrix(frame(spark, [(1, 1, 1), (None, 2, 1)]), SPEC).collect()
+
+
+def test_modelling_rules_name_the_columns(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("a,b,Result\n1,,1\n2,,-1\n,3,1\n")
+    with pytest.raises(ValueError, match=r"a \(1\), b \(2\)"):
+        load_and_prepare(spark, str(tmp_path / "t.csv"), quality.MODELLING)
+
+
+def test_no_tables_make_an_empty_table(spark):
+    assert union_results([]).count() == 0
