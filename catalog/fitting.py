@@ -6,12 +6,14 @@ the whole table.
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from catalog import inputs as i
+from catalog.cleaning import holdout_sql
 from catalog.exploring import DOCS_MI, k_best_sql
 from catalog.registry import query
-from profilespark.operators import cross_validation, metrics, models, search, splits
+from profilespark.operators import cross_validation, models, search, splits
 from profilespark.operators.importance import importance_summary, permutation_importance
 from profilespark.operators.selection import MutualInformationSelector
 from profilespark.operators.trees import thresholds
@@ -49,18 +51,74 @@ def _sides(spark, d):
     return (written.where(F.col("split") == s).drop("split") for s in ("train", "test"))
 
 
-@query(f"select feature from ({k_best_sql(DOCS_MI, i.DOC_FEATURES)}) where place<=3", "document_quality")
+def tree_sql(source: str, train: str = "true", weight: str = "w", features=i.DOC_FEATURES, k: int | None = 3, depth: int = 3) -> str:
+    """``row_id, y_true, y_pred`` of a tree grown in SQL, level by level, on the training rows of a table of small integers.
+
+    The best cut of a node has the largest gini gain, the earlier feature and then the lower cut where several do.
+    """
+    chosen = "true" if k is None else f"feature in (select feature from ({k_best_sql(mi_sql(source, train), features)}) where place<={k})"
+    cuts = ", ".join(f"('{f}', {n}, {c})" for n, (f, c) in enumerate((f, c) for f in features for c in (-0.5, 0.5)))
+    gini = lambda a, b: f"(1-pow(({a})/(({a})+({b})),2)-pow(({b})/(({a})+({b})),2))"
+    levels = []
+    for level in range(depth):
+        levels.append(f"""
+  sums{level} as (
+    select n.node, c.feature, c.ord, c.cut, count(*) filter (value<=cut) rows_l, count(*) filter (value>cut) rows_r,
+      sum(case when value<=cut and y=-1 then w else 0 end) al, sum(case when value<=cut and y<>-1 then w else 0 end) bl,
+      sum(case when value>cut and y=-1 then w else 0 end) ar, sum(case when value>cut and y<>-1 then w else 0 end) br
+    from node{level} n join train using (row_id) join long using (row_id) join cuts c using (feature) group by all),
+  gains{level} as (
+    select *, {gini('al+ar', 'bl+br')}-(al+bl)/(al+bl+ar+br)*{gini('al', 'bl')}-(ar+br)/(al+bl+ar+br)*{gini('ar', 'br')} gain
+    from sums{level} where rows_l>0 and rows_r>0),
+  best{level} as (
+    select * from (select *, row_number() over (partition by node order by round(gain,12) desc, ord) place from gains{level})
+    where place=1 and gain>1e-12),
+  node{level + 1} as (
+    select n.row_id, case when b.node is null then n.node else 2*n.node+(case when value>cut then 1 else 0 end) end node
+    from node{level} n left join best{level} b using (node) left join long on long.row_id=n.row_id and long.feature=b.feature)""")
+    unpivoted = " union all ".join(f"select row_id, '{f}' feature, {f} value from data" for f in features)
+    return f"""
+with data as (select *, cast({weight} as double) w, Result y from {source}),
+  train as (select row_id, w, y from data where {train}),
+  long as ({unpivoted}),
+  cuts as (select * from (values {cuts}) c(feature, ord, cut) where {chosen}),
+  node0 as (select row_id, 1 node from data),{",".join(levels)},
+  leaves as (select node, sum(case when y=-1 then w else 0 end) a, sum(case when y<>-1 then w else 0 end) b from node{depth} join train using (row_id) group by node)
+select row_id, y y_true, cast(case when a>=b then -1 else 1 end as int) y_pred from node{depth} join leaves using (node) join data using (row_id)"""
+
+
+def mi_sql(source: str, where: str = "true") -> str:
+    """The selector's scores on the rows it is fitted on."""
+    return DOCS_MI if source == "document_quality" and where == "true" else DOCS_MI.replace("document_quality", f"(select * from {source} where {where})")
+
+
+SPLIT_DOCUMENTS = f"(select q.*, q.row_id%3+1 weight, h.split from document_quality q join ({holdout_sql('document_quality')}) h using (row_id))"
+WEIGHTED_DOCUMENTS = "(select *, row_id%3+1 weight from document_quality)"
+
+
+@query(f"""select row_id, {', '.join(f"case when '{f}' in (select feature from ({k_best_sql(DOCS_MI, i.DOC_FEATURES)}) where place<=3) then cast({f} as double) end {f}" for f in i.DOC_FEATURES)}
+           from document_quality""", "document_quality")
 def mutual_information_selector(spark, d):
+    """Every row's packed values, back under the names of the selected features."""
     rows = i.document_quality(spark, d)
     model = MutualInformationSelector(spec=i.DOCS, k=3).fit(rows)
-    packed = model.transform(rows)
-    return packed.select(F.explode(F.array(*[F.lit(f) for f in model.selected])).alias("feature")).distinct()
+    packed = model.transform(rows).withColumn("values", vector_to_array(model.getOrDefault("outputCol") if model.hasParam("outputCol") else "features"))
+    at = {f: n for n, f in enumerate(model.selected)}
+    return packed.select("row_id", *[(F.get("values", F.lit(at[f])) if f in at else F.lit(None).cast("double")).alias(f) for f in i.DOC_FEATURES])
 
 
-@query()
+@query(tree_sql(WEIGHTED_DOCUMENTS, weight="weight"), "document_quality")
 def decision_tree(spark, d):
     rows = _documents(spark, d)
-    return models.predict(models.fit(TREE, TREE_PARAMETERS, rows, SPEC), rows, TREE)
+    return models.predict(models.fit(TREE, TREE_PARAMETERS, rows, SPEC), rows, TREE).select("row_id", "y_true", "y_pred")
+
+
+@query(tree_sql("(select *, 1 weight from order_profiles)", weight="weight", features=i.ORDER_FEATURES, k=None), "order_profiles")
+def decision_tree_orders(spark, d):
+    """A tree over every order and all features."""
+    rows = materialize(i.order_profiles(spark, d), "orders")
+    model = models.fit(TREE, {**TREE_PARAMETERS, "feature_selection__k": "all"}, rows, i.ORDERS, weighted=False)
+    return models.predict(model, rows, TREE).select("row_id", "y_true", "y_pred")
 
 
 @query()
@@ -69,7 +127,26 @@ def random_forest(spark, d):
     return models.predict(models.fit(FOREST, FOREST_PARAMETERS, rows, SPEC), rows, FOREST)
 
 
-@query()
+@query(tree_sql(WEIGHTED_DOCUMENTS, weight="weight"), "document_quality")
+def forest_without_bootstrap(spark, d):
+    """A forest of equal trees: nothing is drawn, and every feature is looked at."""
+    rows = _documents(spark, d)
+    parameters = {**FOREST_PARAMETERS, "classifier__bootstrap": False, "classifier__max_features": None}
+    return models.predict(models.fit(FOREST, parameters, rows, SPEC), rows, FOREST).select("row_id", "y_true", "y_pred")
+
+
+@query(f"""select model, sum(case when y_true=y_pred then row_id%3+1 else 0 end)/cast(sum(row_id%3+1) as double) test_accuracy
+           from (select unnest(['{TREE}', '{FOREST}']) model, t.row_id, t.y_true, t.y_pred
+                 from ({tree_sql(SPLIT_DOCUMENTS, "split='train'", weight='weight')}) t join {SPLIT_DOCUMENTS} s using (row_id) where s.split='test')
+           group by model""", "document_quality")
+def fit_candidates_without_bootstrap(spark, d):
+    """Held-out accuracy of both families where nothing is drawn."""
+    dev, test = _sides(spark, d)
+    parameters = {**FOREST_PARAMETERS, "classifier__bootstrap": False, "classifier__max_features": None}
+    return models.fit_candidates([(TREE, 0.0, TREE_PARAMETERS), (FOREST, 0.0, parameters)], dev, test, SPEC, True)[0]
+
+
+@query(f"select row_id, cast(case when y_pred=-1 then 0 else 1 end as double) label_index from ({tree_sql(WEIGHTED_DOCUMENTS, weight='weight')})", "document_quality")
 def selector_and_classifier(spark, d):
     """Selection and classifier as one estimator."""
     rows = _documents(spark, d)
@@ -77,13 +154,14 @@ def selector_and_classifier(spark, d):
     return fitted.transform(rows).select("row_id", F.col("prediction").alias("label_index"))
 
 
-@query()
+@query(f"""select 'weighted' model, * from ({tree_sql(WEIGHTED_DOCUMENTS, weight='weight')})
+           union all select 'unweighted', * from ({tree_sql(WEIGHTED_DOCUMENTS, weight='1')})""", "document_quality")
 def weighted_fit(spark, d):
     """The same parameters with and without weights, side by side."""
     rows = _documents(spark, d)
-    fits = {w: models.fit(TREE, TREE_PARAMETERS, rows, SPEC, w) for w in (True, False)}
-    scored = [models.predict(m, rows, f"weighted={w}") for w, m in fits.items()]
-    return metrics.classification_metrics(scored[0].unionByName(scored[1]), ["model"])
+    fits = {"weighted": models.fit(TREE, TREE_PARAMETERS, rows, SPEC), "unweighted": models.fit(TREE, TREE_PARAMETERS, rows, SPEC, False)}
+    scored = [models.predict(m, rows, name) for name, m in fits.items()]
+    return scored[0].unionByName(scored[1]).select("model", "row_id", "y_true", "y_pred")
 
 
 @query()
@@ -94,10 +172,12 @@ def minimum_split_as_cut(spark, d):
     return models.predict(models.fit(TREE, parameters, rows, SPEC), rows, TREE)
 
 
-@query()
+@query(f"""select t.row_id, t.y_true, t.y_pred from ({tree_sql(SPLIT_DOCUMENTS, "split='train'", weight='weight')}) t
+           join {SPLIT_DOCUMENTS} s using (row_id) where s.split='test'""", "document_quality")
 def refit_frozen(spark, d):
+    """A configuration refitted on the development side, read on the held-out one."""
     dev, test = _sides(spark, d)
-    return models.predict(models.fit(TREE, TREE_PARAMETERS, dev, SPEC), test, TREE)
+    return models.predict(models.fit(TREE, TREE_PARAMETERS, dev, SPEC), test, TREE).select("row_id", "y_true", "y_pred")
 
 
 @query()
