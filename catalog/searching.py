@@ -15,6 +15,7 @@ from catalog.registry import query, r, rounded, sql_round
 from profilespark.functions.exprs import union_results
 from profilespark.operators import cross_validation, metrics, search
 from profilespark.operators.splits import repeated_kfold
+from profilespark.session import materialize
 from profilespark.sources import tables
 from profilespark.spec import FAMILIES
 
@@ -215,7 +216,7 @@ def best_rows(spark, d):
 
 # --- I17: how optimistic the searched score is, over repeated trials --------------------------------------------------
 
-TRIALS = (0, 1, 2)
+TRIALS = range(100)
 N_TRIAL_SPLITS = 4
 
 
@@ -224,7 +225,8 @@ def _trial_scores(spark, d):
     dealt = repeated_kfold(rows, "row_id", TRIALS, N_TRIAL_SPLITS, "split")
     by = ["trial", "split"]
     at = i.candidates(spark, TREE).select("candidate_id", i.operating_point(F.col("candidate_id")).alias("threshold"))
-    return i.threshold_scores(i._histogram(dealt, by), by).join(F.broadcast(at), "threshold").select(*by, "candidate_id", "score")
+    scores = i.threshold_scores(i._histogram(dealt, by), by).join(F.broadcast(at), "threshold").select(*by, "candidate_id", "score")
+    return materialize(scores, "trial-scores")  # read for the search and for each held-out fold
 
 
 def _outer_scores(scores):
@@ -235,9 +237,8 @@ def _outer_scores(scores):
     return others.groupBy("trial", F.col("split").alias("outer_fold")).agg(best.alias("score"))
 
 
-TRIAL_ROWS = " union all ".join(
-    f"select {t} trial, row_id, fold from ({kfold_sql('(select *, 0 z from order_profiles)', N_TRIAL_SPLITS, str(t), 'fold', label='z')})" for t in TRIALS
-)
+TRIAL_COPIES = f"(select *, 0 z from order_profiles cross join (select unnest(range({len(TRIALS)})) trial))"
+TRIAL_ROWS = f"select trial, row_id, fold from ({kfold_sql(TRIAL_COPIES, N_TRIAL_SPLITS, 'trial', 'fold', 'trial', 'z')})"
 TRIAL_SQL = f"""with dealt as (select t.trial, t.fold split, p.* from ({TRIAL_ROWS}) t join predictions p using (row_id) where model='{TREE}'),
   h as (select trial, split, p1000, sum(case when y_true=-1 then sample_weight else 0 end) pos, sum(case when y_true=-1 then 0 else sample_weight end) neg
         from dealt group by all),
