@@ -194,9 +194,11 @@ def near_classes(docs: DataFrame) -> DataFrame:
     key = ["digest_1", "digest_2", "n_words"]
     texts = marks.where("n_words > 0").groupBy(*key).agg(F.min("doc_id").alias("node"))
     texts = texts.join(roots, "node", "left").select(*key, F.coalesce("root", "node").alias("root"))
+    # Written, as the sizes below: the joins with rows then deal out both sides, and Spark can split a hot text or class.
+    texts = materialize(texts, "text-roots")
     rows = marks.select("doc_id", *key).join(texts, key, "left").withColumn("class_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id")))
     rows = materialize(rows.select("doc_id", "class_id"), "near-classes")
-    sizes = rows.where("class_id is not null").groupBy("class_id").agg(F.count("*").alias("group_size"))
+    sizes = materialize(rows.where("class_id is not null").groupBy("class_id").agg(F.count("*").alias("group_size")), "class-sizes")
     return rows.join(sizes, "class_id", "left").select(
         "doc_id", "class_id", F.coalesce("group_size", F.lit(1)).alias("group_size"), F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)).alias("kept"))
 
