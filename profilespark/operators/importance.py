@@ -42,6 +42,16 @@ def _bin(value: Column, points: Sequence[float]) -> Column:
     return sum(beyond[1:], beyond[0]) + F.lit(1)
 
 
+def _inside(points: Sequence[float]) -> Column:
+    """A value of each interval between split points: its upper end, or one past the last."""
+    return F.array(*[F.lit(float(v)) for v in [*points, points[-1] + 1.0]])
+
+
+def as_seen(rows: DataFrame, points: dict[str, list[float]]) -> DataFrame:
+    """Every used feature replaced by one value of its interval: all that a model sees of it."""
+    return rows.withColumns({f: F.get(_inside(p), _bin(F.col(f), p) - 1) for f, p in points.items()})
+
+
 def permuted_rows(rows: DataFrame, spec: TableSpec, points: dict[str, list[float]], repeats: int = REPEATS,
                   seed: int = SEED, fold: str = "outer_fold", digits: int = 2, portable: bool = False) -> DataFrame:
     """Rows with one feature permuted within its fold, for every used feature and repeat.
@@ -76,10 +86,8 @@ def permuted_rows(rows: DataFrame, spec: TableSpec, points: dict[str, list[float
     placed = assign_segments(keyed, group, cuts, n_bins - 1, "_segment")
     changed = {}
     for n, (feature, split_points) in enumerate(points.items()):
-        # Any value of the interval will do: its upper split point, or one past the last.
-        inside = F.array(*[F.lit(v) for v in [*split_points, split_points[-1] + 1.0]])
         own = F.col("_game").between(n * repeats, (n + 1) * repeats - 1)
-        changed[feature] = F.when(own, F.get(inside, F.col("_segment") - 1)).otherwise(F.col(feature).cast("double"))
+        changed[feature] = F.when(own, F.get(_inside(split_points), F.col("_segment") - 1)).otherwise(F.col(feature).cast("double"))
     return placed.withColumns(changed).drop("_segment")
 
 
@@ -92,11 +100,21 @@ def permutation_importance(rows: DataFrame, spec: TableSpec, points: dict[str, l
     model does not split on keep their predictions, so they get exactly 0
     without being scored. Weights stay with their row. ``portable`` permutes in an
     order other engines can reproduce, at a higher price.
+
+    Copies are summed to cells of what a model sees before any is scored, on the map side
+    first, so it scores as many rows as there are cells and not as there are copies.
     """
     rows, spec = with_weight(rows, spec)
     weight = F.col(WEIGHT)
     right = F.sum(F.when(F.col("y_pred") == F.col(spec.target), weight).otherwise(0.0)) / F.sum(weight)
-    base = predict(rows).groupBy(fold).agg(right.alias("_base"))
+    others = {f: F.lit(0.0) for f in spec.features if f not in points}
+
+    def accuracies(copies: DataFrame, *by: str) -> DataFrame:
+        """Accuracy by fold and perhaps game, from the cells of a table whose used features are as seen."""
+        cells = copies.groupBy(*by, *points, spec.target).agg(F.sum(weight).alias(WEIGHT)).withColumns(others)
+        return predict(cells).groupBy(*by).agg(right.alias("accuracy"))
+
+    base = accuracies(as_seen(rows, points), fold).withColumnRenamed("accuracy", "_base")
     unused = [f for f in spec.features if f not in points]
     idle = base.select(
         fold, F.explode(F.array(*[F.lit(f) for f in unused]).cast("array<string>")).alias("feature"),
@@ -107,14 +125,13 @@ def permutation_importance(rows: DataFrame, spec: TableSpec, points: dict[str, l
     else:
         # Every row is about to be copied for each feature and repeat: spread the narrow
         # rows first, so a task does not carry all copies of a large input split.
-        narrow = rows.select(spec.key, fold, *spec.features, spec.target, WEIGHT)
+        narrow = as_seen(rows.select(spec.key, fold, *points, spec.target, WEIGHT), points)
         n = rows.count()  # from the file footers where the table is a written one
         tasks = _tasks(n * len(points) * repeats)
         spread = materialize(narrow.repartition(tasks, F.xxhash64(spec.key)), "held-out")
         digits = _bucket_digits(n)
-        shuffled = predict(permuted_rows(spread, spec, points, repeats, seed, fold, digits, portable)).groupBy(fold, "_game").agg(
-            right.alias("_permuted")
-        )
+        permuted = permuted_rows(spread, spec, points, repeats, seed, fold, digits, portable)
+        shuffled = accuracies(permuted, fold, "_game").withColumnRenamed("accuracy", "_permuted")
         names = F.array(*[F.lit(f) for f in points])
         feature = F.get(names, F.call_function("div", F.col("_game"), F.lit(repeats)).cast("int"))
         drops = shuffled.join(F.broadcast(base), fold).withColumn("_drop", F.col("_base") - F.col("_permuted"))

@@ -202,6 +202,23 @@ def test_importance_of_unused_features_is_zero_and_permutation_keeps_values(spar
     assert len(zero) == 10 and all(r["importance_mean"] == 0.0 and r["importance_std"] == 0.0 for r in zero)
 
 
+def test_permuted_copies_are_scored_as_cells(spark, sf_dir):
+    """A model scores what it can tell apart, not every copy."""
+    rows, seen = i.weighted_orders(spark, sf_dir), []
+
+    def predict(df):
+        seen.append(df.count())
+        return score_nodes(df, i.ORDER_TREES)
+
+    importance.permutation_importance(rows, i.WEIGHTED_ORDERS, thresholds(i.ORDER_TREES), predict, "m", 5).collect()
+    copies = rows.count() * len(thresholds(i.ORDER_TREES)) * 5
+    # A fold of this table has few rows, so few of them agree; more rows give no more cells.
+    assert seen[0] <= rows.count() and seen[1] < copies
+    tripled = rows.unionByName(rows.withColumn("row_id", F.col("row_id") + 10_000_000)).unionByName(rows.withColumn("row_id", F.col("row_id") + 20_000_000))
+    importance.permutation_importance(tripled, i.WEIGHTED_ORDERS, thresholds(i.ORDER_TREES), predict, "m", 5).collect()
+    assert seen[2] == seen[0] and seen[3] < 2 * seen[1]
+
+
 def test_shapley_values_add_up(spark, sf_dir):
     rows = i.order_profiles(spark, sf_dir)
     background = background_sample(rows, "row_id")
