@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -52,6 +53,17 @@ def count_of(text: Column, characters: str) -> Column:
     return (F.length(text) - F.length(F.translate(text, characters, ""))).cast("bigint")
 
 
+#: Rows whose texts a task holds as Python objects at a time.
+ROWS_AT_A_TIME = 256
+
+
+def small_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of a few hundred."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS_AT_A_TIME):
+            yield batch.slice(at, ROWS_AT_A_TIME)
+
+
 _SHIPPED: set[str] = set()
 
 

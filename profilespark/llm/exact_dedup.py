@@ -27,7 +27,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from profilespark.llm.common import WHITE, map_arrow, register, table, text_of
+from profilespark.llm.common import WHITE, map_arrow, register, small_batches, table, text_of
 from profilespark.session import materialize
 
 PAGE_BYTES = 256 * 1024
@@ -93,7 +93,7 @@ class _Chain:
 def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Entries in order of (bucket, page, key, longest text first, doc_id): the first entry of a link is its best."""
     current, chain = None, _Chain()
-    for batch in batches:
+    for batch in small_batches(batches):
         columns = [batch.column(c).to_pylist() for c in ("bucket", "page", "key", "body")]
         links, firsts, bodies = [], [], []
         for bucket, page, key, body in zip(*columns):

@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from profilespark.llm.common import map_arrow, register, table
+from profilespark.llm.common import map_arrow, register, small_batches, table
 from profilespark.session import materialize
 
 SAMPLE = 3_000
@@ -38,7 +38,7 @@ GRAM_SHARE = 50_000
 LANGUAGE_SHARE = 1_024
 SLOT_BITS = 20
 HASHES = 3
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18
 UNKNOWN = "und"
 
 _BLANK = np.uint64(32)
@@ -163,7 +163,7 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small_batches(batches):
         number = np.array(batch.column("number").to_pylist())
         for numbers, block in _blocks(batch.column("text").to_pylist()):
             h, owner = grams(block)
@@ -204,7 +204,7 @@ def identify(docs: DataFrame, model: LanguageFilter) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 2^SLOT_BITS slots of 8 bytes per 64 languages
 
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             langs, scores = shared.value.predict(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(langs), pa.array(scores, pa.float64())], names=["row", "lang_pred", "score"])
 

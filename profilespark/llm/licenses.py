@@ -23,7 +23,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from profilespark.llm.common import map_arrow, register, table, text_of
+from profilespark.llm.common import map_arrow, register, small_batches, table, text_of
 from profilespark.llm.license_rules import WORD, Rule, base_rules, signature_rules
 
 SPANS = "doc_id long, n_words long, detections array<struct<label:string,start:int,end:int,word:int,priority:int,base:boolean,suppressed:boolean>>"
@@ -96,7 +96,7 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner()
-        for batch in batches:
+        for batch in small_batches(batches):
             counts, spans = [], []
             for text in batch.column("text").to_pylist():
                 n, found = scanner.scan(text)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from profilespark.llm import dart_minhash, shingles
-from profilespark.llm.common import map_arrow, register, table, text_of
+from profilespark.llm.common import map_arrow, register, small_batches, table, text_of
 from profilespark.llm.components import connected_components
 from profilespark.session import materialize
 
@@ -46,7 +46,7 @@ SKETCH = "doc_id long, digest_1 long, digest_2 long, n_words long, bands array<l
 
 
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small_batches(batches):
         texts = batch.column("text").to_pylist()
         for start, block in shingles.blocks(texts):
             words, counts = shingles.word_hashes(block)
@@ -79,7 +79,7 @@ def _similarities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 parsed.popitem(last=False)
         return parsed[node][1]
 
-    for batch in batches:
+    for batch in small_batches(batches):
         a, b, text_a, text_b = (batch.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b"))
         found = [shingles.similarity(sets(i, x), sets(j, y)) for i, j, x, y in zip(a, b, text_a, text_b)]
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(found, pa.float64())], names=["a", "b", "similarity"])
@@ -99,7 +99,7 @@ def _slot(h: np.ndarray) -> np.ndarray:
 
 def _count_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(1 << SLOT_BITS, np.int64)
-    for batch in batches:
+    for batch in small_batches(batches):
         for _, block in shingles.blocks(batch.column("text").to_pylist()):
             _, h, _, _ = shingles.shingles(block)
             counts += np.bincount(_slot(h), minlength=len(counts))
@@ -140,7 +140,7 @@ def rare_tokens(texts: DataFrame) -> DataFrame:
     shared = texts.sparkSession.sparkContext.broadcast(shingle_counts(texts))
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             for start, block in shingles.blocks(batch.column("text").to_pylist()):
                 owner, token, place, n = prefixes(block, shared.value)
                 at = pa.array(start + owner)

@@ -28,15 +28,13 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from profilespark.llm.common import map_arrow, register, table, text_of
+from profilespark.llm.common import map_arrow, register, small_batches, table, text_of
 from profilespark.llm.tokens import WORD_BPE, word_ids
 
 WINDOW = 2048
 PIECE = 512
 GROUP = 1024
 END_ID = 1
-#: Documents that are tokenized at a time.
-BATCH = 128
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _NAMES = [f.split()[0] for f in PIECES.split(", ")]
@@ -144,10 +142,8 @@ def pack(docs: DataFrame, tokenizer: str = WORD_BPE, window: int = WINDOW, piece
         encode = word_ids(tokenizer)
 
         def tokenized() -> Iterator[tuple[int | None, bytes]]:
-            for batch in batches:
-                for at in range(0, batch.num_rows, BATCH):
-                    part = batch.slice(at, BATCH)
-                    yield from zip(part.column("doc_id").to_pylist(), [ids + _END for ids in encode(part.column("text").to_pylist())])
+            for batch in small_batches(batches):
+                yield from zip(batch.column("doc_id").to_pylist(), [ids + _END for ids in encode(batch.column("text").to_pylist())])
 
         sequence = TaskContext.get().partitionId() << 33
         for members in _groups(tokenized(), group):

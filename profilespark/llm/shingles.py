@@ -12,7 +12,7 @@ import numpy as np
 
 SHINGLE = 5
 #: Characters and documents that are hashed at a time.
-BLOCK_CHARS = 1 << 20
+BLOCK_CHARS = 1 << 18
 
 _WORD_CHAR: list[np.ndarray] = []
 

@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from profilespark.llm.common import map_arrow, register, table, text_of, words_of
+from profilespark.llm.common import map_arrow, register, small_batches, table, text_of, words_of
 from profilespark.llm.tokens import WORD_BPE, word_ids
 from profilespark.session import materialize, scratch_path
 
@@ -31,8 +31,6 @@ WORDS = "words-1"
 WORD_BPE_49K = "word-bpe-49k-1"
 #: Batches that the registered query delivers one after the other.
 BATCHES = 4
-#: Documents that are tokenized at a time.
-AT_A_TIME = 128
 
 GROUP = ["source", "lang", "tokenizer"]
 _SUMS = ["n_docs", "n_tokens"]
@@ -43,10 +41,8 @@ def count_tokens(docs: DataFrame, tokenizer: str = WORD_BPE) -> DataFrame:
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = word_ids(tokenizer)
-        for batch in batches:
-            n = []
-            for at in range(0, batch.num_rows, AT_A_TIME):
-                n += [len(ids) // 4 for ids in encode(batch.column("text").slice(at, AT_A_TIME).to_pylist())]
+        for batch in small_batches(batches):
+            n = [len(ids) // 4 for ids in encode(batch.column("text").to_pylist())]
             names = ["doc_id", "source", "lang", "n_words"]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(n, pa.int64())], names=[*names, "n_bpe"])
 

@@ -19,7 +19,7 @@ from tokenizers import Tokenizer, pre_tokenizers
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 #: Chunks that a worker remembers, and pieces of chunks.
-REMEMBERED = 1_000_000
+REMEMBERED = 400_000
 
 #: Printable ASCII and the letters of Latin-1: no normal form but case changes them.
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
