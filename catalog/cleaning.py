@@ -135,17 +135,17 @@ def duplicate_keys(spark, d):
     return quality.duplicate_keys(i.dirty_orders(spark, d), "row_id")
 
 
-@query("""select o_orderkey row_id, o_orderstatus from orders where not exists (select 1 from weighted_orders w where w.row_id=o_orderkey)""",
-       "weighted_orders")
+@query("""select o_orderkey row_id, o_orderstatus from orders where not exists (select 1 from lined_orders w where w.row_id=o_orderkey)""",
+       "lined_orders")
 def unaligned_weights(spark, d):
-    """Orders without lines have no weight."""
+    """Orders without lines have no weight where the weights are their lines'."""
     rows = i.table(spark, d, "orders").select(F.col("o_orderkey").alias("row_id"), "o_orderstatus")
-    return quality.unaligned_weights(rows, i.weighted_orders(spark, d).select("row_id", "sample_weight"), "row_id")
+    return quality.unaligned_weights(rows, i.lined_orders(spark, d).select("row_id", F.lit(1.0).alias("sample_weight")), "row_id")
 
 
 @query("""select 'left' side, count(*) duplicate_keys from (select row_id from dirty_orders group by row_id having count(*)>1)
           union all select 'right', count(*) from (select row_id from order_profiles group by row_id having count(*)>1)""",
-       "dirty_orders")
+       "dirty_orders", "order_profiles")
 def join_guard(spark, d):
     return quality.join_guard(i.dirty_orders(spark, d), i.order_profiles(spark, d), "row_id")
 
@@ -371,7 +371,7 @@ def prepare_raw(spark, d):
     return plans.prepare(i.order_profiles(spark, d), i.ORDERS, "raw")
 
 
-DISTINCT = f"(select md5(concat_ws('|', {FEATURES}, Result))||'-1' row_id, * from (select distinct {FEATURES}, Result from order_profiles))"
+DISTINCT = f"""(select md5('["'||concat_ws('","', {FEATURES}, Result)||'"]')||'-1' row_id, * from (select distinct {FEATURES}, Result from order_profiles))"""
 
 
 @query(holdout_sql(DISTINCT), "order_profiles")
@@ -379,7 +379,7 @@ def prepare_exact(spark, d):
     return plans.prepare(i.order_profiles(spark, d), i.ORDERS, "exact")
 
 
-VOTED = f"""(select md5(concat_ws('|', {FEATURES}, Result, sample_weight))||'-1' row_id, * from
+VOTED = f"""(select md5('["'||concat_ws('","', {FEATURES}, Result, sample_weight)||'"]')||'-1' row_id, * from
   (select {FEATURES}, cast(case when a>b then -1 else 1 end as int) Result, cast(greatest(a,b) as bigint) sample_weight from {VOTES} where a<>b))"""
 
 

@@ -202,17 +202,24 @@ def fold_pivot(spark, d):
 
 
 def wilcoxon_sql(pairs: str, by: str) -> str:
-    """Exact test by listing all sign patterns of the ranks (folds are few)."""
+    """Exact test by listing all sign patterns of the ranks (folds are few); with ties or zeros, the normal
+    approximation, whose distribution function is summed as its power series."""
+    z = "abs((w-n*(n+1)/4.0)/sqrt((n*(n+1)*(2*n+1)-ties/2.0)/24.0))"
+    series = f"list_sum(list_transform(range(0, 60), lambda k: pow({z}, 2*k+1)*sqrt(pi())/(pow(2, k+1)*gamma(k+1.5))))"
+    normal = f"1-2*{series}*exp(-pow({z}, 2)/2)/sqrt(2*pi())"
     return f"""with d as (select {by}, round(rf-dt, 12) d from ({pairs})),
-      ranked as (select {by}, d, row_number() over (partition by {by} order by abs(d)) rk, count(*) over (partition by {by}) n from d),
-      seen as (select {by}, n, least(sum(case when d>0 then rk else 0 end), sum(case when d<0 then rk else 0 end)) w, avg(d) mean_d from ranked group by {by}, n),
+      placed as (select {by}, d, count(*) over (partition by {by}, abs(d)) t, rank() over (partition by {by} order by abs(d)) low from d where d<>0),
+      seen as (select {by}, count(*) n, least(sum(case when d>0 then low+(t-1)/2.0 else 0 end), sum(case when d<0 then low+(t-1)/2.0 else 0 end)) w,
+                 sum(t*t-1) ties from placed group by {by}),
+      whole as (select {by}, count(*) sample_size, avg(d) mean_d from d group by {by}),
       signs as (select n, mask, sum(case when (mask>>(b-1))&1=1 then b else 0 end) w
                 from (select distinct n from seen) cross join (select unnest(range(0, 1024)) mask) cross join (select unnest(range(1, 11)) b)
-                where mask < (1::bigint<<n) and b<=n group by n, mask)
-      select {by}, 'Wilcoxon signed-rank' test, cast(seen.w as double) statistic,
-        {sql_round('least(1, 2.0*count(*) filter (signs.w<=seen.w)/count(*))', 10)} p_value, n sample_size,
-        {sql_round('any_value(mean_d)')} mean_paired_difference_rf_minus_dt
-      from seen join signs using (n) group by {by}, seen.w, n"""
+                where mask < (1::bigint<<n) and b<=n group by n, mask),
+      listed as (select {by}, 2.0*count(*) filter (signs.w<=seen.w)/count(*) p from seen join signs using (n) group by {by}, seen.w)
+      select {by}, 'Wilcoxon signed-rank' test, cast(w as double) statistic,
+        {sql_round(f'case when ties=0 and n=sample_size then least(1, p) else greatest(0, {normal}) end', 10)} p_value, sample_size,
+        {sql_round('mean_d')} mean_paired_difference_rf_minus_dt
+      from seen join whole using ({by}) join listed using ({by})"""
 
 
 TESTED = " union all ".join(
