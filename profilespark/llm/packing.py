@@ -29,12 +29,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from profilespark.llm.common import map_arrow, register, small_batches, table, text_of
-from profilespark.llm.tokens import WORD_BPE, word_ids
+from profilespark.llm.tokens import REMEMBERED, WORD_BPE, word_ids
 
 WINDOW = 2048
 PIECE = 512
 GROUP = 1024
 END_ID = 1
+#: Chunks that a worker remembers where packing is all it does: less time for more memory.
+REMEMBERED_ALONE = 1_000_000
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _NAMES = [f.split()[0] for f in PIECES.split(", ")]
@@ -135,11 +137,12 @@ def _groups(docs: Iterable[tuple[int | None, bytes]], size: int) -> Iterator[lis
         yield held
 
 
-def pack(docs: DataFrame, tokenizer: str = WORD_BPE, window: int = WINDOW, piece: int = PIECE, group: int = GROUP) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str = WORD_BPE, window: int = WINDOW, piece: int = PIECE, group: int = GROUP,
+         remembered: int = REMEMBERED) -> DataFrame:
     """One row per piece of a document: where it is cut, what it holds, and its place in a sequence."""
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = word_ids(tokenizer)
+        encode = word_ids(tokenizer, remembered)
 
         def tokenized() -> Iterator[tuple[int | None, bytes]]:
             for batch in small_batches(batches):
@@ -157,4 +160,4 @@ def pack(docs: DataFrame, tokenizer: str = WORD_BPE, window: int = WINDOW, piece
 @register("op9_packing")
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 tokens."""
-    return pack(table(spark, sf_dir, "documents"))
+    return pack(table(spark, sf_dir, "documents"), remembered=REMEMBERED_ALONE)

@@ -82,13 +82,13 @@ class WordIds:
         return out
 
 
-_OWN: dict[str, WordIds] = {}
+_OWN: dict[tuple[str, int], WordIds] = {}
 
 
-def word_ids(path: str = WORD_BPE) -> WordIds:
+def word_ids(path: str = WORD_BPE, remembered: int = REMEMBERED) -> WordIds:
     """This worker's tokenizer of a file, kept from task to task."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     gc.set_threshold(200_000, 50, 100)  # fewer walks over what is remembered
-    if path not in _OWN:
-        _OWN[path] = WordIds(path)
-    return _OWN[path]
+    if (path, remembered) not in _OWN:
+        _OWN[path, remembered] = WordIds(path, remembered)
+    return _OWN[path, remembered]
