@@ -9,9 +9,9 @@ document's n-grams is the score.
 
 Learnt are the n-grams that make at least one in ``GRAM_SHARE`` of a language's n-grams, from about
 ``SAMPLE`` training documents of it (those with the smallest hashes of doc_id), whole texts. So a
-language has at most GRAM_SHARE n-grams and the filter has 2^SLOT_BITS slots, whatever the input; that
-bounds what the driver holds and what is broadcast. Languages are those that at least one in
-``LANGUAGE_SHARE`` training documents names, in code point order.
+language has at most GRAM_SHARE n-grams, and the filter has 2^SLOT_BITS slots of 8 bytes per 64
+languages, however many documents there are; the driver holds that and it is broadcast. Languages are
+all that a training document names, in code point order, however few of the documents name them.
 
 N-grams are 3 and 4 characters within a word and the blanks beside it, of the lower-case text with
 everything but letters read as blanks. Rows, nulls, ties: a null text or one without a letter is
@@ -35,7 +35,6 @@ from profilespark.session import materialize
 
 SAMPLE = 3_000
 GRAM_SHARE = 50_000
-LANGUAGE_SHARE = 1_024
 SLOT_BITS = 20
 HASHES = 3
 SEGMENT = 1 << 18
@@ -177,17 +176,14 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def learn_languages(docs: DataFrame, sample: int = SAMPLE) -> LanguageFilter:
     """The filter of the languages that the training documents (doc_id, text, lang) name."""
     labelled = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-    sizes = labelled.groupBy("lang").agg(F.count("*").alias("n"))
-    everything = sizes.agg(F.sum("n")).first()[0] or 0
-    named = sorted((r["lang"], r["n"]) for r in sizes.where(F.col("n") * LANGUAGE_SHARE >= everything).collect())  # LANGUAGE_SHARE rows at most
+    named = sorted((r["lang"], r["n"]) for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect())  # a row per language
     if not named:
         return LanguageFilter((), np.zeros((0, 1 << SLOT_BITS), np.uint64))
-    number, bar = F.lit(None).cast("int"), F.lit(0.0)
-    for k, (lang, n) in enumerate(named):
-        number = F.when(F.col("lang") == lang, k).otherwise(number)
-        bar = F.when(F.col("lang") == lang, float(min(1.0, sample / n))).otherwise(bar)
+    drawn = [(lang, k, float(min(1.0, sample / n))) for k, (lang, n) in enumerate(named)]
+    drawn = docs.sparkSession.createDataFrame(drawn, "lang string, number int, bar double")
     draw = F.conv(F.substring(F.md5(F.col("doc_id").cast("string")), 1, 8), 16, 10).cast("double") / 2**32
-    chosen = labelled.where(draw < bar).select(number.alias("number"), "text")
+    # The driver holds a row per language anyway; a join, as an expression per language could not be compiled.
+    chosen = labelled.select("lang", "text", draw.alias("draw")).join(F.broadcast(drawn), "lang").where(F.col("draw") < F.col("bar")).select("number", "text")
     counts = materialize(map_arrow(chosen, _count_grams, "number int, gram long, n long").groupBy("number", "gram").agg(F.sum("n").alias("n")), "language-grams")
     totals = counts.groupBy("number").agg(F.sum("n").alias("total"))
     learnt = counts.join(F.broadcast(totals), "number").where(F.col("n") * GRAM_SHARE >= F.col("total"))

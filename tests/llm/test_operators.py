@@ -265,6 +265,16 @@ def test_labels_are_no_input_of_a_prediction(spark):
     assert got[5].lang_pred in ("de", "en") and all(0 <= r.score <= 1 for r in got.values())
 
 
+def test_a_language_is_learnt_however_few_documents_name_it(spark):
+    rows = [(i, prose("en", 12, i % 50), "en", "src0", 1) for i in range(3000)]
+    rows += [(5000, "αυτό είναι ένα κείμενο για το σπίτι και τη θάλασσα", "el", "src0", 1)]
+    rows += [(6000 + i, prose("de", 30, i), f"{i:03}-xx", "src0", 1) for i in range(70)]
+    model = language_id.learn_languages(frame(spark, rows))
+    assert model.languages == (*(f"{i:03}-xx" for i in range(70)), "el", "en")
+    langs, scores = model.predict(["ένα σπίτι και ένα κείμενο", "the house and the river"])
+    assert langs == ["el", "en"] and min(scores) > 0.5
+
+
 def test_grams_and_filters_against_plain_sets():
     texts = ["Ab cd, éfg", "", "x", "don't"]
     h, owner = language_id.grams(texts)
