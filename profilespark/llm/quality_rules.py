@@ -3,11 +3,11 @@
 Two histograms of a document, of its characters by class and of its common words, are compared
 with those of all documents of its language by the Jensen-Shannon distance (base 2, 0 to 1).
 Words are common if they make at least one in ``COMMON_SHARE`` of a language's words, so a
-language has at most that many; a language is a reference if it has one in ``LANGUAGE_SHARE`` of
-all words and ``REFERENCE_WORDS`` of them, so there are at most that many references. Both
-bounds hold at any size of the input and bound what is broadcast. References count every word of
-every document. Documents of fewer than ``MIN_WORDS`` words, or of a language without a
-reference, are not judged by distance (the minimum-length guards).
+language has at most that many; a language is a reference if it has ``REFERENCE_WORDS`` words,
+whatever share of all words they are. References are joined without a hint, so they are broadcast
+only while they are measured small. References count every word of every document. Documents of
+fewer than ``MIN_WORDS`` words, or of a language without a reference, are not judged by distance
+(the minimum-length guards).
 
 Counts on a document are expressions on its row: no words are shuffled but the vocabulary counts.
 
@@ -18,7 +18,7 @@ are read, so other columns cannot clash.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from profilespark.llm.common import WHITE, count_of, register, table, text_of, words_of
 from profilespark.session import materialize
@@ -26,6 +26,7 @@ from profilespark.session import materialize
 MIN_WORDS = 50
 REFERENCE_WORDS = 5_000
 COMMON_SHARE = 500
+#: Only the SQL twin still asks for this share of all words; it tells on no table in which every reference language has it.
 LANGUAGE_SHARE = 1_000
 #: Documents farther from their language than this are not kept.
 MAX_CHAR_DISTANCE = 0.3
@@ -112,10 +113,9 @@ def common_words(docs: DataFrame) -> DataFrame:
     lower = F.transform(words_of(text_of()), lambda w: F.lower(w))
     words = docs.select(F.col("lang").isNull().alias("no_lang"), F.coalesce("lang", F.lit("")).alias("language"), F.explode(lower).alias("word"))
     counts = materialize(words.groupBy(*_LANG, "word").agg(F.count("*").alias("n")), "vocabulary")
-    totals = counts.groupBy(*_LANG).agg(F.sum("n").alias("total"))
-    everything = F.sum("total").over(Window.partitionBy())
-    totals = totals.withColumn("all", everything).where((F.col("total") >= REFERENCE_WORDS) & (F.col("total") * LANGUAGE_SHARE >= F.col("all")))
-    joined = counts.join(F.broadcast(totals), _LANG).where(F.col("n") * COMMON_SHARE >= F.col("total"))
+    totals = counts.groupBy(*_LANG).agg(F.sum("n").alias("total")).where(F.col("total") >= REFERENCE_WORDS)
+    # Written first, so that its measured size decides how it is joined.
+    joined = counts.join(materialize(totals, "vocabulary-totals"), _LANG).where(F.col("n") * COMMON_SHARE >= F.col("total"))
     return joined.groupBy(*_LANG, "total").agg(F.sort_array(F.collect_list(F.struct("word", "n"))).alias("common")).select(
         *_LANG, F.col("common.word").alias("common"),
         F.concat(F.col("common.n"), F.array(F.col("total") - F.aggregate("common.n", F.lit(0).cast("bigint"), lambda a, x: a + x))).alias("word_counts"),
@@ -146,9 +146,9 @@ def _distance(a: str, b: str) -> Column:
 
 def quality_rules(docs: DataFrame) -> DataFrame:
     """One row per document with the base counts, both distances (null where not judged) and the verdict."""
-    # At most LANGUAGE_SHARE languages of COMMON_SHARE words each: bounded whatever the input, so it may be broadcast.
+    # A row of COMMON_SHARE words at most per language: written first, so that its measured size decides how it is joined.
     words = materialize(common_words(docs), "common-words")
-    rows = _counts(docs).join(F.broadcast(words), _LANG, "left")
+    rows = _counts(docs).join(words, _LANG, "left")
     short = F.filter(F.transform("words", lambda w: F.lower(w)), lambda w: F.octet_length(w) <= F.col("longest"))
     rows = rows.withColumn("known", F.filter(F.transform(short, lambda w: F.element_at("number_of", w)), lambda k: k.isNotNull()))
     judged = F.col("common").isNotNull() & (F.col("n_words") >= MIN_WORDS)
@@ -160,7 +160,7 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     references = features.groupBy(*_LANG).agg(sums.alias("class_counts"), F.sum("n_chars").alias("class_total"))
     references = references.join(words.select(*_LANG, "word_counts", "word_total"), _LANG).select(
         *_LANG, _shares("class_counts", "class_total").alias("class_reference"), _shares("word_counts", "word_total").alias("word_reference"))
-    rows = features.join(F.broadcast(materialize(references, "language-references")), _LANG, "left")
+    rows = features.join(materialize(references, "language-references"), _LANG, "left")
     rows = rows.withColumns({"class_shares": _shares("classes", "n_chars"), "word_shares": _shares("histogram", "n_words")})
     rows = rows.withColumns({
         "char_distance": F.when(F.col("judged"), F.round(_distance("class_shares", "class_reference"), 6)),

@@ -214,6 +214,21 @@ def test_distance_rejects_what_no_language_looks_like(spark):
     assert got[500].char_distance > quality_rules.MAX_CHAR_DISTANCE and got[501].char_distance is None
 
 
+@pytest.mark.parametrize("broadcast", ["10m", "-1"])
+def test_a_language_is_judged_however_large_the_others_are(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(quality_rules, "REFERENCE_WORDS", 100)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    small = [(i, prose("de", 60, i), "de", "s", 0) for i in range(5)] + [(500, "#### %%% " * 60, "de", "s", 0)]
+    large = [(1000 + i, prose("en", 5000, i), "en", "s", 0) for i in range(100)]
+    try:
+        alone, beside = ({r.doc_id: r for r in quality_rules.quality_rules(frame(spark, rows)).collect()} for rows in (small, small + large))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert all(beside[r[0]] == alone[r[0]] for r in small)
+    assert beside[500].char_distance > quality_rules.MAX_CHAR_DISTANCE and not beside[500].kept
+
+
 # Token counts
 
 
