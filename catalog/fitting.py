@@ -150,7 +150,7 @@ def fit_candidates_without_bootstrap(spark, d):
 def selector_and_classifier(spark, d):
     """Selection and classifier as one estimator."""
     rows = _documents(spark, d)
-    fitted = models.build_model(TREE, TREE_PARAMETERS, SPEC).fit(models.with_label(rows, SPEC))
+    fitted = models.build_model(TREE, TREE_PARAMETERS, SPEC, rows=rows.count()).fit(models.with_label(rows, SPEC))
     return fitted.transform(rows).select("row_id", F.col("prediction").alias("label_index"))
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import cached_property
+from math import isqrt
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
@@ -26,9 +27,11 @@ from profilespark.session import materialize
 from profilespark.spec import FAMILIES, SEED, WEIGHT, TableSpec
 
 LABEL = "_label"
-# Split points that a tree looks at per feature: one per value up to MAX_BINS values, which bounds a
-# node's statistics; a feature with more values is cut at as many quantiles.
+# Split points that a tree looks at per feature: one per value up to MAX_BINS values; a feature with
+# more values is cut at as many quantiles (see ``with_whole_sample``, which allows more).
 MIN_BINS, MAX_BINS = 32, 1024
+# pyspark.ml squares the bins as a 32-bit number.
+MOST_BINS = 46_340
 # The deepest tree pyspark.ml grows; stands for "no limit".
 MAX_DEPTH = 30
 
@@ -71,16 +74,26 @@ def build_classifier(family: str, params: Mapping[str, object], weighted: bool =
     raise ValueError(f"Unsupported model family: {family!r}. Expected one of {list(FAMILIES)}.")
 
 
+def with_whole_sample(classifier: Estimator, rows: int) -> Estimator:
+    """The classifier with bins enough that split points are looked for in all of the given rows.
+
+    ``pyspark.ml`` takes them from a sample of as many rows as the square of the bins (10,000 at least),
+    which may miss rare values. Bins that no value needs cost nothing.
+    """
+    return classifier.setMaxBins(max(classifier.getMaxBins(), min(MOST_BINS, isqrt(rows) + 1)))
+
+
 def split_parameters(parameters: Mapping[str, object]) -> tuple[int | str, dict[str, object]]:
     """Selector k and classifier parameters from one prefixed parameter record."""
     classifier = {n.removeprefix("classifier__"): v for n, v in parameters.items() if n.startswith("classifier__")}
     return parameters.get("feature_selection__k", "all"), classifier
 
 
-def build_model(family: str, parameters: Mapping[str, object], spec: TableSpec, weighted: bool = True) -> Pipeline:
-    """Selector and classifier in one estimator; only the classifier sees the weights."""
-    k, classifier = split_parameters(parameters)
-    return Pipeline(stages=[MutualInformationSelector(spec=spec, k=k), build_classifier(family, classifier, weighted, spec.bins)])
+def build_model(family: str, parameters: Mapping[str, object], spec: TableSpec, weighted: bool = True, rows: int = 0) -> Pipeline:
+    """Selector and classifier in one estimator, for as many rows; only the classifier sees the weights."""
+    k, params = split_parameters(parameters)
+    classifier = with_whole_sample(build_classifier(family, params, weighted, spec.bins), rows)
+    return Pipeline(stages=[MutualInformationSelector(spec=spec, k=k), classifier])
 
 
 def fits_on_cells(params: Mapping[str, object], weighted: bool) -> bool:
@@ -104,7 +117,7 @@ def grow_tree(table: DataFrame, spec: TableSpec, features: Sequence[str], params
     if not fits_on_cells(params, weighted):
         if spec.multiplicity:
             raise ValueError("A minimum leaf size over weighted rows needs the rows, not their cells.")
-        model = classifier.fit(selector.transform(with_label(table, spec)))
+        model = with_whole_sample(classifier, table.count()).fit(selector.transform(with_label(table, spec)))
         return model, node_table(model, features)
     cells = with_label(table, spec).groupBy(*features, LABEL).agg(
         F.sum(spec.mass).alias(WEIGHT), F.sum(spec.rows).alias("_rows")
@@ -116,7 +129,7 @@ def grow_tree(table: DataFrame, spec: TableSpec, features: Sequence[str], params
         # Weights are row counts here; half a row of slack keeps rounding out of the comparison.
         rows = cells.agg(F.sum("_rows")).first()[0]
         classifier = classifier.setMinWeightFractionPerNode((smallest - 0.5) / rows)
-    model = classifier.fit(cells)
+    model = with_whole_sample(classifier, cells.count()).fit(cells)
     # One number per leaf.
     in_leaf = model.transform(cells).groupBy("leaf").agg(F.sum("_rows").alias("n")).collect()
     return model, count_rows(node_table(model, features), {int(r["leaf"]): r["n"] for r in in_leaf})
@@ -175,7 +188,8 @@ def fit_selected(family: str, parameters: Mapping[str, object], df: DataFrame, s
     if family == FAMILIES[0]:
         model, nodes = grow_tree(df, spec, features, params, weighted)
         return FittedModel(selector, model, spec, min_split, nodes)
-    forest = build_classifier(family, params, weighted, spec.bins).fit(selector.transform(with_label(df, spec)))
+    forest = with_whole_sample(build_classifier(family, params, weighted, spec.bins), df.count())
+    forest = forest.fit(selector.transform(with_label(df, spec)))
     return FittedModel(selector, forest, spec, min_split)
 
 

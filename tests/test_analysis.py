@@ -9,7 +9,7 @@ from catalog import inputs as i
 from profilespark.operators import cross_validation, diagnostics, eda, importance, metrics, models, search, selection, shapley
 from profilespark.operators.splits import background_sample
 from profilespark.operators.trees import Node, cut_leaves, score_expression, score_nodes, thresholds, used_features
-from profilespark.spec import FAMILIES, TableSpec
+from profilespark.spec import FAMILIES, WEIGHT, TableSpec
 
 SPEC = TableSpec(features=("a", "b"))
 
@@ -357,6 +357,20 @@ def test_values_beyond_thirty_two_are_split_points(spark):
     assert model.score(rows).where("y_pred <> Result").count() == 0
 
 
+@pytest.mark.parametrize("family,smallest", [(FAMILIES[0], 1), (FAMILIES[0], 2), (FAMILIES[1], 1)])
+def test_a_rare_decisive_value_is_a_split_point(spark, family, smallest):
+    """On cells, on weighted rows with a leaf size and in a forest, all of more than 10,000 rows."""
+    digits = [(F.floor(F.col("id") / 60**k) % 60).cast("int").alias(name) for k, name in enumerate("bcd")]
+    rows = spark.range(200_000).select(F.col("id").alias("row_id"), (F.col("id") % 120_000 == 7).cast("int").alias("a"), *digits, F.lit(1.0).alias(WEIGHT))
+    rows = rows.withColumn("Result", F.when(F.col("a") == 1, -1).otherwise(1).cast("int"))
+    parameters = {
+        "feature_selection__k": "all", "classifier__criterion": "gini", "classifier__max_depth": 1, "classifier__min_samples_split": 2, "classifier__min_samples_leaf": smallest,
+        "classifier__n_estimators": 1, "classifier__max_features": None, "classifier__bootstrap": False,
+    }
+    model = models.fit(family, parameters, rows, SPEC.with_(features=tuple("abcd"), key="row_id", weight=WEIGHT))
+    assert model.score(rows).where("y_pred <> Result").count() == 0
+
+
 def test_a_submatrix_needs_a_correlation(spark):
     with pytest.raises(ValueError, match="no two features"):
         eda.top_correlated_submatrix(eda.spearman_matrix(frame(spark, [(1, 0, -1), (2, 0, 1)]), SPEC), SPEC)
