@@ -2,7 +2,7 @@
 
 A line is ``priority | label | keyword | expression``. The expression is searched in the text with A-Z
 lower-cased, and only if the words of the text, one blank between them, hold those of the keyword.
-A blank in an expression stands for up to 30 characters that are no word characters. Priorities: 100 machine-readable tags, 90 grants and
+A blank in an expression stands for any run of characters that are no letters or digits. Priorities: 100 machine-readable tags, 90 grants and
 conditions, 80 names with a version, 70 addresses, 50 names, 30 hints.
 """
 
@@ -318,6 +318,6 @@ def signature_rules() -> list[Rule]:
     for line in RULES.strip().splitlines():
         priority, label, keyword, expression = (part.strip() for part in line.split("|", 3))
         # A blank before a quantifier is one optional blank, every other a gap.
-        expression = re.sub(r" (?![?*])", r"[\\W_]{1,30}", expression)
+        expression = re.sub(r" (?![?*])", r"[\\W_]+", expression)
         rules.append(Rule(int(priority), label, keyword, re.compile(expression)))
     return rules

@@ -48,6 +48,7 @@ class Scanner:
     def __init__(self, rules: list[Rule] | None = None):
         self.rules = [*base_rules(), *signature_rules()] if rules is None else rules
         self.words = re.compile(f"{WORD}+").findall
+        self.gaps = re.compile(r"[\W_]+")  # as the rules read them; beyond ASCII more than lies between words
         self.keywords = ahocorasick.Automaton()
         gated: dict[str, list[int]] = {}
         for i, rule in enumerate(self.rules):
@@ -60,7 +61,8 @@ class Scanner:
         """The number of words, and all detections with those suppressed marked."""
         text = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")  # A-Z only
         words = self.words(text)
-        open_rules = {i for _, numbers in self.keywords.iter(" ".join(words)) for i in numbers}
+        plain = " ".join(words) if text.isascii() else self.gaps.sub(" ", text)
+        open_rules = {i for _, numbers in self.keywords.iter(plain) for i in numbers}
         found = [
             Detection(rule.label, m.start(), m.end(), rule.priority, rule.base)
             for rule in (self.rules[i] for i in sorted(open_rules)) for m in rule.pattern.finditer(text)

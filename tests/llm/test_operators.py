@@ -100,6 +100,15 @@ def test_suppression_is_by_priority_and_containment():
     assert [d.label for d in found if d.suppressed] == ["c", "e"]
 
 
+@pytest.mark.parametrize("gap", ["," + " " * 35 + "*\n * ", " " * 500, "\n" + "-" * 78 + "\n", "\u00a0", "\u2011", " " * 200_000])
+def test_rules_read_any_gap_between_words(gap):
+    scan = licenses.Scanner().scan
+    for text, label in (("Licensed under the Apache License Version 2.0", "apache-2.0"), ("SPDX-License-Identifier: MIT", "mit"),
+                        ("universal permissive license (UPL) 1.0", "upl-1.0")):
+        found = [d for d in scan(re.sub("[ -]", lambda m: gap, text))[1] if not d.suppressed]
+        assert label in {d.label for d in found}
+
+
 def test_suppression_against_brute_force():
     rng = np.random.default_rng(0)
     for _ in range(200):
