@@ -3,18 +3,23 @@
 from __future__ import annotations
 
 import collections
+import functools
+import hashlib
+import itertools
 import re
 import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
-from profilespark.llm import exact_dedup, language_id, licenses, line_dedup, mixing, near_dedup, packing, quality_rules, shingles, token_counts, warc
+from profilespark.llm import exact_dedup, fill_in_middle, filter_audit, fingerprints, language_id, licenses, line_dedup, mixing, near_dedup, packing, quality_rules, shingles, token_counts, warc
 from profilespark.llm.queries import ORACLES, QUERIES
 from profilespark.llm.tokens import WordIds
-from tests.llm.tables import documents, frame, odd_rows, prose
+from tests.llm.tables import changed, documents, frame, odd_rows, prose
 from tests.oracle_check import compare
 
 DOCUMENT_QUERIES = sorted(n for n in QUERIES if n != "op8_warc")
@@ -28,6 +33,8 @@ def folder(spark, tmp_path_factory):
         path = str(tmp_path_factory.mktemp("tables"))
         frame(spark, rows, clashing).repartition(3).write.parquet(f"{path}/documents.parquet")
         spark.createDataFrame(list(pages), "page_id long, url string, html string").write.parquet(f"{path}/pages.parquet")
+        labels = [(r[0], r[0] % 2, r[0] % 3 // 2) for r in rows if r[0] is not None and r[0] % 5] + [(None, 1, 1), (3, None, 1)] * bool(rows)
+        spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
         return path
     return write
 
@@ -46,7 +53,7 @@ def rows_of(df):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_sql_on_hand_made_tables(name, spark, usual):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "labels"):
         con.execute(f"create view {t} as select * from '{usual}/{t}.parquet/*.parquet'")
     assert compare(QUERIES[name](spark, usual), con, ORACLES[name]) is None
 
@@ -63,6 +70,11 @@ def test_null_and_repeated_rows_give_a_row_each(name, spark, folder):
         assert result.where("tokenizer = 'words-1'").agg(F.sum("n_docs")).first()[0] == len(odd_rows())
     elif name == "op9_packing":
         assert result.where("start = 0").count() == len(odd_rows())
+    elif name == "op13_filter_audit":
+        rows = result.collect()
+        parts = collections.Counter(r[3] or "" for r in odd_rows())
+        assert len(rows) == 600 * len(parts)
+        assert all(r.kept + sum(x.removed for x in rows if (x.part, x.filter_order) == (r.part, r.filter_order)) == parts[r.part] for r in rows if r.step == 5)
     else:
         assert collections.Counter(r["doc_id"] for r in result.collect()) == collections.Counter(r[0] for r in odd_rows())
 
@@ -465,3 +477,166 @@ def test_mix_emits_copies(spark):
     assert counts == {k: v for k, v in taken.items() if v} and max(counts.values()) == 3
 
 
+
+
+# Fill in the middle
+
+
+MARKED = [(900, "a <P> b c d", None, "s", 1), (901, "<M>", None, "s", 1), (902, "x <S y P> <", None, "s", 1), (903, " \t\n\x0b\x0c\r", None, "s", 1),
+          (904, "\u00a0a\u2003b \u00e9 \U0001f600\x85z\x1c", None, "s", 1), (905, " lead and trail \n", None, "s", 1), (906, "w " * 400_000, None, "s", 1)]
+
+
+def brute_fim(doc_id, text, rate=50):
+    text = text or ""
+    units = re.findall(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+", text)
+    digest = hashlib.sha256(f"42:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h = [int(digest[8 * k:8 * k + 8], 16) for k in range(4)]
+    low, high = sorted((h[0] % (len(units) + 1), h[1] % (len(units) + 1)))
+    p, m, s = ("".join(x) for x in (units[:low], units[low:high], units[high:]))
+    if not text or any(x in text for x in ("<P>", "<S>", "<M>")) or h[2] % 100 >= rate:
+        return len(units), "plain", None, None, text
+    if h[3] % 100 < 80:
+        return len(units), "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"
+    return len(units), "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"
+
+
+@pytest.mark.parametrize("rate", [50, 100])
+def test_fill_in_middle_against_brute_force_and_back(spark, rate):
+    rows = [*odd_rows(), *MARKED]
+    out = fill_in_middle.fill_in_middle(frame(spark, rows, clashing=True), rate=rate)
+    out = out.withColumn("back", fill_in_middle.restored(F.col("output"), F.col("form")))
+    want = sorted((repr((i, *brute_fim(i, text, rate), text or "")) for i, text, *_ in rows))
+    assert sorted(repr(tuple(r)) for r in out.collect()) == want
+    assert rate < 100 or {r.form for r in out.select("form").distinct().collect()} == {"plain", "psm", "spm"}
+
+
+def test_units_are_dealt_in_batches_of_bytes():
+    batch = pa.RecordBatch.from_arrays([pa.array(["x" * n for n in (3, 5, 20, 1, 1, 9, 0)])], names=["text"])
+    assert [b.num_rows for b in fill_in_middle.by_bytes([batch], most=10)] == [2, 1, 2, 2]
+
+
+# Fingerprints
+
+
+def brute_bins(text):
+    words = [xxhash.xxh64_intdigest(w.encode(), 42) for w in SPLIT(text.lower())]
+    chain = lambda run, h=42: functools.reduce(lambda a, w: xxhash.xxh64_intdigest(w.to_bytes(8, "little"), a), run, h)
+    if not words:
+        return None
+    if len(words) < 5:
+        hashes = [functools.reduce(lambda a, w: xxhash.xxh64_intdigest(w.to_bytes(8, "little"), xxhash.xxh64_intdigest(a.to_bytes(8, "little"), 42)), words, 42)]
+    else:
+        hashes = [chain(words[i:i + 5]) for i in range(len(words) - 4)]
+    least = {}
+    for h in hashes:
+        signed = h - 2**64 if h >= 2**63 else h
+        b = (signed >> (64 - fingerprints.BIN_BITS)) + fingerprints.BINS // 2
+        least[b] = min(least.get(b, signed), signed)
+    out = []
+    for j in range(fingerprints.BINS):
+        at = next(b for b in [j, *((fingerprints.START[j] + fingerprints.STEP[j] * t) % fingerprints.PRIME for t in range(fingerprints.PRIME))] if b in least)
+        out.append(least[at] & 15)
+    return out
+
+
+def brute_likeness(a, b):
+    if a is None or b is None:
+        return float(a is b)
+    return max(0.0, (sum(x == y for x, y in zip(a, b)) / len(a) - 1 / 16) / (1 - 1 / 16))
+
+
+@pytest.mark.parametrize("rows_a_bucket", [2048, 5])
+def test_fingerprints_against_brute_force(spark, folder, monkeypatch, rows_a_bucket):
+    monkeypatch.setattr(fingerprints, "ROWS_A_BUCKET", rows_a_bucket)
+    rows = [r for r in documents() if r[0] != 113]
+    got = {r.doc_id: r for r in QUERIES["op12_document_fingerprints"](spark, folder(rows, clashing=True)).collect()}
+    order = sorted(rows)
+    assert len(got) == len(rows)
+    for (i, text, *_), (_, after, *_) in zip(order, [*order[1:], order[0]]):
+        text, after, r = text or "", after or "", got[i]
+        half = len(text) // 2
+        edited = text[:len(text) - half] + after[:half]
+        assert (r.n_chars, r.edited_sha256) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
+        bins = [brute_bins(x) for x in (text, edited, after)]
+        assert [r.fingerprint, r.edited_fingerprint] == ["".join(f"{x:x}" for x in b or []) for b in bins[:2]]
+        assert r.near_edited == pytest.approx(brute_likeness(bins[0], bins[1]), abs=1e-12)
+        assert r.near_next == pytest.approx(brute_likeness(bins[0], bins[2]), abs=1e-12)
+
+
+def test_likeness_estimates_the_similarity_of_shingles(spark):
+    base = prose("en", 600, 5)
+    rows = [(k, base if k == 0 else changed(base, k), None, None, 0) for k in (0, 12, 25, 50, 100, 300)]
+    sets = {i: {tuple(SPLIT(t)[n:n + 5]) for n in range(596)} for i, t, *_ in rows}
+    found = fingerprints.fingerprints(frame(spark, rows)).select("doc_id", "fingerprint")
+    both = found.join(found.where("doc_id = 0").select(F.col("fingerprint").alias("base")), how="cross")
+    for r in both.select("doc_id", fingerprints.likeness(F.col("fingerprint"), F.col("base")).alias("x")).collect():
+        assert abs(r.x - len(sets[0] & sets[r.doc_id]) / len(sets[0] | sets[r.doc_id])) < 0.09
+
+
+@pytest.mark.parametrize("ids", [[None] * 30, [7] * 30, [None] * 9 + [3] * 9 + list(range(9)), [5]])
+def test_next_document_where_ids_are_shared_or_null(spark, ids):
+    rows = [(i, f"text {k % 12}", None, None, 0) for k, i in enumerate(ids)]
+    docs = frame(spark, rows).select("doc_id", "text")
+    got = fingerprints.with_next(docs, ["doc_id", "text"], rows_a_bucket=2).collect()
+    key = lambda i, t: (i is not None, i or 0, (lambda h: h - 2**64 if h >= 2**63 else h)(xxhash.xxh64_intdigest(t.encode(), 42)))
+    order = sorted(((i, t) for i, t, *_ in rows), key=lambda r: key(*r))
+    want = collections.Counter((*a, *b) for a, b in zip(order, [*order[1:], order[0]]))
+    assert collections.Counter((r.doc_id, r.text, r.next_doc_id, r.next_text) for r in got) == want
+
+
+# Filter audit
+
+
+def brute_shapley(n, value):
+    """Sum over all orders of what each player adds."""
+    total = [0] * n
+    for order in itertools.permutations(range(n)):
+        done = 0
+        for k in order:
+            total[k] += value[done | 1 << k] - value[done]
+            done |= 1 << k
+    return total
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 5])
+def test_least_squares_gives_shapley_values(n):
+    rng = np.random.default_rng(n)
+    weights = filter_audit.shapley_weights(n)
+    for _ in range(20):
+        value = [int(x) for x in rng.integers(-50, 1000, 1 << n)]
+        assert [sum(w * v for w, v in zip(row, value)) for row in weights] == brute_shapley(n, value)
+
+
+def test_audit_steps_against_runs_of_the_filters(spark, folder):
+    rows = [*odd_rows(), (950, prose("en", 250, 3), None, "src0", 1), (951, prose("en", 250, 3), None, "src1", 1), (952, "A B C " * 90 + "#", None, "", 1), (953, "A B C " * 90 + "#", None, None, 1)]
+    got = {(r.part, r.filter_order, r.step): r for r in QUERIES["op13_filter_audit"](spark, folder(rows)).collect()}
+    labels = collections.defaultdict(lambda: [0, 0])
+    for i in {r[0] for r in rows if r[0] is not None and r[0] % 5}:
+        labels[i] = [i % 2, i % 3 // 2]
+    labels[3][1] = 1
+    first = {}
+    for i, text, *_ in rows:
+        if i is not None:
+            first[text or ""] = min(first.get(text or "", i), i)
+
+    def fails(i, text):
+        text = text or ""
+        words = SPLIT(text)
+        return {f for f, bad in zip("ABCDE", (
+            len(words) < 200, 100 * len(set(words)) < 50 * len(words), 100 * sum("A" <= c <= "Z" for c in text) > 2 * len(text),
+            any(c in "#$%&*|" for c in text), i is not None and i > first[text])) if bad}
+
+    marked = [(r[3] or "", fails(r[0], r[1]), labels[r[0]] if r[0] is not None else [0, 0]) for r in rows]
+    for part in {m[0] for m in marked}:
+        shapley = collections.Counter()
+        for order in ("".join(p) for p in itertools.permutations("ABCDE")):
+            left = [m for m in marked if m[0] == part]
+            everyone = left
+            for step, f in enumerate(order, 1):
+                gone, left = [m for m in left if f in m[1]], [m for m in left if f not in m[1]]
+                r = got[(part, order, step)]
+                failing = [m for m in everyone if f in m[1]]
+                assert (r.kept, r.removed, r.redundant) == (len(left), len(gone), len(failing) - len(gone))
+                assert (r.unique_fails, r.good_lost, r.toxic_lost) == (sum(m[1] == {f} for m in failing), sum(m[2][0] for m in gone), sum(m[2][1] for m in gone))
+                shapley[f] += len(gone)
+        assert all(r.shapley == shapley[o[s - 1]] for (p, o, s), r in got.items() if p == part)
