@@ -1,18 +1,21 @@
-"""Model fitting over whole tables: checked by rows, since no SQL fits a tree.
+"""Model fitting over whole tables, compared with trees grown in SQL.
 
-The search spaces are small so a check ends in reasonable time; every fit reads
-the whole table.
+Folds and repeats are those of the full plan; the search spaces hold fewer values of every parameter.
 """
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from catalog import inputs as i
-from catalog.cleaning import holdout_sql
+from catalog import growing, inputs as i
+from catalog.cleaning import holdout_sql, kfold_sql
 from catalog.exploring import DOCS_MI, k_best_sql
-from catalog.registry import query
+from catalog.measuring import METRICS_SQL
+from catalog.registry import query, rounded, sql_round
+from catalog.searching import SCORE_NAMES
 from profilespark.operators import cross_validation, models, search, splits
 from profilespark.operators.importance import importance_summary, permutation_importance
 from profilespark.operators.selection import MutualInformationSelector
@@ -28,16 +31,22 @@ TREE_PARAMETERS = {
     "classifier__min_samples_split": 2, "classifier__min_samples_leaf": 1,
 }
 FOREST_PARAMETERS = {**TREE_PARAMETERS, "classifier__n_estimators": 8, "classifier__max_features": "sqrt", "classifier__bootstrap": True}
+ORDER_FOREST = {
+    "feature_selection__k": 4, "classifier__criterion": "entropy", "classifier__max_depth": 4, "classifier__min_samples_split": 20, "classifier__min_samples_leaf": 5,
+    "classifier__n_estimators": 10, "classifier__max_features": "log2", "classifier__bootstrap": True,
+}
+#: Every parameter takes several values; a tree over these features is at most LEVELS deep.
 TREE_SPACE = {
-    "feature_selection__k": [2, "all"], "classifier__criterion": ["gini"], "classifier__max_depth": [2, 4],
-    "classifier__min_samples_split": [2, 8], "classifier__min_samples_leaf": [1],
+    "feature_selection__k": [2, 4, "all"], "classifier__criterion": ["gini", "entropy"], "classifier__max_depth": [None, 2, 4],
+    "classifier__min_samples_split": [2, 8], "classifier__min_samples_leaf": [1, 4],
 }
 FOREST_SPACE = {
-    "feature_selection__k": [2, "all"], "classifier__n_estimators": [4], "classifier__criterion": ["gini"],
-    "classifier__max_depth": [3], "classifier__min_samples_split": [2, 4], "classifier__min_samples_leaf": [1],
-    "classifier__max_features": ["sqrt"], "classifier__bootstrap": [True],
+    "feature_selection__k": [3, "all"], "classifier__n_estimators": [4, 6], "classifier__criterion": ["gini", "entropy"],
+    "classifier__max_depth": [None, 3], "classifier__min_samples_split": [2, 4], "classifier__min_samples_leaf": [1, 2],
+    "classifier__max_features": ["sqrt", "0.5", None], "classifier__bootstrap": [True, False],
 }
-PLAN = select_model.SearchPlan(spaces={TREE: TREE_SPACE, FOREST: FOREST_SPACE}, n_outer=2, n_inner=2, n_iter=2, repeats=2)
+LEVELS = 7
+PLAN = select_model.SearchPlan(spaces={TREE: TREE_SPACE, FOREST: FOREST_SPACE}, n_iter=4)
 SPEC = i.DOCS.with_(weight=WEIGHT)
 
 
@@ -92,6 +101,7 @@ def mi_sql(source: str, where: str = "true") -> str:
     return DOCS_MI if source == "document_quality" and where == "true" else DOCS_MI.replace("document_quality", f"(select * from {source} where {where})")
 
 
+TRAIN = "split='train'"
 SPLIT_DOCUMENTS = f"(select q.*, q.row_id%3+1 weight, h.split from document_quality q join ({holdout_sql('document_quality')}) h using (row_id))"
 WEIGHTED_DOCUMENTS = "(select *, row_id%3+1 weight from document_quality)"
 
@@ -121,29 +131,50 @@ def decision_tree_orders(spark, d):
     return models.predict(model, rows, TREE).select("row_id", "y_true", "y_pred")
 
 
-@query()
+def _predicted(table):
+    return rounded(table.select("row_id", "y_true", "y_pred", F.col("phishing_probability").alias("p")), "p", digits=9)
+
+
+def _predicted_sql(statement: str) -> str:
+    return statement.replace("y_pred, p from", f"y_pred, {sql_round('p', 9)} p from")
+
+
+@query(_predicted_sql(growing.fit_sql(WEIGHTED_DOCUMENTS, FOREST_PARAMETERS, "weight")), "document_quality")
 def random_forest(spark, d):
+    """A forest on drawn rows and features; SQL draws the same."""
     rows = _documents(spark, d)
-    return models.predict(models.fit(FOREST, FOREST_PARAMETERS, rows, SPEC), rows, FOREST)
+    return _predicted(models.predict(models.fit(FOREST, FOREST_PARAMETERS, rows, SPEC), rows, FOREST))
+
+
+@query(_predicted_sql(growing.fit_sql("order_profiles", ORDER_FOREST, features=i.ORDER_FEATURES)), "order_profiles")
+def random_forest_orders(spark, d):
+    """A forest over every order: profiles of very many rows draw by the expansion of the distribution."""
+    rows = materialize(i.order_profiles(spark, d), "orders")
+    return _predicted(models.predict(models.fit(FOREST, ORDER_FOREST, rows, i.ORDERS, weighted=False), rows, FOREST))
 
 
 @query(tree_sql(WEIGHTED_DOCUMENTS, weight="weight"), "document_quality")
 def forest_without_bootstrap(spark, d):
     """A forest of equal trees: nothing is drawn, and every feature is looked at."""
     rows = _documents(spark, d)
-    parameters = {**FOREST_PARAMETERS, "classifier__bootstrap": False, "classifier__max_features": None}
-    return models.predict(models.fit(FOREST, parameters, rows, SPEC), rows, FOREST).select("row_id", "y_true", "y_pred")
+    return models.predict(models.fit(FOREST, WHOLE_FOREST, rows, SPEC), rows, FOREST).select("row_id", "y_true", "y_pred")
+
+
+def _candidates_sql(*parameters) -> str:
+    """Held-out accuracy of models grown on the training side."""
+    sides = " union all ".join(f"select '{m}' model, y_true, y_pred, row_id from ({growing.fit_sql(SPLIT_DOCUMENTS, p, 'weight', TRAIN)})" for m, p in zip(FAMILIES, parameters))
+    return f"""select model, sum(case when y_true=y_pred then row_id%3+1 else 0 end)/cast(sum(row_id%3+1) as double) test_accuracy
+      from ({sides}) join {SPLIT_DOCUMENTS} s using (row_id) where s.split='test' group by model"""
 
 
-@query(f"""select model, sum(case when y_true=y_pred then row_id%3+1 else 0 end)/cast(sum(row_id%3+1) as double) test_accuracy
-           from (select unnest(['{TREE}', '{FOREST}']) model, t.row_id, t.y_true, t.y_pred
-                 from ({tree_sql(SPLIT_DOCUMENTS, "split='train'", weight='weight')}) t join {SPLIT_DOCUMENTS} s using (row_id) where s.split='test')
-           group by model""", "document_quality")
+WHOLE_FOREST = {**FOREST_PARAMETERS, "classifier__bootstrap": False, "classifier__max_features": None}
+
+
+@query(_candidates_sql(TREE_PARAMETERS, WHOLE_FOREST), "document_quality")
 def fit_candidates_without_bootstrap(spark, d):
     """Held-out accuracy of both families where nothing is drawn."""
     dev, test = _sides(spark, d)
-    parameters = {**FOREST_PARAMETERS, "classifier__bootstrap": False, "classifier__max_features": None}
-    return models.fit_candidates([(TREE, 0.0, TREE_PARAMETERS), (FOREST, 0.0, parameters)], dev, test, SPEC, True)[0]
+    return models.fit_candidates([(TREE, 0.0, TREE_PARAMETERS), (FOREST, 0.0, WHOLE_FOREST)], dev, test, SPEC, True)[0]
 
 
 @query(f"select row_id, cast(case when y_pred=-1 then 0 else 1 end as double) label_index from ({tree_sql(WEIGHTED_DOCUMENTS, weight='weight')})", "document_quality")
@@ -164,15 +195,17 @@ def weighted_fit(spark, d):
     return scored[0].unionByName(scored[1]).select("model", "row_id", "y_true", "y_pred")
 
 
-@query()
+DEEP_TREE = {**TREE_PARAMETERS, "classifier__max_depth": None, "classifier__min_samples_split": 30}
+
+
+@query(_predicted_sql(growing.fit_sql(WEIGHTED_DOCUMENTS, DEEP_TREE, "weight", levels=LEVELS)), "document_quality")
 def minimum_split_as_cut(spark, d):
-    """A tree whose small nodes are read as leaves."""
+    """A tree of any depth whose small nodes are not split."""
     rows = _documents(spark, d)
-    parameters = {**TREE_PARAMETERS, "classifier__max_depth": None, "classifier__min_samples_split": 30}
-    return models.predict(models.fit(TREE, parameters, rows, SPEC), rows, TREE)
+    return _predicted(models.predict(models.fit(TREE, DEEP_TREE, rows, SPEC), rows, TREE))
 
 
-@query(f"""select t.row_id, t.y_true, t.y_pred from ({tree_sql(SPLIT_DOCUMENTS, "split='train'", weight='weight')}) t
+@query(f"""select t.row_id, t.y_true, t.y_pred from ({growing.fit_sql(SPLIT_DOCUMENTS, TREE_PARAMETERS, 'weight', TRAIN)}) t
            join {SPLIT_DOCUMENTS} s using (row_id) where s.split='test'""", "document_quality")
 def refit_frozen(spark, d):
     """A configuration refitted on the development side, read on the held-out one."""
@@ -180,24 +213,64 @@ def refit_frozen(spark, d):
     return models.predict(models.fit(TREE, TREE_PARAMETERS, dev, SPEC), test, TREE).select("row_id", "y_true", "y_pred")
 
 
-@query()
+@query(_candidates_sql(TREE_PARAMETERS, FOREST_PARAMETERS), "document_quality")
 def fit_candidates(spark, d):
     dev, test = _sides(spark, d)
     chosen = [(TREE, 0.0, TREE_PARAMETERS), (FOREST, 0.0, FOREST_PARAMETERS)]
     return models.fit_candidates(chosen, dev, test, SPEC, True)[0]
 
 
-@query()
+FOLD_ROWS = f"""rows_ as materialized (select 0 grp, row_id, {', '.join(i.DOC_FEATURES)}, Result y, cast(weight as double) w, inner_fold fold
+  from ({kfold_sql(WEIGHTED_DOCUMENTS, 5, '42', 'inner_fold')}))"""
+
+
+def _scores_sql(candidates, draws: bool) -> str:
+    return f"""with {FOLD_ROWS},{growing.search_sql('', {0: candidates}, 5, LEVELS, draws).replace('rows_ as materialized (select * from rows_),', '', 1)}
+select candidate_id, split, {sql_round('score', 9)} score from scores"""
+
+
+def _cv_scores(spark, d, family, candidates):
+    folded = materialize(splits.stratified_kfold(_documents(spark, d), SPEC.target, "row_id", 5, out="inner_fold"), "folds")
+    return rounded(cross_validation.cv_scores(folded, SPEC, family, [row.asDict() for row in candidates.collect()], 5), "score", digits=9)
+
+
+@query(_scores_sql(growing.grid(TREE_SPACE), False), "document_quality")
 def cv_scores(spark, d):
-    folded = materialize(splits.stratified_kfold(_documents(spark, d), SPEC.target, "row_id", 2, out="inner_fold"), "folds")
-    grid = [row.asDict() for row in search.grid_candidates(spark, TREE_SPACE).collect()]
-    return cross_validation.cv_scores(folded, SPEC, TREE, grid, 2)
+    """Every tree of a grid over all parameters on five splits."""
+    return _cv_scores(spark, d, TREE, search.grid_candidates(spark, TREE_SPACE))
 
 
-@query()
+@query(_scores_sql(growing.draw(FOREST_SPACE, 8, 42), True), "document_quality")
+def cv_scores_forests(spark, d):
+    """Forests drawn from a space over all parameters on five splits."""
+    return _cv_scores(spark, d, FOREST, search.random_candidates(spark, FOREST_SPACE, 8))
+
+
+def _nested_tables(source: str, weight: str) -> str:
+    """Both families' searches on ten outer training sets, the choices refitted, and all held-out predictions."""
+    found = {TREE: ("t_", {p: growing.grid(TREE_SPACE) for p in range(1, 11)}), FOREST: ("f_", {p: growing.draw(FOREST_SPACE, PLAN.n_iter, 42 + p) for p in range(1, 11)})}
+    parts = [growing.nested_rows(source, weight, 10, 5)]
+    for prefix, candidates in found.values():
+        parts += [growing.search_sql(prefix, candidates, 5, LEVELS, prefix == "f_"), growing.chosen_sql(prefix), growing.refit_sql(f"{prefix}r_", f"{prefix}picked", LEVELS, prefix == "f_")]
+    key = growing.key_of(i.DOC_FEATURES)
+    each = " union all ".join(f"""select '{family}' model, grp outer_fold, row_id, y y_true, w sample_weight, p phishing_probability, case when p>=0.5 then -1 else 1 end y_pred
+      from rows_ join {prefix}r_predicted r on r.fit=grp and r.key={key} where fold=0""" for family, (prefix, _) in found.items())
+    chosen = " union all ".join(f"select '{family}' model, grp outer_fold, feature_selection__k, selected_by_one_se, mean_test_score from {prefix}picked" for family, (prefix, _) in found.items())
+    return ",".join(parts) + f", predictions as materialized ({each}), all_picked as materialized ({chosen})"
+
+
+NESTED_SCORES = f"""select model, outer_fold, selected_k, cast(least(coalesce(try_cast(selected_k as int), 5), 5) as int) selected_feature_count,
+  {', '.join(f'{sql_round(n)} {n}' for n in SCORE_NAMES)}
+  from (select model, outer_fold, max(cast(feature_selection__k as varchar)) filter (selected_by_one_se) selected_k,
+          max(mean_test_score) filter (selected_by_one_se) inner_selected_accuracy, max(mean_test_score) inner_max_accuracy from all_picked group by model, outer_fold)
+  join ({METRICS_SQL}) using (model, outer_fold)"""
+
+
+@query(f"with {_nested_tables(WEIGHTED_DOCUMENTS, 'weight')} {NESTED_SCORES}", "document_quality")
 def nested_cv(spark, d):
+    """Ten outer and five inner folds, both families; SQL searches, refits and scores the same."""
     folded = materialize(splits.stratified_kfold(_documents(spark, d), SPEC.target, "row_id", PLAN.n_outer), "outer")
-    return select_model.nested_cv(folded, SPEC, [TREE], PLAN)["fold_scores"]
+    return rounded(select_model.nested_cv(folded, SPEC, FAMILIES, replace(PLAN, repeats=0))["fold_scores"], *SCORE_NAMES)
 
 
 @query()

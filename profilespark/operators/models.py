@@ -1,29 +1,24 @@
-"""Fitting and scoring tree classifiers with ``pyspark.ml``.
+"""Fitting and scoring tree classifiers.
 
-Labels are {0, 1} inside the models: index 0 is the positive class (-1), so
-majority ties go to it.
+Trees and forests are grown on the table's cells (``operators/growth.py``). The estimator of
+``build_model``, for those who want one in a ``pyspark.ml`` pipeline, fits with ``pyspark.ml``; its labels
+are {0, 1}: index 0 is the positive class (-1), so majority ties go to it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
-from functools import cached_property
 from math import isqrt
 
-from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
+from pyspark.ml import Estimator, Pipeline
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from profilespark.functions.exprs import union_results, with_weight
 from profilespark.operators.diagnostics import prediction_table
+from profilespark.operators.growth import GrownModel, cells_of, fit_of, grow
 from profilespark.operators.metrics import accuracy
-from profilespark.operators.selection import MutualInformationSelector, MutualInformationSelectorModel
-from profilespark.operators.trees import (
-    Node, collapse, count_rows, cut_leaves, leaf_probability, node_table, predicted_label,
-)
-from profilespark.session import materialize
+from profilespark.operators.selection import MutualInformationSelector
 from profilespark.spec import FAMILIES, SEED, WEIGHT, TableSpec
 
 LABEL = "_label"
@@ -36,15 +31,6 @@ MOST_BINS = 46_340
 MAX_DEPTH = 30
 
 
-def with_bins(df: DataFrame, spec: TableSpec) -> TableSpec:
-    """The spec with the number of values of its widest feature, from one pass if nobody has counted yet."""
-    if spec.bins is not None or not spec.features:
-        return spec
-    counts = df.agg(*[F.approx_count_distinct(f, 0.02).alias(f) for f in spec.features]).first()
-    # Estimates may be a few percent low, and a bin too many changes nothing.
-    return spec.with_(bins=int(max(counts) * 1.1) + 2)
-
-
 def with_label(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.withColumn(LABEL, ((F.col(spec.target) - spec.positive) / (spec.negative - spec.positive)).cast("double"))
 
@@ -52,8 +38,7 @@ def with_label(df: DataFrame, spec: TableSpec) -> DataFrame:
 def build_classifier(family: str, params: Mapping[str, object], weighted: bool = True, bins: int | None = None) -> Estimator:
     """Classifier stage from a parameter record (names without prefix).
 
-    ``min_samples_split`` has no counterpart in ``pyspark.ml``; it is applied to
-    the fitted trees (see ``FittedModel``).
+    ``min_samples_split`` has no counterpart in ``pyspark.ml``.
     """
     depth = params.get("max_depth")
     shared = dict(
@@ -96,112 +81,25 @@ def build_model(family: str, parameters: Mapping[str, object], spec: TableSpec,
     return Pipeline(stages=[MutualInformationSelector(spec=spec, k=k), classifier])
 
 
-def fits_on_cells(params: Mapping[str, object], weighted: bool) -> bool:
-    """Whether a tree grown on collapsed rows is the tree grown on the rows themselves.
-
-    Impurity only sees summed weights. A minimum leaf size counts rows, which a
-    collapsed table can honour if it asks nothing (1) or if weights are row counts.
-    """
-    return not weighted or int(params.get("min_samples_leaf", 1)) == 1
-
-
-def grow_tree(table: DataFrame, spec: TableSpec, features: Sequence[str], params: Mapping[str, object],
-              weighted: bool) -> tuple[Model, list[Node]]:
-    """Tree on the given features, with the training rows of every node.
-
-    Where it makes no difference, rows are first collapsed to distinct
-    (features, label) cells, so growing costs as much as there are profiles.
-    """
-    selector = MutualInformationSelectorModel(selected=tuple(features), outputCol="features")
-    classifier = build_classifier(FAMILIES[0], params, weighted=True, bins=spec.bins)
-    if not fits_on_cells(params, weighted):
-        if spec.multiplicity:
-            raise ValueError("A minimum leaf size over weighted rows needs the rows, not their cells.")
-        model = with_whole_sample(classifier, table.count()).fit(selector.transform(with_label(table, spec)))
-        return model, node_table(model, features)
-    cells = with_label(table, spec).groupBy(*features, LABEL).agg(
-        F.sum(spec.mass).alias(WEIGHT), F.sum(spec.rows).alias("_rows")
-    )
-    cells = selector.transform(materialize(cells, "training-cells"))
-    smallest = int(params.get("min_samples_leaf", 1))
-    classifier = classifier.setMinInstancesPerNode(1)
-    if smallest > 1:
-        # Weights are row counts here; half a row of slack keeps rounding out of the comparison.
-        rows = cells.agg(F.sum("_rows")).first()[0]
-        classifier = classifier.setMinWeightFractionPerNode((smallest - 0.5) / rows)
-    model = with_whole_sample(classifier, cells.count()).fit(cells)
-    # One number per leaf.
-    in_leaf = model.transform(cells).groupBy("leaf").agg(F.sum("_rows").alias("n")).collect()
-    return model, count_rows(node_table(model, features), {int(r["leaf"]): r["n"] for r in in_leaf})
-
-
-@dataclass(frozen=True)
-class FittedModel:
-    """A fitted selector and classifier, with nodes under ``min_split`` rows read as leaves."""
-
-    selector: MutualInformationSelectorModel
-    classifier: Model
-    spec: TableSpec
-    min_split: int = 2
-    counted_nodes: list[Node] | None = None
-
-    @property
-    def selected(self) -> tuple[str, ...]:
-        return self.selector.selected
-
-    @cached_property
-    def grown_nodes(self) -> list[Node]:
-        """Nodes as grown; a forest's are only read when asked for."""
-        return self.counted_nodes if self.counted_nodes is not None else node_table(self.classifier, self.selected)
-
-    @property
-    def nodes(self) -> list[Node]:
-        return collapse(self.grown_nodes, self.min_split)
-
-    def _probability(self) -> Column:
-        if self.min_split <= 2:
-            return vector_to_array("probability")[0]
-        # A single tree gives a number, a forest a vector of them.
-        forest = hasattr(self.classifier, "treeWeights")
-        leaves = vector_to_array("leaf") if forest else F.array("leaf")
-        return leaf_probability(leaves, cut_leaves(self.grown_nodes, min_rows=self.min_split))
-
-    def score(self, df: DataFrame) -> DataFrame:
-        """Add ``phishing_probability`` and ``y_pred``; a narrow operation."""
-        scored = PipelineModel([self.selector, self.classifier]).transform(df)
-        scored = scored.withColumn("phishing_probability", self._probability())
-        added = ["features", "rawPrediction", "probability", "prediction", "leaf"]
-        return scored.withColumn("y_pred", predicted_label(F.col("phishing_probability"))).drop(*added)
-
-
 def fit_selected(family: str, parameters: Mapping[str, object], df: DataFrame, spec: TableSpec, features: Sequence[str],
-                 weighted: bool = True) -> FittedModel:
-    """Fit a parameter record on features that are already chosen.
-
-    A forest is fitted on the rows themselves: bootstrap draws rows, so they
-    cannot be collapsed.
-    """
+                 weighted: bool = True) -> GrownModel:
+    """Fit a parameter record on features that are already chosen, on the table's cells."""
     df, spec = with_weight(df, spec, weighted)
     _, params = split_parameters(parameters)
-    selector = MutualInformationSelectorModel(selected=tuple(features), outputCol="features")
-    min_split = int(params.get("min_samples_split", 2))
-    if family == FAMILIES[0]:
-        model, nodes = grow_tree(df, spec, features, params, weighted)
-        return FittedModel(selector, model, spec, min_split, nodes)
-    forest = with_whole_sample(build_classifier(family, params, weighted, spec.bins), df.count())
-    forest = forest.fit(selector.transform(with_label(df, spec)))
-    return FittedModel(selector, forest, spec, min_split)
+    fitted = fit_of(family, params, [spec.features.index(f) for f in features])
+    (growth,) = grow(cells_of(df, spec, 1, F.lit(1)), [fitted])
+    return GrownModel.of(growth, fitted, spec)
 
 
-def fit(family: str, parameters: Mapping[str, object], df: DataFrame, spec: TableSpec, weighted: bool = True) -> FittedModel:
+def fit(family: str, parameters: Mapping[str, object], df: DataFrame, spec: TableSpec, weighted: bool = True) -> GrownModel:
     """Fit (or refit) a parameter record on all given rows: selection first, then the classifier."""
     k, _ = split_parameters(parameters)
-    df, spec = with_weight(df, with_bins(df, spec), weighted)
+    df, spec = with_weight(df, spec, weighted)
     selector = MutualInformationSelector(spec=spec, k=k).fit(df)
     return fit_selected(family, parameters, df, spec, selector.selected, weighted)
 
 
-def predict(model: FittedModel, df: DataFrame, name: str) -> DataFrame:
+def predict(model: GrownModel, df: DataFrame, name: str) -> DataFrame:
     """Label and P(positive class) per row, as a prediction table keyed by the row key."""
     spec = model.spec
     keep = [c for c in ("outer_fold", "split") if c in df.columns]
@@ -215,9 +113,8 @@ def predict(model: FittedModel, df: DataFrame, name: str) -> DataFrame:
 
 
 def fit_candidates(configurations: list[tuple[str, float, dict[str, object]]], dev: DataFrame, test: DataFrame,
-                   spec: TableSpec, weighted: bool) -> tuple[DataFrame, dict[str, FittedModel]]:
+                   spec: TableSpec, weighted: bool) -> tuple[DataFrame, dict[str, GrownModel]]:
     """Fit each family's chosen configuration; held-out accuracy per family."""
-    spec = with_bins(dev, spec)
     test, _ = with_weight(test, spec, weighted)
     models = {name: fit(name, parameters, dev, spec, weighted) for name, _, parameters in configurations}
     scored = union_results([predict(model, test, name) for name, model in models.items()])

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from profilespark.functions.ranking import assign_segments, bucket_counts, cut_keys, with_order_key
+from profilespark.functions.ranking import assign_segments, bucket_counts, cut_keys, hash_key, with_order_key
 from profilespark.spec import SEED
 
 BACKGROUND_SIZE = 500
@@ -91,6 +91,31 @@ def inner_kfold(folded: DataFrame, label: str, row_id: str, n_outer: int = 10, k
     return stratified_kfold(train, label, row_id, k, F.lit(seed) + F.col("outer_fold"), "inner_fold", ("outer_fold",))
 
 
+def inner_folds(folded: DataFrame, label: str, row_id: str, n_outer: int = 10, k: int = 5, seed: int = SEED) -> DataFrame:
+    """The folds of ``inner_kfold`` as one array column: place p holds the row's fold in the training set of outer
+    fold p (from 1), null where it is held out there.
+
+    Only (key, label, fold) is copied, to find the cut keys; rows are compared with them in place.
+    """
+    group = ["outer_fold", label]
+    copies = training_rows(folded.select(row_id, *group), n_outer)
+    keyed = with_order_key(copies, F.lit(seed) + F.col("outer_fold"), row_id)
+    buckets = bucket_counts(keyed, group)
+    cuts = cut_keys(keyed, buckets, group, _fold_cuts(buckets, ["outer_fold"], label, k))
+    # One row per class: the cut keys of every training set.
+    keys = cuts.groupBy(*group).agg(F.collect_list("_cut_key").alias("_keys"))
+    keys = keys.groupBy(label).agg(F.map_from_entries(F.collect_list(F.struct("outer_fold", "_keys"))).alias("_cuts"))
+
+    def fold(p: Column) -> Column:
+        at = F.coalesce(F.try_element_at("_cuts", p), F.array().cast("array<string>"))
+        key = hash_key(F.lit(seed) + p, F.col(row_id))
+        # A cut without a key has rank 0: every row lies beyond it.
+        return F.lit(k) - F.size(F.filter(at, lambda c: key <= c))
+
+    each = F.transform(F.sequence(F.lit(1), F.lit(n_outer)), lambda p: F.when(p != F.col("outer_fold"), fold(p)))
+    return folded.join(F.broadcast(keys), label, "left").withColumn("inner_folds", each).drop("_cuts")
+
+
 def kfold(df: DataFrame, row_id: str, k: int = 4, seed: int = 0, out: str = "fold") -> DataFrame:
     """Shuffled folds without strata."""
     return stratified_kfold(df.withColumn("_stratum", F.lit(0)), "_stratum", row_id, k, seed, out).drop("_stratum")

@@ -6,18 +6,20 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from profilespark.functions.exprs import union_results, with_weight
 from profilespark.operators import search
-from profilespark.operators.cross_validation import PARALLELISM, cv_scores, fold_cells
-from profilespark.operators.diagnostics import error_by_feature_value, error_summary, fold_pivot, wilcoxon_paired
+from profilespark.operators.cross_validation import search_scores, selections
+from profilespark.operators.diagnostics import error_by_feature_value, error_summary, fold_pivot, prediction_table, wilcoxon_paired
 from profilespark.operators.eda import mutual_information
 from profilespark.operators.importance import REPEATS, importance_summary, permutation_importance
 from profilespark.operators.metrics import classification_metrics
-from profilespark.operators.models import FittedModel, fit, predict, with_bins
+from profilespark.operators.growth import TREES_AT_A_TIME, Fit, Growth, cells_of, fit_of, grow, score_by
+from profilespark.operators.models import split_parameters
 from profilespark.operators.selection import feature_ranking_topn, selected_feature_table
-from profilespark.operators.splits import stratified_kfold
-from profilespark.operators.trees import thresholds
+from profilespark.operators.splits import inner_folds, stratified_kfold
+from profilespark.operators.trees import predicted_label
 from profilespark.session import materialize
 from profilespark.spec import FAMILIES, HIGH_CONFIDENCE, SEED, WEIGHT, TableSpec
 
@@ -34,7 +36,7 @@ class SearchPlan:
     n_iter: int = search.RANDOM_ITERATIONS
     repeats: int = REPEATS
     seed: int = SEED
-    parallelism: int = PARALLELISM
+    at_a_time: int = TREES_AT_A_TIME
 
     def candidates(self, spark: SparkSession, family: str, seed: int) -> DataFrame:
         """The whole grid for trees, a random draw of it for forests."""
@@ -43,69 +45,101 @@ class SearchPlan:
         return search.random_candidates(spark, self.spaces[family], self.n_iter, seed)
 
 
-@dataclass(frozen=True)
-class InnerFolds:
-    """One training table with its inner folds: rows and cells, both written, shared by the families."""
-
-    rows: DataFrame
-    cells: DataFrame
-
-    @classmethod
-    def of(cls, table: DataFrame, spec: TableSpec, plan: SearchPlan, seed: int) -> "InnerFolds":
-        folded = stratified_kfold(table, spec.target, spec.key, plan.n_inner, seed, "inner_fold")
-        rows = materialize(folded, "inner-folds", ["inner_fold"])
-        return cls(rows, fold_cells(rows, spec))
+def run_search(cells: DataFrame, spec: TableSpec, family: str, plan: SearchPlan, seeds: Mapping[int, int]) -> tuple[DataFrame, dict[int, dict]]:
+    """Scored candidates of every group of cells with the one-standard-error choice flagged, and the choices' parameters.
 
-
-def run_search(inner: InnerFolds, spec: TableSpec, family: str, plan: SearchPlan, seed: int,
-               weighted: bool = True) -> tuple[DataFrame, dict]:
-    """Scored candidates with the one-standard-error choice flagged, and that choice's parameters."""
+    ``seeds`` holds the groups and what their candidates are drawn by.
+    """
     spark = SparkSession.active()
-    candidates = plan.candidates(spark, family, seed)
     names = sorted(plan.spaces[family])
-    records = [r.asDict() for r in candidates.collect()]
-    scores = cv_scores(
-        inner.rows, spec, family, records, plan.n_inner, weighted=weighted, parallelism=plan.parallelism, cells=inner.cells
-    )
-    results = search.cv_results(scores, range(1, plan.n_inner + 1))
-    chosen = search.one_se_rule(
-        results.join(spark.createDataFrame(records, candidates.schema), "candidate_id"), plan.n_inner
-    )
+    drawn = {group: plan.candidates(spark, family, seed) for group, seed in seeds.items()}
+    records = {group: [r.asDict() for r in c.collect()] for group, c in drawn.items()}
+    scores = search_scores(cells, spec, family, records, plan.n_inner, plan.seed, plan.at_a_time)
+    results = search.cv_results(scores, range(1, plan.n_inner + 1), ["group"])
+    schema = StructType([*next(iter(drawn.values())).schema, StructField("group", IntegerType())])
+    listed = spark.createDataFrame([(*c.values(), group) for group, rows in records.items() for c in rows], schema)
+    chosen = search.one_se_rule(results.join(listed, ["group", "candidate_id"]), plan.n_inner, ["group"])
     chosen = materialize(chosen.withColumn("model", F.lit(family)), "search")
-    best = chosen.where("selected_by_one_se").select(*names).first().asDict()
+    best = {r["group"]: {n: r[n] for n in names} for r in chosen.where("selected_by_one_se").select("group", *names).collect()}
     return chosen, best
 
 
-def _importance(model: FittedModel, held_out: DataFrame, family: str, plan: SearchPlan) -> DataFrame:
+def nested_cells(folded: DataFrame, spec: TableSpec, plan: SearchPlan) -> DataFrame:
+    """Cells of every outer training set (the groups, from 1) by inner fold; fold 0 is the outer fold that is held out.
+
+    One pass over the table: a row carries its inner folds as one array, and copies meet the counts on the map side.
+    """
+    rows = inner_folds(folded, spec.target, spec.key, plan.n_outer, plan.n_inner, plan.seed)
+    copies = rows.select(*spec.features, spec.target, *([spec.weight] if spec.weight else []), F.posexplode("inner_folds").alias("place", "fold"))
+    return cells_of(copies, spec, plan.n_inner, F.coalesce("fold", F.lit(0)), F.col("place") + 1)
+
+
+def _held_out_predictions(folded: DataFrame, spec: TableSpec, growth: Growth, models: Mapping[int, tuple[str, int]]) -> DataFrame:
+    """Every row's prediction by the fit that held out its fold; ``models`` names the (family, outer fold) of each fit."""
+    spark = SparkSession.active()
+    named = spark.createDataFrame([(f, *m) for f, m in models.items()], "fit int, model string, outer_fold int")
+    named = named.join(growth.fits.select("fit", "features"), "fit")
+    every = F.array(*[F.col(f).cast("double") for f in spec.features])
+    rows = folded.select("outer_fold", spec.key, F.col(WEIGHT).cast("double").alias(WEIGHT), F.col(spec.target).alias("y_true"), every.alias("all"))
+    rows = rows.join(F.broadcast(named), "outer_fold").withColumn("x", F.transform("features", lambda i: F.get("all", i)))  # a row per family and fold
+    found = rows.join(growth.held_out().select("fit", "x", F.col("probability").alias("phishing_probability")), ["fit", "x"])
+    return prediction_table(found.select(
+        "model", "outer_fold", spec.key, WEIGHT, "y_true", predicted_label(F.col("phishing_probability")).alias("y_pred"), "phishing_probability"))
+
+
+def _importance(folded: DataFrame, spec: TableSpec, growth: Growth, models: Mapping[int, Fit], family: str, plan: SearchPlan) -> DataFrame:
+    """Permutation importance of every outer fold's model on its held-out rows, all folds together.
+
+    Rows are told apart at every split point of any fold's model; what a model does not split on is exactly 0.
+    """
+    spark = SparkSession.active()
+    splits = growth.nodes.where(F.col("place").isNotNull()).join(F.broadcast(growth.fits.select("fit", "features")), "fit")
+    # One row per split point of a model.
+    used = [(r["fit"], spec.features[r["feature"]], r["cut"]) for r in splits.select("fit", F.get("features", F.col("place")).alias("feature"), "cut").distinct().collect()]
+    fold_of = {f.fit: p for p, f in models.items()}
+    points: dict[str, set[float]] = {}
+    for fit, feature, cut in used:
+        if fit in fold_of:
+            points.setdefault(feature, set()).add(cut)
     scores = permutation_importance(
-        held_out, model.spec, thresholds(model.nodes), model.score, family, plan.repeats, plan.seed
-    )
-    return scores.withColumn("selected", F.col("feature").isin(*model.selected))
+        folded.where(F.col("outer_fold").isin(list(models))), spec, {f: sorted(points[f]) for f in spec.features if f in points},
+        lambda cells: score_by(cells, "outer_fold", models, growth.nodes, spec), family, plan.repeats, plan.seed)
+    split_on = spark.createDataFrame(sorted({(fold_of[f], feature) for f, feature, _ in used if f in fold_of}) or [], "outer_fold int, feature string")
+    taken = spark.createDataFrame([(p, spec.features[i]) for p, f in models.items() for i in f.features], "outer_fold int, feature string")
+    scores = scores.join(F.broadcast(split_on.withColumn("_split", F.lit(True))), ["outer_fold", "feature"], "left").join(
+        F.broadcast(taken.withColumn("selected", F.lit(True))), ["outer_fold", "feature"], "left")
+    exact = {c: F.when(F.col("_split"), F.col(c)).otherwise(0.0) for c in ("importance_mean", "importance_std")}
+    return scores.withColumns(exact).select("model", "outer_fold", "feature", "importance_mean", "importance_std", F.coalesce("selected", F.lit(False)).alias("selected"))
 
 
 def nested_cv(folded: DataFrame, spec: TableSpec, families: Sequence[str], plan: SearchPlan,
               weighted: bool = True) -> dict[str, DataFrame]:
     """Search on every outer training set, then score, predict and permute on its held-out fold.
 
-    Both families see the same folds. Each fold's tables are written before the
-    next fold starts, so a lost executor costs one fold's work and no lineage grows.
+    All outer folds are searched together: their training sets are groups of one table of counted cells. The choices
+    are refitted together as well, with the held-out profiles on their way. Results are written as they are made.
     """
-    searches, predictions, importances = [], [], []
     folded, spec = with_weight(folded, spec, weighted)
-    for outer in range(1, plan.n_outer + 1):
-        train = folded.where(F.col("outer_fold") != outer).drop("outer_fold")
-        held_out = folded.where(F.col("outer_fold") == outer)
-        inner = InnerFolds.of(train, spec, plan, plan.seed + outer)
-        for family in families:
-            chosen, best = run_search(inner, spec, family, plan, plan.seed + outer, weighted)
-            model = fit(family, best, inner.rows, spec, weighted)
-            searches.append(chosen.select(
-                "model", F.lit(outer).alias("outer_fold"), F.col(search.K).cast("string").alias(search.K),
-                "selected_by_one_se", "mean_test_score",
-            ))
-            predictions.append(materialize(predict(model, held_out, family), "oof"))
-            if plan.repeats:
-                importances.append(materialize(_importance(model, held_out, family, plan), "importance"))
+    cells = nested_cells(folded, spec, plan)
+    outer = range(1, plan.n_outer + 1)
+    searches, models, fits = [], {}, []
+    for family in families:
+        chosen, best = run_search(cells, spec, family, plan, {p: plan.seed + p for p in outer})
+        searches.append(chosen.select(
+            "model", F.col("group").alias("outer_fold"), F.col(search.K).cast("string").alias(search.K), "selected_by_one_se", "mean_test_score"))
+        picked = selections(cells, spec, plan.n_inner, sorted({str(b[search.K]) for b in best.values()}))
+        for p in outer:
+            k, params = split_parameters(best[p])
+            models[len(fits)] = (family, p)
+            fits.append(fit_of(family, params, picked[(p, 0, str(k))], fit=len(fits), group=p))
+    predictions, importances = [], []
+    for growth in grow(cells, fits, plan.seed, plan.at_a_time):
+        grown = [f for f in fits if f.fit in {r["fit"] for r in growth.fits.select("fit").collect()}]
+        predictions.append(materialize(_held_out_predictions(folded, spec, growth, {f.fit: models[f.fit] for f in grown}), "oof"))
+        for family in families if plan.repeats else []:
+            own = {models[f.fit][1]: f for f in grown if models[f.fit][0] == family}
+            if own:
+                importances.append(materialize(_importance(folded, spec, growth, own, family, plan), "importance"))
     tables = {"oof_predictions": union_results(predictions)}
     if importances:
         tables["permutation_importance"] = union_results(importances)
@@ -141,7 +175,7 @@ def select_model(table: DataFrame, spec: TableSpec, plan: SearchPlan | None = No
     every fit, score and report below reads the same column.
     """
     plan = plan or SearchPlan()
-    table, spec = with_weight(table, with_bins(table, spec), weighted)
+    table, spec = with_weight(table, spec, weighted)
     metric = "weighted_accuracy" if weighted else "accuracy"
     folded = materialize(stratified_kfold(table, spec.target, spec.key, plan.n_outer, plan.seed), "outer-folds", ["outer_fold"])
     families = [f for f in FAMILIES if f in plan.spaces]
@@ -150,9 +184,9 @@ def select_model(table: DataFrame, spec: TableSpec, plan: SearchPlan | None = No
     summary = search.nested_summary(scores)
     best = search.best_family(summary).first()["model"]
 
-    final = InnerFolds.of(table, spec, plan, plan.seed)
-    searches = {family: run_search(final, spec, family, plan, plan.seed, weighted) for family in families}
-    chosen, parameters = searches[best]
+    final = cells_of(stratified_kfold(table, spec.target, spec.key, plan.n_inner, plan.seed, "inner_fold"), spec, plan.n_inner, F.col("inner_fold"))
+    searches = {family: run_search(final, spec, family, plan, {0: plan.seed}) for family in families}
+    chosen, parameters = searches[best][0].drop("group"), searches[best][1][0]
     names = sorted(plan.spaces[best])
     features = selected_feature_table(mutual_information(table, spec), spec, parameters[search.K])
     depths = plan.spaces[best][search.DEPTH]
@@ -164,7 +198,7 @@ def select_model(table: DataFrame, spec: TableSpec, plan: SearchPlan | None = No
         "error_summary": error_summary(predictions),
         "error_by_feature_value": error_by_feature_value(predictions.drop("outer_fold"), table, spec),
         "candidate_best_parameters": union_results([
-            search.candidate_best_table(rows, sorted(plan.spaces[f]), metric) for f, (rows, _) in searches.items()
+            search.candidate_best_table(rows.drop("group"), sorted(plan.spaces[f]), metric) for f, (rows, _) in searches.items()
         ]),
         "final_search_results": search.compact_search_results(chosen, names),
         "final_best_parameters": search.final_best_parameters(chosen, names, metric, best),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from catalog import inputs as i
 from profilespark.operators import cross_validation, diagnostics, eda, importance, metrics, models, search, selection, shapley
 from profilespark.operators.splits import background_sample
-from profilespark.operators.trees import Node, cut_leaves, score_expression, score_nodes, thresholds, used_features
+from profilespark.operators.trees import Node, score_expression, score_nodes, thresholds, used_features
 from profilespark.spec import FAMILIES, WEIGHT, TableSpec
 
 SPEC = TableSpec(features=("a", "b"))
@@ -266,30 +266,6 @@ def documents(spark, sf_dir):
 DOCS = i.DOCS.with_(weight="sample_weight")
 
 
-@pytest.mark.parametrize("weighted,smallest", [(True, 1), (False, 1), (False, 6)])
-def test_a_tree_on_cells_is_the_tree_on_rows(documents, weighted, smallest):
-    params = {"criterion": "gini", "max_depth": 5, "min_samples_leaf": smallest}
-    spec = DOCS if weighted else i.DOCS
-    _, on_cells = models.grow_tree(documents, spec, spec.features, params, weighted)
-    selector = models.MutualInformationSelectorModel(selected=spec.features, outputCol="features")
-    plain = models.build_classifier(FAMILIES[0], params, weighted).fit(selector.transform(models.with_label(documents, spec)))
-    on_rows = models.node_table(plain, spec.features)
-    shape = lambda nodes: sorted((n.feature or "", n.threshold or 0.0, round(n.value, 9), n.rows) for n in nodes)
-    assert shape(on_cells) == shape(on_rows)
-
-
-def test_a_cut_tree_labels_like_a_shallow_one(documents):
-    deep, nodes = models.grow_tree(documents, DOCS, DOCS.features, {"max_depth": 6}, True)
-    selector = models.MutualInformationSelectorModel(selected=DOCS.features, outputCol="features")
-    rows = selector.transform(documents)
-    for depth in (1, 2, 3):
-        (values,) = cut_leaves(nodes, depth)
-        shallow, _ = models.grow_tree(documents, DOCS, DOCS.features, {"max_depth": depth}, True)
-        cut = {r["row_id"]: -1.0 if values[int(r["leaf"])] >= 0.5 else 1.0 for r in deep.transform(rows).collect()}
-        fresh = {r["row_id"]: -1.0 if r["prediction"] == 0.0 else 1.0 for r in shallow.transform(rows).collect()}
-        assert cut == fresh
-
-
 @pytest.mark.parametrize("family", FAMILIES)
 def test_minimum_split_reads_small_nodes_as_leaves(documents, family):
     parameters = {"feature_selection__k": "all", "classifier__max_depth": 6, "classifier__n_estimators": 3, "classifier__min_samples_split": 60}
