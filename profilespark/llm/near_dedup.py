@@ -14,6 +14,9 @@ share (the prefix and position filters of exact set joins), so only texts of dif
 that share one so are compared. No bucket is capped, and no link between
 components is lost that the bands found.
 
+Texts are read once more for the candidates only: a Bloom filter of fixed size over the candidates' doc_ids lets
+their texts through where they are read, so no text is shuffled that is not to be compared.
+
 Rows, nulls, ties: a document without a word, or with a null text or doc_id, is a class of its own;
 a text of one to four words is one shingle; rows that share a doc_id are texts of one node, so they may
 be linked through each other's copies; the class is named by its smallest doc_id. An empty table
@@ -27,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from profilespark.llm import dart_minhash, shingles
 from profilespark.llm.common import map_arrow, register, small_batches, table, text_of
@@ -39,6 +42,8 @@ BANDS = 30
 ROWS = 6
 #: Slots in which shingles are counted to tell rare ones; collisions only cost time.
 SLOT_BITS = 18
+#: Bits of the filter that picks the texts of candidates, as a power of two (8 MB).
+FILTER_BITS = 26
 #: Parsed texts that a comparing task remembers.
 REMEMBERED = 16
 
@@ -150,6 +155,24 @@ def rare_tokens(texts: DataFrame) -> DataFrame:
     return map_arrow(texts.select("node", "root", "text"), found, "node long, root long, token long, place long, n long")
 
 
+def _place(node: Column) -> tuple[Column, Column]:
+    """Word and bit of a node in the filter."""
+    slot = F.pmod(F.xxhash64(node), F.lit(1 << FILTER_BITS))
+    return F.shiftright(slot, 6).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(slot, F.lit(64)).cast("int")).alias("bit")
+
+
+def node_filter(nodes: DataFrame) -> DataFrame:
+    """A Bloom filter of one hash over nodes as rows of 64 bits: at most 2^(FILTER_BITS - 6) of them, whatever the input."""
+    return nodes.select(*_place(F.col("node"))).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+
+
+def in_filter(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows whose node the filter holds, and few others, without shuffling them; the joins that follow are exact."""
+    word, bit = _place(F.col("node"))
+    marked = rows.select("*", word, bit).join(F.broadcast(found), "word")
+    return marked.where(F.col("bits").bitwiseAND(F.col("bit")) != 0).drop("word", "bit", "bits")
+
+
 def near_links(docs: DataFrame, marks: DataFrame) -> DataFrame:
     """Links (a, b) between nodes (smallest doc_ids of texts) whose components are the classes."""
     known = marks.where("n_words > 0 and doc_id is not null")
@@ -159,7 +182,7 @@ def near_links(docs: DataFrame, marks: DataFrame) -> DataFrame:
     buckets = materialize(rows.join(stars, "band"), "buckets")
     pairs = buckets.where("node > star").select(F.col("star").alias("a"), F.col("node").alias("b")).distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), text_of().alias("text"))
-    texts = materialize(texts.join(buckets.select("node").distinct(), "node", "left_semi"), "candidate-texts")
+    texts = materialize(in_filter(texts, node_filter(buckets)), "candidate-texts")
     compared = materialize(compare(pairs, texts), "compared")
     linked = compared.where(F.col("similarity") >= MIN_SIMILARITY).select("a", "b")
 
