@@ -297,6 +297,25 @@ def score_by(df: DataFrame, by: str, models: Mapping[int, Fit], nodes: DataFrame
     return rows.join(found, [by, "_all"]).drop("_all").withColumn("y_pred", predicted_label(F.col("phishing_probability")))
 
 
+def box_conditions(nodes: DataFrame, selected: Sequence[str], n_trees: int) -> DataFrame:
+    """The leaves of one model's node table in long form: ``tree, leaf, value, feature, bit, low, high``.
+
+    The ancestors of a node are its number's leading bits, so every leaf meets the cuts above it in one join.
+    """
+    value = (F.col("a") / (F.col("a") + F.col("b")) / n_trees).alias("value")
+    leaves = nodes.where(F.col("place").isNull()).select("tree", F.col("node").alias("leaf"), "level", value)
+    up = F.transform(F.sequence(F.lit(1), F.col("level")), lambda k: F.struct(
+        F.call_function("shiftright", F.col("leaf"), k).alias("node"), F.call_function("shiftright", F.col("leaf"), k - 1).bitwiseAND(1).alias("right")))
+    paths = leaves.select("tree", "leaf", "value", F.inline_outer(F.when(F.col("level") > 0, up)))
+    cuts = nodes.where(F.col("place").isNotNull()).select("tree", "node", "place", "cut")
+    met = paths.join(cuts, ["tree", "node"], "left").groupBy("tree", "leaf", "value", "place").agg(
+        F.coalesce(F.max(F.when(F.col("right") == 1, F.col("cut"))), F.lit(float("-inf"))).alias("low"),
+        F.coalesce(F.min(F.when(F.col("right") == 0, F.col("cut"))), F.lit(float("inf"))).alias("high"))
+    bit = F.row_number().over(Window.partitionBy("tree", "leaf").orderBy("place")) - 1
+    feature = F.get(F.array(*[F.lit(f) for f in selected]), F.col("place"))
+    return met.select("tree", "leaf", "value", feature.alias("feature"), bit.alias("bit"), "low", "high")
+
+
 @dataclass(frozen=True)
 class GrownModel:
     """One fitted tree or forest as tables; scoring collapses rows to profiles and walks each down the trees."""
@@ -325,6 +344,10 @@ class GrownModel:
             for r in self.table.orderBy("tree", "node").collect()
         ]
 
+    def conditions(self) -> DataFrame:
+        """The leaves with the intervals that lead to them."""
+        return box_conditions(self.table, self.selected, self.n_trees)
+
     def score(self, df: DataFrame) -> DataFrame:
         """Add ``phishing_probability`` and ``y_pred``; a missing value goes right."""
         rows = df.withColumn("_x", F.array(*[F.col(f).cast("double") for f in self.selected]))

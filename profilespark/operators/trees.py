@@ -86,7 +86,7 @@ def thresholds(nodes: Sequence[Node]) -> dict[str, list[float]]:
 
 
 def leaf_conditions(nodes: Sequence[Node], spark: SparkSession) -> DataFrame:
-    """Leaf table in long form: ``leaf, value, n_features, feature, bit, low, high``.
+    """Leaf table in long form: ``tree, leaf, value, feature, bit, low, high``.
 
     A leaf is reached when every listed feature lies in (low, high]; conditions
     on one feature along a path are merged into one interval. ``value`` already
@@ -100,9 +100,9 @@ def leaf_conditions(nodes: Sequence[Node], spark: SparkSession) -> DataFrame:
         if n.is_leaf:
             value = float(n.value) / len(trees)
             for bit, (feature, (low, high)) in enumerate(sorted(box.items())):
-                rows.append((leaf_id, value, len(box), feature, bit, low, high))
+                rows.append((n.tree, leaf_id, value, feature, bit, low, high))
             if not box:
-                rows.append((leaf_id, value, 0, None, None, None, None))
+                rows.append((n.tree, leaf_id, value, None, None, None, None))
             leaf_id += 1
             return
         low, high = box.get(n.feature, (float("-inf"), float("inf")))
@@ -113,5 +113,5 @@ def leaf_conditions(nodes: Sequence[Node], spark: SparkSession) -> DataFrame:
     for _, tree in sorted(trees.items()):
         walk(tree, _root(tree), {})
     return spark.createDataFrame(
-        rows, "leaf int, value double, n_features int, feature string, bit int, low double, high double"
+        rows, "tree int, leaf bigint, value double, feature string, bit int, low double, high double"
     )

@@ -17,8 +17,8 @@ def explain(dev: DataFrame, samples: DataFrame, spec: TableSpec, family: str, pa
     """Refit on the development table, rank global importances, and explain any set of rows."""
     model = fit(family, parameters, dev, spec, weighted)
     background = materialize(background_sample(dev, spec.key, background_size), "background")
-    nodes = model.nodes
-    explained = materialize(explained_rows(samples, background, nodes, spec, model.selected), "explained")
+    conditions = materialize(model.conditions(), "leaf-conditions")
+    explained = materialize(explained_rows(samples, background, conditions, spec, model.selected), "explained")
     ranked = importance_rank(importance_summary, family)
     return {
         "importance_rank": ranked,

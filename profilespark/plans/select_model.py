@@ -45,23 +45,29 @@ class SearchPlan:
         return search.random_candidates(spark, self.spaces[family], self.n_iter, seed)
 
 
-def run_search(cells: DataFrame, spec: TableSpec, family: str, plan: SearchPlan, seeds: Mapping[int, int]) -> tuple[DataFrame, dict[int, dict]]:
-    """Scored candidates of every group of cells with the one-standard-error choice flagged, and the choices' parameters.
+Choice = tuple[DataFrame, dict[int, dict]]
 
-    ``seeds`` holds the groups and what their candidates are drawn by.
+
+def run_searches(cells: DataFrame, spec: TableSpec, families: Sequence[str], plan: SearchPlan, seeds: Mapping[int, int]) -> dict[str, Choice]:
+    """Per family the scored candidates of every group of cells with the one-standard-error choice flagged, and the choices' parameters.
+
+    ``seeds`` holds the groups and what their candidates are drawn by. All families and groups are searched together.
     """
     spark = SparkSession.active()
-    names = sorted(plan.spaces[family])
-    drawn = {group: plan.candidates(spark, family, seed) for group, seed in seeds.items()}
-    records = {group: [r.asDict() for r in c.collect()] for group, c in drawn.items()}
-    scores = search_scores(cells, spec, family, records, plan.n_inner, plan.seed, plan.at_a_time)
-    results = search.cv_results(scores, range(1, plan.n_inner + 1), ["group"])
-    schema = StructType([*next(iter(drawn.values())).schema, StructField("group", IntegerType())])
-    listed = spark.createDataFrame([(*c.values(), group) for group, rows in records.items() for c in rows], schema)
-    chosen = search.one_se_rule(results.join(listed, ["group", "candidate_id"]), plan.n_inner, ["group"])
-    chosen = materialize(chosen.withColumn("model", F.lit(family)), "search")
-    best = {r["group"]: {n: r[n] for n in names} for r in chosen.where("selected_by_one_se").select("group", *names).collect()}
-    return chosen, best
+    drawn = {f: {group: plan.candidates(spark, f, seed) for group, seed in seeds.items()} for f in families}
+    records = {f: {group: [r.asDict() for r in c.collect()] for group, c in groups.items()} for f, groups in drawn.items()}
+    scores = search_scores(cells, spec, records, plan.n_inner, plan.seed, plan.at_a_time)
+    found = {}
+    for family in families:
+        names = sorted(plan.spaces[family])
+        results = search.cv_results(scores.where(F.col("model") == family), range(1, plan.n_inner + 1), ["group"])
+        schema = StructType([*next(iter(drawn[family].values())).schema, StructField("group", IntegerType())])
+        listed = spark.createDataFrame([(*c.values(), group) for group, rows in records[family].items() for c in rows], schema)
+        chosen = search.one_se_rule(results.join(listed, ["group", "candidate_id"]), plan.n_inner, ["group"])
+        chosen = materialize(chosen.withColumn("model", F.lit(family)), "search")
+        best = {r["group"]: {n: r[n] for n in names} for r in chosen.where("selected_by_one_se").select("group", *names).collect()}
+        found[family] = (chosen, best)
+    return found
 
 
 def nested_cells(folded: DataFrame, spec: TableSpec, plan: SearchPlan) -> DataFrame:
@@ -123,8 +129,7 @@ def nested_cv(folded: DataFrame, spec: TableSpec, families: Sequence[str], plan:
     cells = nested_cells(folded, spec, plan)
     outer = range(1, plan.n_outer + 1)
     searches, models, fits = [], {}, []
-    for family in families:
-        chosen, best = run_search(cells, spec, family, plan, {p: plan.seed + p for p in outer})
+    for family, (chosen, best) in run_searches(cells, spec, families, plan, {p: plan.seed + p for p in outer}).items():
         searches.append(chosen.select(
             "model", F.col("group").alias("outer_fold"), F.col(search.K).cast("string").alias(search.K), "selected_by_one_se", "mean_test_score"))
         picked = selections(cells, spec, plan.n_inner, sorted({str(b[search.K]) for b in best.values()}))
@@ -185,7 +190,7 @@ def select_model(table: DataFrame, spec: TableSpec, plan: SearchPlan | None = No
     best = search.best_family(summary).first()["model"]
 
     final = cells_of(stratified_kfold(table, spec.target, spec.key, plan.n_inner, plan.seed, "inner_fold"), spec, plan.n_inner, F.col("inner_fold"))
-    searches = {family: run_search(final, spec, family, plan, {0: plan.seed}) for family in families}
+    searches = run_searches(final, spec, families, plan, {0: plan.seed})
     chosen, parameters = searches[best][0].drop("group"), searches[best][1][0]
     names = sorted(plan.spaces[best])
     features = selected_feature_table(mutual_information(table, spec), spec, parameters[search.K])

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -230,16 +231,35 @@ def test_shapley_values_add_up(spark, sf_dir):
     assert contributions.where("feature = 'f_status' and shap_value <> 0").count() == 0
 
 
-def test_shapley_without_broadcast_hints(spark, sf_dir, monkeypatch):
-    rows = i.order_profiles(spark, sf_dir)
-    background = background_sample(rows, "row_id")
-    values = lambda: sorted(
-        (r["row_id"], r["feature"], round(r["shap_value"], 12)) for r in shapley.shapley_contributions(
-            shapley.explained_rows(rows, background, i.ORDER_TREES, i.ORDERS), i.ORDERS).collect()
-    )
-    hinted = values()
-    monkeypatch.setattr(shapley, "BROADCAST_ROWS", 0)
-    assert values() == hinted
+def test_shapley_of_a_deep_forest_of_tables(spark):
+    """Deep drawn trees: exact sums, values by definition, and no table of conditions that is joined by feature or leaf alone."""
+    rows = spark.range(300).select(F.col("id").alias("row_id"), *[(F.pmod(F.xxhash64("id", F.lit(n)), F.lit(5))).cast("int").alias(n) for n in "abcd"])
+    rows = rows.withColumn("Result", F.when(F.col("a") * F.col("b") + F.col("c") > 6, -1).otherwise(1).cast("int"))
+    spec = TableSpec(features=tuple("abcd"), key="row_id")
+    parameters = {"feature_selection__k": "all", "classifier__n_estimators": 12, "classifier__max_depth": 10, "classifier__max_features": "sqrt"}
+    model = models.fit(FAMILIES[1], parameters, rows, spec)
+    background = background_sample(rows, "row_id", 20)
+    explained = shapley.explained_rows(rows, background, model.conditions(), spec)
+    summary = shapley.explanation_summary(explained, background, model.score, spec)
+    assert summary.agg(F.max("absolute_additivity_error"), F.count("*")).first()[:] == pytest.approx((0, 300), abs=1e-9)
+    boxes = model.conditions().where("feature is not null").groupBy("tree", "leaf").agg(F.count("*").alias("n"), F.max("bit").alias("most"))
+    assert boxes.where("most <> n - 1").count() == 0
+    # By definition, for one row: every coalition takes its features from the row, the rest from the background.
+    base, one = background.toPandas(), rows.where("row_id = 17").toPandas().iloc[0]
+    frames = []
+    for s in range(16):
+        mixed = base.copy()
+        for k, f in enumerate("abcd"):
+            if s >> k & 1:
+                mixed[f] = one[f]
+        frames.append(mixed.assign(s=s))
+    mixed = spark.createDataFrame(pd.concat(frames))
+    value = {r["s"]: r["v"] for r in model.score(mixed).groupBy("s").agg(F.avg("phishing_probability").alias("v")).collect()}
+    got = {r["feature"]: r["shap_value"] for r in shapley.shapley_contributions(explained, spec).where("row_id = 17").collect()}
+    for k, f in enumerate("abcd"):
+        want = sum(math.factorial(n := s.bit_count()) * math.factorial(3 - n) / 24 * (value[s | 1 << k] - value[s]) for s in range(16) if not s >> k & 1)
+        assert got[f] == pytest.approx(want, abs=1e-9)
+    assert not hasattr(shapley, "BROADCAST_ROWS")
 
 
 def test_shapley_of_a_stump(spark):
