@@ -362,7 +362,7 @@ def fit_of(family: str, params: Mapping[str, object], features: Sequence[int], *
            variants: Sequence[tuple[int, int, int]] | None = None) -> Fit:
     """The fit of a classifier's parameter record (names without prefix) on chosen features."""
     if family not in FAMILIES:
-        raise ValueError(f"Unsupported model family: {family!r}. Expected one of {list(FAMILIES)}.")
+        raise ValueError(f"No model family is named {family!r}; there are {list(FAMILIES)}.")
     shared = dict(fit=fit, group=group, split=split, features=tuple(features), criterion=str(params.get("criterion", "gini")), min_leaf=int(params.get("min_samples_leaf", 1)),
                   variants=tuple(variants or [(0, *limits(params))]))
     if family == FAMILIES[0]:

@@ -56,7 +56,7 @@ def build_classifier(family: str, params: Mapping[str, object], weighted: bool =
             numTrees=int(params.get("n_estimators", 100)), bootstrap=bool(params.get("bootstrap", True)),
             featureSubsetStrategy="all" if columns is None else str(columns), **shared,
         )
-    raise ValueError(f"Unsupported model family: {family!r}. Expected one of {list(FAMILIES)}.")
+    raise ValueError(f"No model family is named {family!r}; there are {list(FAMILIES)}.")
 
 
 def with_whole_sample(classifier: Estimator, rows: int) -> Estimator:

@@ -307,9 +307,9 @@ def test_models_beat_the_majority_and_repeat(documents):
 
 
 def test_unknown_family(documents):
-    with pytest.raises(ValueError, match="Unsupported"):
+    with pytest.raises(ValueError, match="No model family"):
         models.fit("Naive Bayes", {"feature_selection__k": 2}, documents, DOCS)
-    with pytest.raises(ValueError, match="Unsupported"):
+    with pytest.raises(ValueError, match="No model family"):
         models.build_classifier("Naive Bayes", {})
 
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from profilespark.operators import dedup, eda, quality, splits
 from profilespark.functions.exprs import union_results
+from profilespark.plans.explore import explore
 from profilespark.plans.prepare import load_and_prepare, prepare, prepare_weighted
 from profilespark.session import shared_dir
 from profilespark.sources import arff, tables
@@ -142,9 +143,9 @@ def test_checks_raise(spark):
         quality.check_schema(frame(spark, [(1, 1, 1)]).drop("Result"), SPEC)
     with pytest.raises(TypeError, match="numeric"):
         quality.check_schema(frame(spark, [("x", 1, 1)], "a string, b int, Result int"), SPEC)
-    with pytest.raises(ValueError, match="predictive"):
+    with pytest.raises(ValueError, match="predict from"):
         quality.check_schema(frame(spark, [(1, 1, 1)]), TableSpec(features=()))
-    with pytest.raises(ValueError, match="missing required"):
+    with pytest.raises(ValueError, match="lacks the columns"):
         quality.require_columns(frame(spark, [(1, 1, 1)]), ["z"], "table")
     with pytest.raises(ValueError, match="lacks the features \\['b'\\]"):
         quality.align_features(frame(spark, [(1, 1, 1)]).drop("b"), SPEC)
@@ -204,7 +205,7 @@ def test_parameter_files(spark, tmp_path):
 
 def test_empty_parameters_and_several_final_rows_raise(spark, tmp_path):
     (tmp_path / "c.csv").write_text("model,development_cv_score,parameters\nDecision Tree,0.9,{}\n")
-    with pytest.raises(Exception, match="No pipeline parameters"):
+    with pytest.raises(Exception, match="Parameters are empty"):
         tables.read_candidate_configs(spark, str(tmp_path / "c.csv")).collect()
     (tmp_path / "f.csv").write_text("model,development_cv_score,classifier__x\nA,1,2\nB,1,2\n")
     with pytest.raises(ValueError, match="exactly one row"):
@@ -246,3 +247,20 @@ def test_modelling_rules_name_the_columns(spark, tmp_path):
 
 def test_no_tables_make_an_empty_table(spark):
     assert union_results([]).count() == 0
+
+
+def test_explore_names_gaps_and_foreign_labels_from_its_own_scan(spark):
+    rows = spark.createDataFrame([(1, 0, -1), (None, 0, 1), (1, 1, 7), (None, 1, 1)], "a int, b int, Result int")
+    spec = TableSpec(features=("a", "b"))
+    with pytest.raises(ValueError, match=r"missing values in a \(2\); 1 labels in Result"):
+        explore(rows, spec)
+    with pytest.raises(ValueError, match="no rows"):
+        explore(rows.where("false"), spec)
+    with pytest.raises(ValueError, match="more than once"):
+        explore(rows.select("a", "a", "Result"), TableSpec(features=("a",)))
+
+
+def test_information_refuses_a_third_label(spark):
+    rows = spark.createDataFrame([(1, -1), (2, 1), (2, 3)], "a int, Result int")
+    with pytest.raises(Exception, match="beyond the two"):
+        eda.mutual_information(rows, TableSpec(features=("a",))).collect()
