@@ -280,12 +280,30 @@ def permutation_importance_of_fit(spark, d):
     return permutation_importance(rows, SPEC, thresholds(model.nodes), model.score, TREE, 3)
 
 
-@query()
+SELECTION_SCORES = ("development_cv_accuracy", "max_development_cv_accuracy", "nested_cv_accuracy_mean", "nested_cv_accuracy_std")
+
+
+def _selection_sql(source: str, weight: str) -> str:
+    """The one-row summary: the family that nested cross-validation prefers, and what the final search chose for it."""
+    final = ",".join(
+        f"{growing.search_sql(prefix, {0: candidates}, 5, LEVELS, prefix == 'fs_', rows='final_rows')},{growing.chosen_sql(prefix)}"
+        for prefix, candidates in (("ts_", growing.grid(TREE_SPACE)), ("fs_", growing.draw(FOREST_SPACE, PLAN.n_iter, 42))))
+    picked = " union all ".join(f"""select '{family}' model, max(cast(feature_selection__k as varchar)) filter (selected_by_one_se) selected_k,
+      max(mean_test_score) filter (selected_by_one_se) development_cv_accuracy, max(mean_test_score) max_development_cv_accuracy from {prefix}picked""" for family, prefix in ((TREE, "ts_"), (FOREST, "fs_")))
+    return f"""with {_nested_tables(source, weight)}, final_rows as materialized (select 0 grp, row_id, {', '.join(i.DOC_FEATURES)}, Result y, cast({weight} as double) w, inner_fold fold
+  from ({kfold_sql(source, 5, '42', 'inner_fold')})),{final},
+means as (select model, avg(accuracy) nested_cv_accuracy_mean, stddev_samp(accuracy) nested_cv_accuracy_std from ({METRICS_SQL}) group by model)
+select model selected_model, selected_k, {', '.join(f'{sql_round(n)} {n}' for n in SELECTION_SCORES)}, (select count(*) from final_rows) "rows", (select sum(w) from final_rows) weighted_instances
+from means join ({picked}) using (model) order by round(nested_cv_accuracy_mean,12) desc, model limit 1"""
+
+
+@query(_selection_sql(WEIGHTED_DOCUMENTS, "weight"), "document_quality")
 def model_selection(spark, d):
-    """The whole stage: every table is written, the one-row summary is returned."""
+    """The whole stage on ten outer and five inner folds with twenty repeats: every table is written, the summary is returned."""
     stage = select_model.select_model(_documents(spark, d), SPEC, PLAN)
     written = tables.write_tables(stage, scratch_path(spark, "model-selection"))
-    return tables.parquet_scan(spark, written["results_summary"])
+    summary = tables.parquet_scan(spark, written["results_summary"])
+    return rounded(summary.select("selected_model", "selected_k", *SELECTION_SCORES, "rows", "weighted_instances"), *SELECTION_SCORES)
 
 
 @query()

@@ -140,12 +140,13 @@ def candidate_rows(candidates: Mapping[int, Sequence[Mapping[str, object]]], fea
     return f"(values {', '.join(out)}) c(grp, candidate_id, feature_selection__k, take, classifier__max_depth, {FIT_COLUMNS})"
 
 
-def search_sql(prefix: str, candidates: Mapping[int, Sequence[Mapping[str, object]]], n_splits: int, depth: int, draws: bool, features: Sequence[str] = i.DOC_FEATURES) -> str:
-    """Common tables from ``rows_`` to ``{prefix}scores`` (grp, candidate_id, split, score) of every candidate."""
+def search_sql(prefix: str, candidates: Mapping[int, Sequence[Mapping[str, object]]], n_splits: int, depth: int, draws: bool, features: Sequence[str] = i.DOC_FEATURES,
+               rows: str = "rows_") -> str:
+    """Common tables from a table of rows to ``{prefix}scores`` (grp, candidate_id, split, score) of every candidate."""
     orders = ", ".join(f"('{f}', {o})" for o, f in enumerate(features))
-    information = mi_sql("(select r.*, y Result, grp*100+s split_of from rows_ r join (select unnest(range(1, {n}+1)) s) on fold<>0 and fold<>s)".format(n=n_splits), features, "split_of")
+    information = mi_sql("(select r.*, y Result, grp*100+s split_of from {rows} r join (select unnest(range(1, {n}+1)) s) on fold<>0 and fold<>s)".format(n=n_splits, rows=rows), features, "split_of")
     return f"""
-{prefix}rows_ as materialized (select * from rows_),
+{prefix}rows_ as materialized (select * from {rows}),
 {prefix}candidates as materialized (select * from {candidate_rows(candidates, features)}),
 {prefix}chosen as materialized (select split_of, ord, place from ({k_best_sql(information, features, 'split_of')}) join (values {orders}) o(feature, ord) using (feature)),
 {prefix}fits as materialized (select cast(row_number() over (order by grp, candidate_id, split) as int) fit, * from {prefix}candidates join (select cast(unnest(range(1, {n_splits}+1)) as int) split) on true),
