@@ -28,6 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from profilespark.llm.common import map_arrow, register, small_batches, table
@@ -196,16 +197,22 @@ def learn_languages(docs: DataFrame, sample: int = SAMPLE) -> LanguageFilter:
 
 
 def identify(docs: DataFrame, model: LanguageFilter) -> DataFrame:
-    """``docs`` with lang_pred and score; all its columns are carried as the struct ``row``."""
+    """The rows of ``docs``, carried as the struct ``row``, with lang_pred and score.
+
+    The text is the column ``text``, or where there is none that of the row, so that it travels once.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 2^SLOT_BITS slots of 8 bytes per 64 languages
 
+    separate = "text" in docs.columns
+
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
-            langs, scores = shared.value.predict(batch.column("text").to_pylist())
+            texts = batch.column("text") if separate else pc.struct_field(batch.column("row"), "text")
+            langs, scores = shared.value.predict(texts.to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(langs), pa.array(scores, pa.float64())], names=["row", "lang_pred", "score"])
 
     schema = T.StructType([docs.schema["row"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return map_arrow(docs.select("row", "text"), predicted, schema)
+    return map_arrow(docs.select("row", *(["text"] if separate else [])), predicted, schema)
 
 
 @register("op6_language_id")
