@@ -18,7 +18,7 @@ MIN_LANGUAGE_SCORE = 0.2
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages learnt from them; those of no language go."""
     model = learn_languages(docs.where(~held_out()).select("doc_id", "text", "lang"))
-    found = identify(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text"), model)
+    found = identify(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")), model)
     return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select("row.*")
 
 
