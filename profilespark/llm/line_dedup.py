@@ -6,7 +6,8 @@ documents is aggregated to its own lines (map-side first, so a line of a third o
 is one row per task), merge-joined with the runs on their buckets without shuffling them again,
 and added as a run of level 0: ``first`` marks the lines that the anti-join found in no run.
 When a level holds ``FAN_OUT`` runs, they are merged into one of the next level. Counts add up
-and maxima combine over runs in any order, so the totals do not depend on batches or compaction.
+and maxima combine over runs in any order, so the totals do not depend on batches or compaction
+(nor on ``first``, which tells new lines from known ones for those who feed batches).
 
 Line hashes have 128 bits. Rows, nulls, ties: a null or empty text is one empty line; rows are
 separate documents even if they share a doc_id, and all rows with the largest doc_id keep the
@@ -33,19 +34,24 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _HASH = ["hash_1", "hash_2"]
 
 
-def _key(line: Column) -> Column:
-    return F.btrim(F.translate(line, _UPPER, _LOWER), F.lit(WHITE))
-
-
-def _hashes(key: Column) -> Column:
-    return F.struct(F.xxhash64(key).alias("hash_1"), F.xxhash64(F.lit("second"), key).alias("hash_2"))
+def _hashes(key: Column) -> list[Column]:
+    return [F.xxhash64(key).alias("hash_1"), F.xxhash64(F.lit("second"), key).alias("hash_2")]
 
 
 def long_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """doc_id and hash of every different line of a document that is long enough, once per document."""
-    keys = F.filter(F.split(F.translate(text_of(), _UPPER, _LOWER), "\n"), lambda x: F.length(x) >= min_chars)
-    keys = F.filter(F.transform(keys, lambda x: F.btrim(x, F.lit(WHITE))), lambda x: F.length(x) >= min_chars)
-    return docs.select("doc_id", F.explode(F.array_distinct(F.transform(keys, _hashes))).alias("h")).select("doc_id", "h.*")
+    """doc_id, text_hash, place (from 0) and hash of every line of a document that is long enough.
+
+    ``first`` marks one line of each hash in a document. Places are sorted by hash within the row.
+    """
+    keys = F.transform(F.split(F.translate(text_of(), _UPPER, _LOWER), "\n"), lambda x: F.btrim(x, F.lit(WHITE)))
+    rows = docs.select("doc_id", F.xxhash64(text_of()).alias("text_hash"), keys.alias("keys"))
+    at = F.filter(F.transform("keys", lambda x, i: F.when(F.length(x) >= min_chars, F.struct(*_hashes(x), i.alias("place")))), lambda x: x.isNotNull())
+    rows = rows.select("doc_id", "text_hash", F.sort_array(at).alias("at"))
+    before = lambda i: F.get("at", i - 1)
+    marked = F.transform("at", lambda x, i: F.struct(
+        x["hash_1"].alias("hash_1"), x["hash_2"].alias("hash_2"), x["place"].alias("place"),
+        ((i == 0) | (before(i)["hash_1"] != x["hash_1"]) | (before(i)["hash_2"] != x["hash_2"])).alias("first")))
+    return rows.select("doc_id", "text_hash", F.inline(marked))
 
 
 class LineRuns:
@@ -55,20 +61,28 @@ class LineRuns:
         self.spark, self.fan_out = spark, fan_out
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[DataFrame]] = []
+        self.names: list[str] = []
 
     def _write(self, run: DataFrame) -> DataFrame:
         name = f"line_run_{uuid.uuid4().hex}"
         run.repartition(self.buckets, *_HASH).write.format("parquet").option("path", scratch_path(self.spark, name)) \
             .bucketBy(self.buckets, *_HASH).sortBy(*_HASH).saveAsTable(name)
+        self.names.append(name)
         return self.spark.table(name)
 
+    def drop(self) -> None:
+        """Takes the runs out of the catalog; nothing may read them afterwards. Their files go with the application."""
+        for name in self.names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.levels, self.names = [], []
+
     @property
     def runs(self) -> list[DataFrame]:
         return [run for level in self.levels for run in level]
 
     def add(self, lines: DataFrame) -> None:
-        """Adds a batch of (doc_id, hash) rows: joins it with every run, then writes it as a run of its own."""
-        batch = lines.groupBy(*_HASH).agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("max_doc"))
+        """Adds a batch of long lines: joins them, once per document, with every run, then writes them as a run of their own."""
+        batch = lines.where("first").groupBy(*_HASH).agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("max_doc"))
         known = F.lit(False)
         for k, run in enumerate(self.runs):
             batch = batch.join(run.where("first").select(*_HASH, F.lit(True).alias(f"in_{k}")), _HASH, "left")
@@ -106,19 +120,21 @@ class LineRuns:
         return self._merged(self.runs)
 
 
-def dedup_lines(docs: DataFrame, lines: DataFrame, runs: LineRuns, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS) -> DataFrame:
+def dedup_lines(docs: DataFrame, lines: DataFrame, runs: LineRuns, min_docs: int = MIN_DOCS) -> DataFrame:
     """Every document with the lines it keeps joined again: doc_id, n_lines, n_dropped, kept_text.
 
-    ``lines`` are the long lines of ``docs`` as added to the runs, in one batch or several.
+    ``lines`` are the long lines of ``docs`` as added to the runs, in one batch or several. A document meets the places of its dropped lines, and keeps all others in time linear in its lines.
     """
     # Written, so that the join below deals out both sides itself and Spark can split a line of very many documents.
     common = materialize(runs.totals().where(F.col("n_docs") >= min_docs).select(*_HASH, "max_doc"), "common-lines")
     elsewhere = F.col("max_doc").isNotNull() & (F.col("doc_id").isNull() | (F.col("doc_id") < F.col("max_doc")))
     drops = lines.join(common, _HASH).where(elsewhere)
-    drops = drops.groupBy(F.col("doc_id").alias("id")).agg(F.collect_set(F.struct(*_HASH)).alias("drops"))
-    texts = docs.select("doc_id", text_of().alias("text"))
-    both = texts.join(drops, F.col("doc_id").eqNullSafe(F.col("id")), "left")
-    stays = F.filter(F.split("text", "\n"), lambda x: (F.length(x) < min_chars) | ~F.array_contains(F.col("drops"), _hashes(_key(x))))
+    # Rows that share doc_id and text drop the same places.
+    drops = drops.groupBy(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")).agg(F.collect_set("place").alias("drops"))
+    texts = docs.select("doc_id", text_of().alias("text"), F.xxhash64(text_of()).alias("text_hash"))
+    both = texts.join(drops, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash")), "left")
+    both = both.withColumn("lines", F.when(F.col("drops").isNotNull(), F.split("text", "\n")))
+    stays = F.transform(F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("drops")), lambda i: F.get("lines", i))
     both = both.select("doc_id", "text", F.when(F.col("drops").isNotNull(), stays).alias("stays"))
     n_lines = (F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).cast("bigint")
     return both.select(
@@ -161,4 +177,5 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     for part in parts:
         runs.add(part)
     kept = dedup_lines(docs, lines, runs)
+    runs.drop()  # what the result needs of them is written
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))

@@ -334,6 +334,21 @@ def test_very_long_text_is_read_in_segments(monkeypatch):
     assert len(parts) > 20 and sorted(np.concatenate(parts).tolist()) == sorted(whole.tolist())
 
 
+# Quality rules
+
+
+def test_a_small_language_beside_a_large_one(spark, folder):
+    """A language below a thousandth of all words, and one of more than half: both are references, as the SQL says."""
+    rows = [(i, prose("en", 20_000, i), "en", "s", 0) for i in range(260)] + [(1000 + i, prose("de", 1_100, i), "de", "s", 0) for i in range(5)]
+    rows += [(2000, "1234 %%%% " * 200, "de", "s", 0), (2001, prose("en", 400, 9), "de", "s", 0), (2002, prose("de", 60, 9), "xx", "s", 0)]
+    path = folder(rows)
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{path}/documents.parquet/*.parquet'")
+    assert compare(QUERIES["op4_quality_rules"](spark, path), con, ORACLES["op4_quality_rules"]) is None
+    judged = {r.doc_id: r for r in QUERIES["op4_quality_rules"](spark, path).where("doc_id >= 1000").collect()}
+    assert judged[2001].word_distance > judged[1000].word_distance and judged[2000].char_distance > 0.3 and judged[2002].word_distance is None
+
+
 # Line dedup
 
 
@@ -352,6 +367,32 @@ def test_runs_do_not_depend_on_batches(spark):
     assert totals[0] == totals[1] == totals[2]
 
 
+def brute_lines(rows, min_docs=5):
+    """Kept texts: a long line that enough rows hold stays only where the doc_id is the largest that holds it."""
+    key = lambda x: x.translate({i: i + 32 for i in range(65, 91)}).strip(" \t\n\x0b\x0c\r")
+    holders = collections.defaultdict(list)
+    for i, text, *_ in rows:
+        for k in {key(x) for x in (text or "").split("\n")}:
+            holders[k].append(i)
+    common = {k: max((i for i in h if i is not None), default=None) for k, h in holders.items() if len(k) >= 40 and len(h) >= min_docs}
+    stays = lambda i, x: (k := key(x)) not in common or common[k] is None or i == common[k]
+    return [(i, "\n".join(x for x in (text or "").split("\n") if stays(i, x))) for i, text, *_ in rows]
+
+
+def test_lines_of_long_documents_and_shared_ids(spark):
+    """Documents of many common lines, null and shared doc_ids with different texts, against brute force."""
+    lines = [f"This is line number {n:06d} of a listing that many documents hold" for n in range(3000)]
+    rows = [(k, "\n".join([f"own {k}", *lines[k:], "short", lines[0]]), None, None, 0) for k in range(6)]
+    rows += [(None, "\n".join(lines[:9]), None, None, 0), (None, lines[3], None, None, 0), (2, "\n".join(["x", lines[5], "", lines[5]]), None, None, 0), (2, "", None, None, 0)]
+    docs = frame(spark, rows)
+    held, parts = line_dedup.batches(docs, 3)
+    runs = line_dedup.LineRuns(spark, buckets=4)
+    for part in parts:
+        runs.add(part)
+    got = collections.Counter((r.doc_id, r.kept_text) for r in line_dedup.dedup_lines(docs, held, runs).collect())
+    assert got == collections.Counter(brute_lines(rows))
+
+
 # WARC
 
 
