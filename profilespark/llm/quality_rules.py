@@ -26,8 +26,8 @@ from profilespark.session import materialize
 MIN_WORDS = 50
 REFERENCE_WORDS = 5_000
 COMMON_SHARE = 500
-#: Only the SQL twin still asks for this share of all words; it tells on no table in which every reference language has it.
-LANGUAGE_SHARE = 1_000
+#: Common words are looked up by a hash, in so many small maps a language.
+MAPS = 64
 #: Documents farther from their language than this are not kept.
 MAX_CHAR_DISTANCE = 0.3
 MAX_WORD_DISTANCE = 0.47
@@ -116,20 +116,33 @@ def common_words(docs: DataFrame) -> DataFrame:
     totals = counts.groupBy(*_LANG).agg(F.sum("n").alias("total")).where(F.col("total") >= REFERENCE_WORDS)
     # Written first, so that its measured size decides how it is joined.
     joined = counts.join(materialize(totals, "vocabulary-totals"), _LANG).where(F.col("n") * COMMON_SHARE >= F.col("total"))
-    return joined.groupBy(*_LANG, "total").agg(F.sort_array(F.collect_list(F.struct("word", "n"))).alias("common")).select(
+    listed = joined.groupBy(*_LANG, "total").agg(F.sort_array(F.collect_list(F.struct("word", "n"))).alias("common"))
+    listed = listed.withColumn("entries", F.transform("common.word", lambda w, k: F.struct(w.alias("word"), (k + 1).alias("number"))))
+    in_map = lambda m: lambda e: _map(e["word"]) == m
+    maps = F.array(*[F.map_from_entries(F.filter("entries", in_map(m))) for m in range(MAPS)])
+    return listed.select(
         *_LANG, F.col("common.word").alias("common"),
         F.concat(F.col("common.n"), F.array(F.col("total") - F.aggregate("common.n", F.lit(0).cast("bigint"), lambda a, x: a + x))).alias("word_counts"),
-        F.col("total").alias("word_total"),
-        F.map_from_arrays("common.word", F.sequence(F.lit(1), F.size("common"))).alias("number_of"),
+        F.col("total").alias("word_total"), maps.alias("number_of"),
         F.array_max(F.transform("common.word", lambda w: F.octet_length(w))).alias("longest"),
     )
 
 
-def _word_histogram() -> Column:
-    """How often each common word occurs in the document, and all other words."""
-    known = F.size("known")
-    each = F.transform("common", lambda w, k: known - F.size(F.array_remove("known", k + 1)))
-    return F.concat(each, F.array(F.size("words") - known)).cast("array<bigint>")
+def _map(word: Column) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(MAPS)).cast("int")
+
+
+def _run_ends(ordered: str) -> Column:
+    """Last places (from 1) of the runs of equal numbers in a sorted array."""
+    places = F.when(F.size(ordered) > 0, F.sequence(F.lit(1), F.size(ordered))).otherwise(F.array().cast("array<int>"))
+    return F.filter(places, lambda i: (i == F.size(ordered)) | (F.get(ordered, i - 1) != F.get(ordered, i)))
+
+
+def _word_runs() -> Column:
+    """How often each common word that occurs in the document does, by number, and all other words under the number after the last."""
+    run = lambda e, j: F.struct(F.get("ordered", e - 1).alias("number"), (e - F.when(j > 0, F.get("ends", j - 1)).otherwise(0)).cast("bigint").alias("n"))
+    other = F.struct((F.size("common") + 1).alias("number"), (F.size("words") - F.size("ordered")).cast("bigint").alias("n"))
+    return F.concat(F.transform("ends", run), F.array(other))
 
 
 def _shares(counts: str, total: str) -> Column:
@@ -144,27 +157,40 @@ def _distance(a: str, b: str) -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(F.zip_with(a, b, parts), F.lit(0.0), lambda s, x: s + x)))
 
 
+def _sparse_distance(runs: str, total: str, reference: str) -> Column:
+    """The same distance where only bins that occur are listed: an absent one adds half of its reference share."""
+    gain = lambda p, m: F.when(p > 0, p * F.log2(p / m)).otherwise(0.0)
+    share = lambda r: r["n"].cast("double") / F.col(total)
+    usual = lambda r: F.get(reference, r["number"] - 1)
+    part = lambda r: F.struct(((gain(share(r), (share(r) + usual(r)) / 2) + gain(usual(r), (share(r) + usual(r)) / 2)) / 2).alias("d"), usual(r).alias("q"))
+    start = F.struct(F.lit(0.0).alias("d"), F.lit(0.0).alias("q"))
+    add = lambda s, x: F.struct((s["d"] + x["d"]).alias("d"), (s["q"] + x["q"]).alias("q"))
+    return F.aggregate(F.transform(runs, part), start, add, lambda s: F.sqrt(F.greatest(F.lit(0.0), s["d"] + (1 - s["q"]) / 2)))
+
+
 def quality_rules(docs: DataFrame) -> DataFrame:
     """One row per document with the base counts, both distances (null where not judged) and the verdict."""
     # A row of COMMON_SHARE words at most per language: written first, so that its measured size decides how it is joined.
     words = materialize(common_words(docs), "common-words")
     rows = _counts(docs).join(words, _LANG, "left")
     short = F.filter(F.transform("words", lambda w: F.lower(w)), lambda w: F.octet_length(w) <= F.col("longest"))
-    rows = rows.withColumn("known", F.filter(F.transform(short, lambda w: F.element_at("number_of", w)), lambda k: k.isNotNull()))
+    numbers = F.filter(F.transform(short, lambda w: F.try_element_at(F.get("number_of", _map(w)), w)), lambda k: k.isNotNull())
+    rows = rows.withColumn("ordered", F.sort_array(F.coalesce(numbers, F.array().cast("array<int>"))))
+    rows = rows.withColumn("ends", _run_ends("ordered"))
     judged = F.col("common").isNotNull() & (F.col("n_words") >= MIN_WORDS)
     features = materialize(rows.select(
         "doc_id", *_LANG, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", judged.alias("judged"),
-        "n_chars", _classes().alias("classes"), F.when(judged, _word_histogram()).alias("histogram"),
+        "n_chars", _classes().alias("classes"), F.when(judged, _word_runs()).alias("runs"),
     ), "quality-features")
     sums = F.array(*[F.sum(F.get("classes", F.lit(k))) for k in range(5)])
     references = features.groupBy(*_LANG).agg(sums.alias("class_counts"), F.sum("n_chars").alias("class_total"))
     references = references.join(words.select(*_LANG, "word_counts", "word_total"), _LANG).select(
         *_LANG, _shares("class_counts", "class_total").alias("class_reference"), _shares("word_counts", "word_total").alias("word_reference"))
     rows = features.join(materialize(references, "language-references"), _LANG, "left")
-    rows = rows.withColumns({"class_shares": _shares("classes", "n_chars"), "word_shares": _shares("histogram", "n_words")})
+    rows = rows.withColumn("class_shares", _shares("classes", "n_chars"))
     rows = rows.withColumns({
         "char_distance": F.when(F.col("judged"), F.round(_distance("class_shares", "class_reference"), 6)),
-        "word_distance": F.when(F.col("judged"), F.round(_distance("word_shares", "word_reference"), 6)),
+        "word_distance": F.when(F.col("judged"), F.round(_sparse_distance("runs", "n_words", "word_reference"), 6)),
     })
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
     far = (F.col("char_distance") > MAX_CHAR_DISTANCE) | (F.col("word_distance") > MAX_WORD_DISTANCE)
@@ -209,8 +235,8 @@ WITH base AS (
 ), vocabulary AS (
   SELECT no_lang, language, lower(w) AS word, count(*) AS n FROM placed GROUP BY ALL
 ), totals AS (
-  SELECT * FROM (SELECT no_lang, language, sum(n) AS total, sum(sum(n)) OVER () AS everything FROM vocabulary GROUP BY ALL)
-  WHERE total >= {REFERENCE_WORDS} AND total * {LANGUAGE_SHARE} >= everything
+  SELECT * FROM (SELECT no_lang, language, sum(n) AS total FROM vocabulary GROUP BY ALL)
+  WHERE total >= {REFERENCE_WORDS}
 ), common AS (
   SELECT no_lang, language, word, n, total FROM vocabulary JOIN totals USING (no_lang, language) WHERE n * {COMMON_SHARE} >= total
 ), reference AS (
