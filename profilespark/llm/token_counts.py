@@ -120,13 +120,22 @@ class TokenRollup:
 
 @register("op5_token_counts")
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Totals of all documents, which arrive in batches by doc_id; the last one is delivered twice."""
+    """Totals of all documents, which arrive in batches by doc_id; the last one is delivered twice.
+
+    The first range arrives with drafts of its counts, which are revised; the second is deleted and inserted again.
+    """
     docs = table(spark, sf_dir, "documents")
     lo, hi = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
     lo, hi = (0, 0) if lo is None else (lo, hi)
     batch = F.coalesce(F.floor((F.col("doc_id") - lo) * BATCHES / (hi - lo + 1)), F.lit(0)).cast("int")
     counts = materialize(count_tokens(docs).withColumn("batch", batch), "token-counts", ["batch"])
+    parts = [counts.where(F.col("batch") == k).drop("batch") for k in range(BATCHES)]
+    known = F.col("doc_id").isNotNull()  # others cannot be revised
+    drafts = parts[0].withColumn("n_tokens", F.when(known, F.floor(F.col("n_tokens") / 2)).otherwise(F.col("n_tokens")))
     rollup = TokenRollup(spark)
-    for k in [*range(BATCHES), BATCHES - 1]:
-        rollup.commit(f"load-{k}", inserts=counts.where(F.col("batch") == k).drop("batch"))
+    for k, rows in [*enumerate([drafts, *parts[1:]]), (BATCHES - 1, parts[-1])]:
+        rollup.commit(f"load-{k}", inserts=rows)
+    rollup.commit("revise-0", revised=parts[0].where(known))
+    rollup.commit("unload-1", deletes=parts[1].select("doc_id"))
+    rollup.commit("unload-1-again", inserts=parts[1])
     return rollup.totals()
