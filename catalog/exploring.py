@@ -172,6 +172,15 @@ def spearman_matrix_documents(spark, d):
     return rounded(eda.spearman_matrix(i.document_quality(spark, d), i.DOCS), "rho", digits=DIGITS)
 
 
+AMOUNTS_RHO = spearman_sql("lineitem", i.AMOUNT_FEATURES)
+
+
+@query(f"select feature_1, feature_2, {MI('rho')} rho from ({AMOUNTS_RHO})")
+def spearman_matrix_amounts(spark, d):
+    """Fractions of any size: prices, discounts and taxes of every line."""
+    return rounded(eda.spearman_matrix(i.table(spark, d, "lineitem"), i.AMOUNTS), "rho", digits=DIGITS)
+
+
 PAIRS = ", ".join(f"{MI(f)} {f}" for f in i.ORDER_FEATURES)
 
 

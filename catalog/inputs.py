@@ -19,6 +19,8 @@ from profilespark.spec import FAMILIES, TableSpec
 
 ORDER_FEATURES = ("f_lines", "f_qty", "f_returns", "f_disc", "f_status", "f_prio")
 DOC_FEATURES = ("x_len", "x_lang", "x_at", "x_url", "x_sym")
+AMOUNT_FEATURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+AMOUNTS = TableSpec(features=AMOUNT_FEATURES)
 ORDERS = TableSpec(features=ORDER_FEATURES, key="row_id")
 DOCS = TableSpec(features=DOC_FEATURES, key="row_id")
 WEIGHTED_ORDERS = ORDERS.with_(weight="sample_weight")

@@ -1,8 +1,8 @@
 """Exact ranks and running totals without a global sort.
 
-Both problems are solved in two levels: rows are counted per bucket, the bounded
-bucket table is summed up, and only inside a bucket are rows ordered. No window
-here ever spans a whole class, model or feature.
+Both problems are solved in levels: rows are counted per bucket, the bounded
+bucket table is summed up, and only inside the finest buckets are rows ordered. No
+window here ever spans a whole class, model or feature.
 """
 
 from __future__ import annotations
@@ -10,11 +10,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import ByteType, DataType, IntegerType, LongType, ShortType, StringType
 
 from profilespark.session import materialize
 
 # Leading hex digits of the hash that name a bucket: 65,536 buckets per group.
 BUCKET_DIGITS = 4
+# Further digits that divide a bucket which holds a cut: 65,536 parts.
+FINE_DIGITS = 4
 
 
 def hash_key(seed: Column | int, row_id: Column) -> Column:
@@ -45,28 +48,47 @@ def bucket_counts(keyed: DataFrame, group: Sequence[str]) -> DataFrame:
     return materialize(keyed.groupBy(*group, "_bucket").agg(F.count(F.lit(1)).alias("_n")), "buckets")
 
 
-def cut_keys(keyed: DataFrame, buckets: DataFrame, group: Sequence[str], wanted: DataFrame) -> DataFrame:
-    """Order key of the row at each wanted rank of each group.
-
-    ``wanted`` holds ``group``, ``_cut`` and a 1-based ``_rank``. Only rows in the
-    few buckets that contain a wanted rank are shuffled and sorted.
-    """
-    group = list(group)
-    so_far = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
+def _located(buckets: DataFrame, group: list[str], bucket: str, wanted: DataFrame) -> DataFrame:
+    """The bucket of each wanted ``_rank`` of each group, and the rank's ``_place`` in it."""
+    so_far = Window.partitionBy(*group).orderBy(bucket).rowsBetween(Window.unboundedPreceding, 0)
     ends = buckets.withColumn("_end", F.sum("_n").over(so_far))
-    located = (
+    return (
         # One row per group and cut: bounded by the number of groups.
         ends.join(F.broadcast(wanted), group)
         .where((F.col("_rank") <= F.col("_end")) & (F.col("_rank") > F.col("_end") - F.col("_n")))
-        .select(*group, "_bucket", "_cut", (F.col("_rank") - F.col("_end") + F.col("_n")).alias("_place"))
+        .select(*group, bucket, "_cut", (F.col("_rank") - F.col("_end") + F.col("_n")).alias("_place"))
     )
-    hit = located.select(*group, "_bucket").distinct()
-    inside = Window.partitionBy(*group, "_bucket").orderBy("_key")
+
+
+def _part(keyed: DataFrame, digits: int) -> Column:
+    """The leading ``digits`` hex digits of the order key."""
+    if isinstance(keyed.schema["_key"].dataType, StringType):
+        return F.substring("_key", 1, digits)
+    return F.shiftright("_key", 64 - 4 * digits)
+
+
+def cut_keys(keyed: DataFrame, buckets: DataFrame, group: Sequence[str], wanted: DataFrame, digits: int = BUCKET_DIGITS) -> DataFrame:
+    """Order key of the row at each wanted rank of each group.
+
+    ``wanted`` holds ``group``, ``_cut`` and a 1-based ``_rank``. Only rows in the
+    few buckets that contain a wanted rank are written; these are counted again by
+    ``FINE_DIGITS`` more digits, and only the parts with a rank are sorted: of 10^12
+    rows of a group and four digits, about 230 a part.
+    """
+    group = list(group)
+    coarse = _located(buckets, group, "_bucket", wanted)
+    hit = coarse.select(*group, "_bucket").distinct()
+    held = keyed.select(*group, "_bucket", "_key").join(F.broadcast(hit), [*group, "_bucket"], "left_semi")
+    held = materialize(held.withColumn("_part", _part(keyed, digits + FINE_DIGITS)), "cut-rows")
+    inside = [*group, "_bucket"]
+    counts = held.groupBy(*inside, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    fine = _located(counts, inside, "_part", coarse.withColumnRenamed("_place", "_rank"))
+    parts = [*inside, "_part"]
+    order = Window.partitionBy(*parts).orderBy("_key")
     return (
-        keyed.select(*group, "_bucket", "_key")
-        .join(F.broadcast(hit), [*group, "_bucket"], "left_semi")
-        .withColumn("_place", F.row_number().over(inside).cast("bigint"))
-        .join(F.broadcast(located), [*group, "_bucket", "_place"])
+        held.join(F.broadcast(fine.select(*parts).distinct()), parts, "left_semi")
+        .withColumn("_place", F.row_number().over(order).cast("bigint"))
+        .join(F.broadcast(fine), [*parts, "_place"])
         .select(*group, "_cut", F.col("_key").alias("_cut_key"))
     )
 
@@ -130,6 +152,22 @@ def unit_digits(score: Column) -> list[tuple[str, Column]]:
     return [("_d1", first), ("_d2", second)]
 
 
-def number_digits(value: Column) -> list[tuple[str, Column]]:
-    """Blocks of 65,536 consecutive numbers."""
-    return [("_d1", F.floor(value / F.lit(65536.0)))]
+def number_digits(value: Column, kind: DataType) -> list[tuple[str, Column]]:
+    """Digits of a number of any size and fraction, by its type.
+
+    Whole numbers of up to 32 bits fall into blocks of 65,536, longer ones are split every 16 bits. Others go by sign and
+    power of two (at most 4,200 digits), then by 16 and 16 bits of the fraction: at most 2^20 different doubles are left.
+    """
+    if isinstance(kind, (ByteType, ShortType, IntegerType)):
+        return [("_d1", F.shiftright(value, 16))]
+    if isinstance(kind, LongType):
+        return [(f"_d{i}", F.shiftright(value, 64 - 16 * i)) for i in (1, 2, 3)]
+    number = value.cast("double")
+    size, sign = F.abs(number), F.signum(number)
+    # Rounded logarithms and products never fall as numbers rise, which is all that digits need.
+    power = F.floor(F.least(F.log2(size), F.lit(1100.0)))
+    fraction = F.when(power < 1100, size / F.pow(F.lit(2.0), power)) * 65536.0
+    first = F.floor(fraction)
+    second = F.floor((fraction - first) * 65536.0)
+    digits = [power + 1200, first, second]
+    return [(f"_d{i}", F.coalesce(sign.cast("bigint") * d, F.lit(0).cast("bigint"))) for i, d in enumerate(digits, 1)]

@@ -17,8 +17,8 @@ REPEATS = 20
 SUMMARY_COLUMNS = (
     "model", "feature", "selected_in_folds", "mean_importance", "std_importance_across_folds", "mean_within_fold_std",
 )
-# Rows of one (fold, feature, repeat) that may share a hash bucket: the most one task sorts for a cut.
-BUCKET_ROWS = 4_000_000
+# Hex digits of the buckets of one (fold, feature, repeat): few, for there are many groups; cuts refine them.
+BUCKET_DIGITS = 2
 # Permuted copies worth a task of their own.
 COPIES_PER_TASK = 1_000_000
 
@@ -28,14 +28,6 @@ def _tasks(copies: int) -> int:
     return max(1, math.ceil(copies / COPIES_PER_TASK))
 
 
-def _bucket_digits(rows: int) -> int:
-    """Hex digits that keep buckets under BUCKET_ROWS, and no more: there are many groups.
-
-    Two at least, so that only a small share of the rows lies in a bucket with a cut.
-    """
-    return max(2, math.ceil(math.log(max(rows, 1) / BUCKET_ROWS, 16)))
-
-
 def _bin(value: Column, points: Sequence[float]) -> Column:
     """Number (from 1) of the interval between split points that a value lies in."""
     beyond = [(value > F.lit(p)).cast("int") for p in points]
@@ -53,7 +45,7 @@ def as_seen(rows: DataFrame, points: dict[str, list[float]]) -> DataFrame:
 
 
 def permuted_rows(rows: DataFrame, spec: TableSpec, points: dict[str, list[float]], repeats: int = REPEATS,
-                  seed: int = SEED, fold: str = "outer_fold", digits: int = 2, portable: bool = False) -> DataFrame:
+                  seed: int = SEED, fold: str = "outer_fold", digits: int = BUCKET_DIGITS, portable: bool = False) -> DataFrame:
     """Rows with one feature permuted within its fold, for every used feature and repeat.
 
     A model only sees on which side of its split points a value falls. Rows are
@@ -82,7 +74,7 @@ def permuted_rows(rows: DataFrame, spec: TableSpec, points: dict[str, list[float
     copies = rows.withColumn("_fold_seed", (F.lit(seed) + F.col(fold)).cast("string")).select("*", F.inline(games))
     keyed = with_order_key(copies, F.concat("_fold_seed", "_name"), spec.key, digits, portable).drop("_fold_seed", "_name")
     group = [fold, "_game"]
-    cuts = cut_keys(keyed, bucket_counts(keyed, group), group, wanted)
+    cuts = cut_keys(keyed, bucket_counts(keyed, group), group, wanted, digits)
     placed = assign_segments(keyed, group, cuts, n_bins - 1, "_segment")
     changed = {}
     for n, (feature, split_points) in enumerate(points.items()):
@@ -126,11 +118,9 @@ def permutation_importance(rows: DataFrame, spec: TableSpec, points: dict[str, l
         # Every row is about to be copied for each feature and repeat: spread the narrow
         # rows first, so a task does not carry all copies of a large input split.
         narrow = as_seen(rows.select(spec.key, fold, *points, spec.target, WEIGHT), points)
-        n = rows.count()  # from the file footers where the table is a written one
-        tasks = _tasks(n * len(points) * repeats)
+        tasks = _tasks(rows.count() * len(points) * repeats)  # counted from the file footers where the table is a written one
         spread = materialize(narrow.repartition(tasks, F.xxhash64(spec.key)), "held-out")
-        digits = _bucket_digits(n)
-        permuted = permuted_rows(spread, spec, points, repeats, seed, fold, digits, portable)
+        permuted = permuted_rows(spread, spec, points, repeats, seed, fold, portable=portable)
         shuffled = accuracies(permuted, fold, "_game").withColumnRenamed("accuracy", "_permuted")
         names = F.array(*[F.lit(f) for f in points])
         feature = F.get(names, F.call_function("div", F.col("_game"), F.lit(repeats)).cast("int"))

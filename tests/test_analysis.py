@@ -44,6 +44,34 @@ def test_spearman_agrees_with_the_library(spark, sf_dir):
         assert r["rho"] == pytest.approx(expected[x][y], abs=1e-12)
 
 
+def test_number_digits_follow_the_order_of_numbers(spark):
+    """Digits never fall as numbers rise and leave few numbers together, whatever the type."""
+    import random
+
+    from profilespark.functions.ranking import number_digits
+
+    rng = random.Random(3)
+    doubles = [0.0, 5e-324, -5e-324, 1e-310, 2.0**-1022, 1.7976931348623157e308, -1.7976931348623157e308, float("inf"), float("-inf")]
+    doubles += [s * 2.0**e * f for s in (1, -1) for e in range(-1000, 1000, 37) for f in (1.0, 1 - 2**-53, 1 + 2**-52, 1.5)]
+    doubles += [rng.random() for _ in range(2000)] + [rng.gauss(0, 1e6) for _ in range(500)]
+    longs = [0, 1, -1, 2**63 - 1, -(2**63), 2**48, 2**32 - 1, -(2**32)] + [rng.randrange(-(2**63), 2**63) for _ in range(500)]
+    for name, values in (("double", sorted(set(doubles))), ("long", sorted(set(longs))), ("int", [-(2**31), -65537, -1, 0, 65535, 65536, 2**31 - 1])):
+        table = spark.createDataFrame([(v,) for v in values], f"v {name}")
+        digits = number_digits(F.col("v"), table.schema["v"].dataType)
+        rows = [tuple(r) for r in table.orderBy("v").select(*[c for _, c in digits]).collect()]
+        assert rows == sorted(rows) and all(c is not None for r in rows for c in r)
+        if name == "double":
+            assert len(set(rows)) > 0.8 * len(rows)
+
+
+def test_rank_correlation_of_fractions(spark):
+    data = spark.range(400).select((F.rand(1) * 1e-3).alias("a"), F.col("id").alias("i"), F.lit(1).alias("Result")).withColumn("b", -F.sqrt("a")).drop("i")
+    rho = {(r[0], r[1]): r[2] for r in eda.spearman_matrix(data, SPEC).collect()}
+    assert rho[("a", "b")] == pytest.approx(-1.0)
+    with pytest.raises(Exception, match="without missing values"):
+        eda.spearman_matrix(data.withColumn("a", F.when(F.col("b") > -0.01, float("nan")).otherwise(F.col("a"))), SPEC).collect()
+
+
 def test_wide_ranks_are_exact(spark):
     """Values far apart fall into different blocks of the two-level rank."""
     data = spark.range(200).select((F.col("id") * 40_000 - 3_000_000).alias("a"), (-F.col("id")).alias("b"), F.lit(1).alias("Result"))

@@ -100,6 +100,21 @@ def test_split_does_not_depend_on_buckets_or_partitions(spark, monkeypatch):
     assert rows_of(splits.stratified_kfold(data.repartition(13), "Result", "row_id", 7)) == first
 
 
+@pytest.mark.parametrize("portable", [True, False])
+def test_cut_keys_sort_only_parts_of_buckets(spark, monkeypatch, portable):
+    """Any widths of buckets and parts give the keys at the wanted ranks; no window holds a bucket."""
+    from profilespark.functions import ranking
+
+    monkeypatch.setattr(ranking, "FINE_DIGITS", 1)
+    data = spark.range(3000).select(F.col("id").alias("row_id"), (F.col("id") % 3).alias("g"))
+    keyed = ranking.with_order_key(data, 5, "row_id", 1, portable)
+    keys = {g: sorted(r["_key"] for r in keyed.where(F.col("g") == g).collect()) for g in range(3)}
+    ranks = {1: 1, 2: 400, 3: 401, 4: 1000}
+    wanted = spark.createDataFrame([(g, c, n) for g in range(3) for c, n in ranks.items()], "g long, _cut int, _rank long")
+    cuts = ranking.cut_keys(keyed, ranking.bucket_counts(keyed, ["g"]), ["g"], wanted, 1)
+    assert {(r["g"], r["_cut"]): r["_cut_key"] for r in cuts.collect()} == {(g, c): keys[g][n - 1] for g in range(3) for c, n in ranks.items()}
+
+
 def test_inner_folds_leave_the_outer_fold_out(spark):
     data = spark.range(60).select(F.col("id").alias("row_id"), (F.col("id") % 2 * 2 - 1).cast("int").alias("Result"))
     outer = splits.stratified_kfold(data, "Result", "row_id", 3)
@@ -181,6 +196,27 @@ def test_arff_without_target_or_with_a_bad_cell(spark, tmp_path):
         arff.load_source(spark, str(tmp_path / "b.arff")).collect()
 
 
+def test_arff_of_several_files(spark, tmp_path):
+    import gzip
+
+    header = "@relation r\n" + "% long header\n" * 9000 + "@attribute name {'@home',b}\n@attribute x numeric\n@DATA\n"
+    (tmp_path / "a.arff").write_text(header + "@home,1\n")
+    (tmp_path / "b.arff.gz").write_bytes(gzip.compress((header + "b,2\n@home,?\n").encode()))
+    table = arff.arff_scan(spark, str(tmp_path))
+    assert table.columns == ["name", "x"]
+    assert rows_of(table.fillna(-1.0)) == [("@home", -1.0), ("@home", 1.0), ("b", 2.0)]
+    # The same columns in another order.
+    (tmp_path / "c.arff").write_text("@relation r\n@attribute x numeric\n@attribute name {'@home',b}\n@data\n1,b\n")
+    with pytest.raises(ValueError, match="differ"):
+        arff.arff_scan(spark, str(tmp_path))
+
+
+def test_arff_without_a_header(spark, tmp_path):
+    (tmp_path / "x.arff").write_text("1,2\n")
+    with pytest.raises(ValueError, match="No attributes"):
+        arff.arff_scan(spark, str(tmp_path / "x.arff"))
+
+
 def test_target_names_are_matched_exactly_and_in_order(spark):
     both = spark.createDataFrame([(1, 2)], "class int, RESULT int")
     assert arff.resolve_target(both).columns == ["Result", "RESULT"]
