@@ -36,6 +36,8 @@ RANDOM_FOREST_SPACE = {
     "classifier__bootstrap": [True, False],
 }
 
+# Seconds of a candidate on a split.
+TIMES = ("fit_time", "score_time")
 K = "feature_selection__k"
 DEPTH = "classifier__max_depth"
 # Complexity of "all features" and "no depth limit" when candidates are compared.
@@ -75,9 +77,14 @@ def random_candidates(spark: SparkSession, space: Mapping[str, Sequence[object]]
 def cv_results(scores: DataFrame, splits: Sequence[int], by: Sequence[str] = ()) -> DataFrame:
     """Mean, population spread and min-rank per candidate, split scores side by side.
 
-    Split scores are added in split order, so equal scores give equal means.
+    Split scores are added in split order, so equal scores give equal means. Where the
+    scores carry ``fit_time`` and ``score_time``, their mean and spread come along.
     """
     by = list(by)
+    timed = [t for t in TIMES if t in scores.columns]
+    times = scores.groupBy(*by, "candidate_id").agg(
+        *[f(t).alias(f"{name}_{t}") for t in timed for name, f in (("mean", F.avg), ("std", F.stddev_pop))]
+    ) if timed else None
     wide = scores.groupBy(*by, "candidate_id").pivot("split", list(splits)).agg(F.first("score"))
     names = [f"split{i}_test_score" for i in range(len(splits))]
     wide = wide.select(*by, "candidate_id", *[F.col(f"`{s}`").alias(n) for s, n in zip(splits, names)])
@@ -87,7 +94,8 @@ def cv_results(scores: DataFrame, splits: Sequence[int], by: Sequence[str] = ())
     off = [F.col(c) - F.col("mean_test_score") for c in names]
     spread = sum((d * d for d in off[1:]), off[0] * off[0])
     order = Window.partitionBy(*(by or [F.lit(0)])).orderBy(F.col("mean_test_score").desc())
-    return wide.withColumn("std_test_score", F.sqrt(spread / n)).withColumn("rank_test_score", F.rank().over(order))
+    results = wide.withColumn("std_test_score", F.sqrt(spread / n)).withColumn("rank_test_score", F.rank().over(order))
+    return results.join(times, [*by, "candidate_id"]) if timed else results
 
 
 def _complexity(value: Column) -> Column:
@@ -120,12 +128,13 @@ def parameters_json(names: Sequence[str]) -> Column:
 
 
 def compact_search_results(chosen: DataFrame, parameters: Sequence[str]) -> DataFrame:
-    """One row per candidate: id, flag, rank, scores, parameters as JSON and as columns."""
+    """One row per candidate: id, flag, rank, scores, parameters as JSON and as columns, times where they were taken."""
+    times = [f"{s}_{t}" for t in TIMES for s in ("mean", "std") if f"mean_{t}" in chosen.columns]
     splits = sorted(c for c in chosen.columns if c.startswith("split") and c.endswith("_test_score"))
     return chosen.select(
         "candidate_id", "selected_by_one_se", "rank_test_score", "mean_test_score", "std_test_score",
         parameters_json(parameters).alias("params"),
-        *[F.col(p).alias(f"param_{p}") for p in sorted(parameters)], *splits,
+        *[F.col(p).alias(f"param_{p}") for p in sorted(parameters)], *splits, *times,
     )
 
 

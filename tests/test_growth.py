@@ -11,7 +11,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from profilespark.operators import cross_validation, growth, models, splits
+from profilespark.operators import cross_validation, growth, models, search, splits
 from profilespark.plans.select_model import SearchPlan, nested_cells
 from profilespark.spec import FAMILIES, SEED, WEIGHT, TableSpec
 
@@ -179,3 +179,16 @@ def test_missing_values_go_right_and_a_constant_table_is_one_leaf(spark, table):
     assert model.score(gap).first().phishing_probability == pytest.approx(last.value)
     flat = models.fit(FAMILIES[0], parameters(), table.withColumns({f: F.lit(1) for f in "abcd"}), SPEC)
     assert len(flat.nodes) == 1 and flat.score(table).count() == 400
+
+
+def test_searches_tell_how_long_fits_and_scores_took(spark, table):
+    candidates = [{"candidate_id": 1, **parameters(max_depth=2)}, {"candidate_id": 2, **parameters(max_depth=3)}]
+    folded = table.withColumn("inner_fold", F.col("row_id") % 3 + 1)
+    counted = growth.cells_of(folded, SPEC, 3, F.col("inner_fold"))
+    scores = cross_validation.search_scores(counted, SPEC, {FAMILIES[0]: {0: candidates}}, 3)
+    assert {(r.candidate_id, r.split) for r in scores.where("fit_time > 0 and score_time > 0").collect()} == {(c, s) for c in (1, 2) for s in (1, 2, 3)}
+    results = search.cv_results(scores, [1, 2, 3])
+    listed = results.withColumns({"selected_by_one_se": F.lit(True), **{n: F.lit(1) for n in ("p", "q")}})
+    table = search.compact_search_results(listed, ["p", "q"])
+    assert table.columns[-4:] == ["mean_fit_time", "std_fit_time", "mean_score_time", "std_score_time"]
+    assert table.where("mean_fit_time > 0 and std_fit_time >= 0 and mean_score_time > 0 and std_score_time >= 0").count() == 2
