@@ -8,9 +8,11 @@ are merged again and again, the fullest window of one with the emptiest of the o
 partition is left, whose windows are nearly equal. Where one exceeds 2048, k rises and the group is
 dealt anew. k starts at the least possible number.
 
-A group has ``GROUP`` to twice as many documents (fewer only where a partition has fewer), so memory
-is bounded by those documents and time by the group's size, whatever the table's. Sequence ids are
-numbered within a partition, so a task that is run again on the same input gives the same rows.
+Whole windows are given as soon as their document is read; only rests, under a window each, wait for
+their group. A group has ``GROUP`` to twice as many of them (fewer only where a partition has fewer),
+so memory is bounded by those rests and the ids of 16 MB of text or one longer text, and time by the
+group's size, whatever the table's. Sequence ids are numbered within a partition, so a task that is
+run again on the same input gives the same rows.
 
 Rows, nulls, ties: a null text is empty and gives the end id alone; a null doc_id is passed on;
 repeated rows are packed as often as they occur; an empty table gives an empty result. Only doc_id
@@ -21,7 +23,8 @@ from __future__ import annotations
 
 import heapq
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from profilespark.llm.common import map_arrow, register, small_batches, table, text_of
+from profilespark.llm.fill_in_middle import by_bytes
 from profilespark.llm.tokens import REMEMBERED, WORD_BPE, word_ids
 
 WINDOW = 2048
@@ -89,52 +93,54 @@ def balanced_windows(sizes: np.ndarray, capacity: int = WINDOW) -> tuple[np.ndar
         k += max(1, int(k * (fullest - capacity) / capacity / 2))
 
 
-def _cut(n: int, window: int, piece: int) -> list[int]:
-    """Lengths of the pieces of the n ids that are left of a document after its whole windows."""
-    rest = n % window
+def _cut(rest: int, piece: int) -> list[int]:
+    """Lengths of the pieces of the ids that are left of a document after its whole windows."""
     parts = -(-rest // piece)
     return [rest // parts + (j < rest % parts) for j in range(parts)]
 
 
-def pack_group(docs: list[tuple[int | None, bytes]], first_sequence: int, window: int = WINDOW, piece: int = PIECE) -> tuple[list[tuple], int]:
-    """Rows of ``PIECES`` for documents given as (doc_id, ids), and the number of sequences."""
-    rows, pieces, used = [], [], 0
-
-    def row(doc: int, start: int, length: int, sequence: int, offset: int) -> tuple:
-        doc_id, ids = docs[doc]
-        return doc_id, start, length, zlib.crc32(ids[4 * start:4 * (start + length)]), len(ids) // 4, first_sequence + sequence, offset
-
-    for doc, (_, ids) in enumerate(docs):
-        n, start = len(ids) // 4, 0
-        while n - start >= window:
-            rows.append(row(doc, start, window, used, 0))
-            start, used = start + window, used + 1
-        for length in _cut(n, window, piece):
-            pieces.append((doc, start, length))
-            start += length
-    if pieces:
-        where, k = balanced_windows(np.array([p[2] for p in pieces]), window)
-        filled = [0] * k
-        for (doc, start, length), w in zip(pieces, where.tolist()):
-            rows.append(row(doc, start, length, used + w, filled[w]))
-            filled[w] += length
-        # A window that got no piece is no sequence: number those that did without gaps.
-        number = {used + w: used + i for i, w in enumerate(w for w in range(k) if filled[w])}
-        rows = [r if r[5] - first_sequence < used else (*r[:5], first_sequence + number[r[5] - first_sequence], r[6]) for r in rows]
-        used += len(number)
-    return rows, used
-
-
-def _groups(docs: Iterable[tuple[int | None, bytes]], size: int) -> Iterator[list[tuple[int | None, bytes]]]:
-    """Groups of size to 2 * size - 1 documents; fewer only if there are fewer."""
-    held: list = []
-    for doc in docs:
-        held.append(doc)
-        if len(held) == 2 * size:
-            yield held[:size]
-            held = held[size:]
-    if held:
-        yield held
+@dataclass(frozen=True, slots=True)
+class Rest:
+    """What is left of a document after its whole windows: where it starts, its ids, and the ids of the whole document."""
+
+    doc_id: int | None
+    start: int
+    ids: bytes
+    doc_tokens: int
+
+
+def whole_windows(doc_id: int | None, ids: bytes, first_sequence: int, window: int = WINDOW) -> tuple[list[tuple], Rest]:
+    """Rows of ``PIECES`` for the windows that a document fills, and its rest."""
+    n = len(ids) // 4
+    rows = [
+        (doc_id, at, window, zlib.crc32(ids[4 * at:4 * (at + window)]), n, first_sequence + i, 0)
+        for i, at in enumerate(range(0, n - n % window, window))
+    ]
+    return rows, Rest(doc_id, n - n % window, ids[4 * (n - n % window):], n)
+
+
+def pack_group(rests: list[Rest], first_sequence: int, window: int = WINDOW, piece: int = PIECE) -> tuple[list[tuple], int]:
+    """Rows of ``PIECES`` for the rests of documents, and the number of sequences."""
+    pieces = []
+    for rest in rests:
+        at = 0
+        for length in _cut(len(rest.ids) // 4, piece):
+            pieces.append((rest, at, length))
+            at += length
+    if not pieces:
+        return [], 0
+    where, k = balanced_windows(np.array([p[2] for p in pieces]), window)
+    # A window that gets no piece is no sequence: those that do are numbered without gaps.
+    number = {w: first_sequence + i for i, w in enumerate(sorted(set(where.tolist())))}
+    rows, filled = [], [0] * k
+    for (rest, at, length), w in zip(pieces, where.tolist()):
+        rows.append((rest.doc_id, rest.start + at, length, zlib.crc32(rest.ids[4 * at:4 * (at + length)]), rest.doc_tokens, number[w], filled[w]))
+        filled[w] += length
+    return rows, len(number)
+
+
+def _record(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=_NAMES)
 
 
 def pack(docs: DataFrame, tokenizer: str = WORD_BPE, window: int = WINDOW, piece: int = PIECE, group: int = GROUP,
@@ -143,16 +149,24 @@ def pack(docs: DataFrame, tokenizer: str = WORD_BPE, window: int = WINDOW, piece
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = word_ids(tokenizer, remembered)
-
-        def tokenized() -> Iterator[tuple[int | None, bytes]]:
-            for batch in small_batches(batches):
-                yield from zip(batch.column("doc_id").to_pylist(), [ids + _END for ids in encode(batch.column("text").to_pylist())])
-
         sequence = TaskContext.get().partitionId() << 33
-        for members in _groups(tokenized(), group):
-            rows, used = pack_group(members, sequence, window, piece)
-            sequence += used
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=_NAMES)
+        held: list[Rest] = []
+        for batch in small_batches(by_bytes(batches)):
+            whole = []
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text").to_pylist())):
+                rows, rest = whole_windows(doc_id, ids + _END, sequence, window)
+                sequence += len(rows)
+                whole += rows
+                if rest.ids:
+                    held.append(rest)
+                if len(held) == 2 * group:
+                    rows, used = pack_group(held[:group], sequence, window, piece)
+                    held, sequence = held[group:], sequence + used
+                    yield _record(rows)
+            if whole:
+                yield _record(whole)
+        if held:
+            yield _record(pack_group(held, sequence, window, piece)[0])
 
     return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")), packed, PIECES)
 

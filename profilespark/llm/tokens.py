@@ -3,7 +3,8 @@
 The tokenizer drops white space and never joins across it, so a text's ids are those of its chunks
 one after the other. Most chunks of a corpus repeat; the library sees each new one once per worker
 until the memory is full and starts over, so it stays bounded. ``tests/llm`` compares the ids with
-the library's on whole texts.
+the library's on whole texts. Chunks of more than ``LONGEST`` characters are not remembered, so the
+memory is bounded in bytes as well.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from tokenizers import Tokenizer, pre_tokenizers
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 #: Chunks that a worker remembers, and pieces of chunks.
 REMEMBERED = 400_000
+#: Characters of a chunk that is remembered.
+LONGEST = 64
 
 #: Printable ASCII and the letters of Latin-1: no normal form but case changes them.
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
@@ -50,7 +53,7 @@ class WordIds:
     def _learn(self, chunks: list[str]) -> dict[str, bytes]:
         plain, other = [], []
         for c in chunks:
-            (plain if _PLAIN.fullmatch(c) and "'" not in c and "<|" not in c else other).append(c)
+            (plain if len(c) <= LONGEST and _PLAIN.fullmatch(c) and "'" not in c and "<|" not in c else other).append(c)
         cut = [_PIECES.findall(c.lower()) for c in plain]
         new = list({p for pieces in cut for p in pieces if p not in self.pieces})
         if len(self.pieces) + len(new) > self.remembered:
@@ -61,7 +64,7 @@ class WordIds:
         learnt.update(zip(other, map(_packed, self.whole.encode_batch_fast(other, add_special_tokens=False))))
         if len(self.chunks) + len(learnt) > self.remembered:
             self.chunks.clear()
-        self.chunks.update(learnt)
+        self.chunks.update((c, ids) for c, ids in learnt.items() if len(c) <= LONGEST)
         return learnt
 
     def __call__(self, texts: list[str]) -> list[bytes]:

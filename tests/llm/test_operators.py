@@ -456,6 +456,14 @@ def test_padding_is_little(spark, sf_dir):
     assert sum(filled) / (len(filled) * packing.WINDOW) > 0.97
 
 
+def test_long_texts_and_chunks_are_packed_whole(spark):
+    """Texts of many windows, texts that fill their last one, and chunks too long to be remembered, in few groups."""
+    texts = {0: "alpha beta " * 4000, 1: "x" * 5000 + " y", 2: "word " * (packing.WINDOW - 1), 3: "QUJD/+=" * 900, 4: "", 5: "one " * 3000}
+    texts |= {i: f"short text {i} " + "filler " * (i % 40) for i in range(6, 60)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(2)
+    check_pieces(packing.pack(docs, group=8, remembered=30).collect(), texts)
+
+
 def test_differencing_balances_and_raises_the_count():
     rng = np.random.default_rng(1)
     for n in (0, 1, 2, 50, 700):
