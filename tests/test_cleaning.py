@@ -217,6 +217,17 @@ def test_arff_without_a_header(spark, tmp_path):
         arff.arff_scan(spark, str(tmp_path / "x.arff"))
 
 
+def test_arff_parts_without_a_header_go_on_with_the_rows(spark, tmp_path):
+    (tmp_path / "a.arff").write_text("1,b\r\n2,'@data'\r\n" + "3,c\n" * 50_000 + "@attribute z numeric\n@data\n")
+    (tmp_path / "b.arff").write_text("% head\n@attribute x numeric\n@attribute name {b,c,'@data'}\n@data\n% rows\n")
+    (tmp_path / "c.arff").write_text("")
+    table = arff.arff_scan(spark, str(tmp_path))
+    assert table.columns == ["x", "name"] and table.count() == 50_002
+    assert rows_of(table.where("x < 3")) == [(1.0, "b"), (2.0, "@data")]
+    # A file is read no further than its first row.
+    assert arff.header_attributes(spark, str(tmp_path / "a.arff")) == []
+
+
 def test_target_names_are_matched_exactly_and_in_order(spark):
     both = spark.createDataFrame([(1, 2)], "class int, RESULT int")
     assert arff.resolve_target(both).columns == ["Result", "RESULT"]
