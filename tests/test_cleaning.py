@@ -115,6 +115,29 @@ def test_cut_keys_sort_only_parts_of_buckets(spark, monkeypatch, portable):
     assert {(r["g"], r["_cut"]): r["_cut_key"] for r in cuts.collect()} == {(g, c): keys[g][n - 1] for g in range(3) for c, n in ranks.items()}
 
 
+@pytest.mark.parametrize("portable", [True, False])
+@pytest.mark.parametrize("same", [1, 400])
+def test_segment_sums_of_one_pass(spark, monkeypatch, portable, same):
+    """The sums of placed rows, with and without keys that repeat too much for the windows; few rows wait for their cut."""
+    from profilespark.functions import ranking
+
+    data = spark.range(8000).select((F.col("id").cast("long") - F.col("id") % same).alias("row_id"), (F.col("id") % 2).alias("g"), (F.col("id") % 5).alias("c"))
+    keyed = ranking.with_order_key(data, 5, "row_id", 1, portable)
+    ranks = {1: 0, 2: 1, 3: 1700, 4: 1701, 5: 4000}
+    wanted = spark.createDataFrame([(g, c, n, 4000) for g in range(2) for c, n in ranks.items()], "g long, _cut int, _rank long, _size long")
+    cuts = ranking.cut_keys(keyed, ranking.bucket_counts(keyed, ["g"]), ["g"], wanted.where("_rank > 0"), 1)
+    placed = ranking.assign_segments(keyed, ["g"], cuts, 5, "s").groupBy("g", "c", "s").agg(F.sum("row_id").alias("t"))
+    general, written = ranking.cut_keys, {}
+    monkeypatch.setattr(ranking, "cut_keys", lambda *a: written.update(general=True) or general(*a))
+    plain = ranking.materialize
+    monkeypatch.setattr(ranking, "materialize", lambda df, name, *a: written.setdefault(name, plain(df, name, *a)))
+    sums = ranking.segment_sums(keyed, ["g"], wanted, 5, ["c"], {"t": F.col("row_id")}, "s", 1)
+    assert rows_of(sums) == rows_of(placed)
+    assert ("general" in written) == (same > 1)
+    if same == 1:
+        assert written["segments"].where("_open is not null").count() < 8000 / 4
+
+
 def test_inner_folds_leave_the_outer_fold_out(spark):
     data = spark.range(60).select(F.col("id").alias("row_id"), (F.col("id") % 2 * 2 - 1).cast("int").alias("Result"))
     outer = splits.stratified_kfold(data, "Result", "row_id", 3)
