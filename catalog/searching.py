@@ -14,7 +14,7 @@ from catalog.measuring import BY, METRICS_SQL
 from catalog.registry import query, r, rounded, sql_round
 from profilespark.functions.exprs import union_results
 from profilespark.operators import cross_validation, metrics, search
-from profilespark.operators.splits import repeated_kfold
+from profilespark.operators.splits import repeated_kfold_sums
 from profilespark.session import materialize
 from profilespark.sources import tables
 from profilespark.spec import FAMILIES
@@ -222,10 +222,10 @@ N_TRIAL_SPLITS = 4
 
 def _trial_scores(spark, d):
     rows = i.predictions(spark, d).where(F.col("model") == TREE)
-    dealt = repeated_kfold(rows, "row_id", TRIALS, N_TRIAL_SPLITS, "split")
+    histogram = repeated_kfold_sums(rows, "row_id", TRIALS, ["p1000"], i.masses(), N_TRIAL_SPLITS, "split")
     by = ["trial", "split"]
     at = i.candidates(spark, TREE).select("candidate_id", i.operating_point(F.col("candidate_id")).alias("threshold"))
-    scores = i.threshold_scores(i._histogram(dealt, by), by).join(F.broadcast(at), "threshold").select(*by, "candidate_id", "score")
+    scores = i.threshold_scores(histogram, by).join(F.broadcast(at), "threshold").select(*by, "candidate_id", "score")
     return materialize(scores, "trial-scores")  # read for the search and for each held-out fold
 
 
