@@ -138,6 +138,16 @@ def test_segment_sums_of_one_pass(spark, monkeypatch, portable, same):
         assert written["segments"].where("_open is not null").count() < 8000 / 4
 
 
+def test_running_totals_bound_the_cells_of_a_task(spark, monkeypatch):
+    from profilespark.functions import ranking
+
+    monkeypatch.setattr(ranking, "CELLS_PER_TASK", 100)
+    cells = spark.range(2000).select(F.lit("f").alias("g"), F.col("id").alias("v"), F.lit(1).alias("n"))
+    totals = ranking.running_totals(cells, ["g"], [("_d1", F.shiftright("v", 4))], "v", ["n"])
+    assert totals.where("cum_n = v + 1").count() == 2000
+    assert max(r["count"] for r in totals.groupBy(F.spark_partition_id()).count().collect()) < 600
+
+
 def test_inner_folds_leave_the_outer_fold_out(spark):
     data = spark.range(60).select(F.col("id").alias("row_id"), (F.col("id") % 2 * 2 - 1).cast("int").alias("Result"))
     outer = splits.stratified_kfold(data, "Result", "row_id", 3)
