@@ -13,6 +13,8 @@ from profilespark.session import materialize
 
 #: A document stays if its language holds at least this share of its n-grams.
 MIN_LANGUAGE_SCORE = 0.2
+#: Chunks whose tokens a worker remembers: the workers keep them while the other stages run.
+REMEMBERED = 100_000
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +41,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of at most 2048 tokens."""
-    return pack(docs)
+    return pack(docs, remembered=REMEMBERED)
 
 
 STAGES = [
