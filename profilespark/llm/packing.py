@@ -153,7 +153,7 @@ def pack(docs: DataFrame, tokenizer: str = WORD_BPE, window: int = WINDOW, piece
         held: list[Rest] = []
         for batch in small_batches(by_bytes(batches)):
             whole = []
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text").to_pylist())):
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text"))):
                 rows, rest = whole_windows(doc_id, ids + _END, sequence, window)
                 sequence += len(rows)
                 whole += rows

@@ -485,6 +485,26 @@ def test_remembered_chunks_stay_bounded():
     assert len(small.chunks) <= 400
 
 
+def test_new_pieces_reach_the_tokenizer_many_at_a_time():
+    class Counted:
+        def __init__(self, inner):
+            self.inner, self.texts = inner, 0
+
+        def encode_batch_fast(self, texts, **options):
+            self.texts += len(texts)
+            return self.inner.encode_batch_fast(texts, **options)
+
+    texts = [" ".join(f"w{a}{b}ä{c}." for b in "abcdefghij" for c in "klmnopqrst") for a in "abcdefghij"]
+    texts += ["", " \u2003 ", "\x85a\u2028</w> < / w >", "a\x1cb </w>"]
+    own, unmarked = WordIds(), WordIds()
+    own.bare = Counted(own.bare)
+    want = [np.array(own.whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert own(texts) == want and own.bare.texts <= 10
+    assert own(pa.array(["x", *texts]).slice(1)) == want and own([]) == []
+    unmarked.last[:] = False  # as a vocabulary that does not tell where a piece ends
+    assert unmarked(texts) == want
+
+
 # Mixing
 
 
