@@ -3,6 +3,8 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from catalog.cleaning import write_arff
+from catalog.inputs import order_profiles
 from profilespark.operators import dedup, eda, quality, splits
 from profilespark.functions.exprs import union_results
 from profilespark.plans.explore import explore
@@ -261,6 +263,16 @@ def test_arff_parts_without_a_header_go_on_with_the_rows(spark, tmp_path):
     assert arff.header_attributes(spark, str(tmp_path / "a.arff")) == []
 
 
+@pytest.mark.parametrize("treatment", ["raw"])
+def test_experiments_prepare_every_row_of_their_parts(spark, sf_dir, tmp_path, treatment):
+    profiles = order_profiles(spark, sf_dir).drop("row_id")
+    source = arff.load_source(spark, write_arff(spark, sf_dir))
+    prepared = prepare(source, TableSpec.infer(source), treatment, str(tmp_path / "prepared"))
+    want = profiles if treatment == "raw" else profiles.distinct()
+    names = sorted(profiles.columns)
+    assert rows_of(prepared.select(*names)) == rows_of(want.select(*names))
+
+
 def test_target_names_are_matched_exactly_and_in_order(spark):
     both = spark.createDataFrame([(1, 2)], "class int, RESULT int")
     assert arff.resolve_target(both).columns == ["Result", "RESULT"]
