@@ -263,7 +263,7 @@ def test_arff_parts_without_a_header_go_on_with_the_rows(spark, tmp_path):
     assert arff.header_attributes(spark, str(tmp_path / "a.arff")) == []
 
 
-@pytest.mark.parametrize("treatment", ["raw"])
+@pytest.mark.parametrize("treatment", ["raw", "exact"])
 def test_experiments_prepare_every_row_of_their_parts(spark, sf_dir, tmp_path, treatment):
     profiles = order_profiles(spark, sf_dir).drop("row_id")
     source = arff.load_source(spark, write_arff(spark, sf_dir))
