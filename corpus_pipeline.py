@@ -14,7 +14,7 @@ from profilespark.session import materialize
 #: A document stays if its language holds at least this share of its n-grams.
 MIN_LANGUAGE_SCORE = 0.2
 #: Chunks whose tokens a worker remembers: the workers keep them while the other stages run.
-REMEMBERED = 100_000
+REMEMBERED = 25_000
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

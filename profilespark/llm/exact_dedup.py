@@ -23,7 +23,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -56,22 +55,22 @@ def directory(rows: DataFrame, page_bytes: int = PAGE_BYTES, max_depth: int = MA
 
     The byte counts of the cells, 2^max_depth numbers at most, are all that the doubling needs.
     """
-    counts = rows.groupBy(_cell(max_depth).alias("cell")).agg(F.sum(F.octet_length("bare") + F.lit(64)).cast("long").alias("bytes")).toPandas()
+    counts = rows.groupBy(_cell(max_depth).alias("cell")).agg(F.sum(F.octet_length("bare") + F.lit(64)).cast("long").alias("bytes")).toArrow()
     load = np.zeros(1 << max_depth, np.int64)
-    load[counts["cell"].to_numpy(np.int64)] = counts["bytes"].to_numpy(np.int64)
+    cells = np.sort(counts["cell"].to_numpy())
+    load[counts["cell"].to_numpy()] = counts["bytes"].to_numpy()
     capacity = max(page_bytes, int(load.sum()) * 4 >> max_depth)
     depth = np.full(load.size, max_depth)
     for bits in range(max_depth, -1, -1):  # the last that is written is the fewest bits at which the bucket fits
         held = load.reshape(1 << bits, -1).sum(axis=1)
         depth[np.repeat(held <= capacity, load.size >> bits)] = bits
-    cells = np.sort(counts["cell"].to_numpy(np.int64))
-    found = pd.DataFrame({
-        "cell": cells.astype(np.int32),
-        "bucket": (cells >> (max_depth - depth[cells]) << (max_depth - depth[cells])).astype(np.int32),
-        "pages": np.maximum(1, -(-load[cells] // capacity)).astype(np.int32) * (depth[cells] == max_depth) + (depth[cells] < max_depth),
+    # An Arrow table, as pandas would stay in every worker that imports this module.
+    found = pa.table({
+        "cell": pa.array(cells, pa.int32()),
+        "bucket": pa.array(cells >> (max_depth - depth[cells]) << (max_depth - depth[cells]), pa.int32()),
+        "pages": pa.array(np.where(depth[cells] == max_depth, np.maximum(1, -(-load[cells] // capacity)), 1), pa.int32()),
     })
-    found["pages"] = found["pages"].astype(np.int32)
-    return rows.sparkSession.createDataFrame(found, "cell int, bucket int, pages int")
+    return rows.sparkSession.createDataFrame(found)
 
 
 class _Chain:

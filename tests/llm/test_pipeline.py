@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import collections
+import os
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from profilespark.llm import exact_dedup, mixing
+from profilespark.llm.common import map_arrow
 from tests.llm.tables import documents, frame, odd_rows
 from tests.llm.test_operators import brute_classes
 
@@ -80,3 +84,36 @@ def test_whole_pipeline(spark, sf_dir):
     single = [p for p in pieces if tokens[p.doc_id] == whole[p.doc_id]]
     assert len(single) > 10
     assert corpus_pipeline.ORACLE_SQL is None and docs.where(F.col("doc_id").isNull()).count() == 0
+
+
+def _hoarding(batches):
+    """Frees 60 MB below something that stays; tells its process and its memory at start and end."""
+    import os
+
+    import pyarrow as pa
+
+    def kb():
+        return next(int(line.split()[1]) for line in open("/proc/self/status") if line.startswith("RssAnon"))
+
+    for batch in batches:
+        start = kb()
+        held = [bytes(2_000) for _ in range(30_000 * batch.column("n")[0].as_py())]
+        if held:
+            pa.stays = bytes(2_000)
+        del held
+        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (os.getpid(), start, kb())], names=["pid", "start", "end"])
+
+
+def test_a_worker_gives_back_what_a_task_freed(spark):
+    """Workers wait beside the executor's heap until the next stage needs them."""
+    schema = "pid long, start long, end long"
+    hoarder = map_arrow(spark.range(1, 2, 1, 1).select(F.col("id").alias("n")), _hoarding, schema).collect()[0]
+    assert hoarder.end > hoarder.start + 30_000
+    later = map_arrow(spark.range(0, 96, 1, 96).select(F.lit(0).alias("n")), _hoarding, schema).collect()
+    found = [r.start for r in later if r.pid == hoarder.pid]
+    assert found and max(found) < hoarder.start + (hoarder.end - hoarder.start) / 2
+
+
+def test_workers_of_the_index_do_not_load_pandas():
+    code = "import sys, profilespark.llm.exact_dedup; sys.exit('pandas' in sys.modules)"
+    assert subprocess.run([sys.executable, "-c", code], env={**os.environ, "PYTHONPATH": os.pathsep.join(sys.path)}).returncode == 0
