@@ -9,8 +9,8 @@ fingerprints agree in a bin with probability J + (1 - J) / 2^BITS, which the est
 corrected for (P. Li, A. C. König, "b-Bit Minwise Hashing", 2010).
 
 All of it is expressions on the row, in time proportional to the text. The first filled bin in a sequence is
-looked for in the first ``ATTEMPTS`` places; where they are all empty (in texts of few shingles) the filled
-bin that comes first in the sequence is chosen by its place there, which is the same bin.
+looked for in the first ``ATTEMPTS`` places; where they are all empty, or ``FEW`` bins are filled at most (in texts
+of few shingles), the filled bin that comes first in the sequence is chosen by its place there, which is the same bin.
 
 Rows, nulls, ties: a null text is empty; a text without words has the empty fingerprint, which is like another
 empty one (1) and unlike any other (0); a text of one to four words is one shingle; repeated rows
@@ -21,6 +21,7 @@ columns cannot clash.
 from __future__ import annotations
 
 import random
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -32,7 +33,9 @@ SHINGLE = 5
 BIN_BITS, BITS = 9, 4
 BINS = 1 << BIN_BITS
 #: Places of a bin's sequence that are tried before the filled bins are ranked.
-ATTEMPTS = 16
+ATTEMPTS = 64
+#: Filled bins that are ranked at once, as that is less work than trying places.
+FEW = 10
 #: The sequence of bin j is (START[j] + STEP[j] t) mod PRIME for t = 0, 1, ...; a prime over BINS, so it visits every bin.
 PRIME = 521
 _RNG = random.Random(12)
@@ -60,44 +63,55 @@ def _fixed(values: list[int], kind: str = "int") -> Column:
 
 def _shingle_hashes(words: str) -> Column:
     """Hashes of all runs of five words, given the hashes of the words."""
-    starts = F.sequence(F.lit(0), F.size(words) - SHINGLE)
-    return F.transform(starts, lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(SHINGLE)]))
+    starts = F.slice(words, F.lit(1), F.size(words) - SHINGLE + 1)
+    return F.transform(starts, lambda w, i: F.xxhash64(w, *[F.get(words, i + k) for k in range(1, SHINGLE)]))
 
 
 def _bin(h: Column) -> Column:
     return F.shiftright(h, _REST)
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once per row, however often it is named."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def with_fingerprint(rows: DataFrame, text: str, name: str) -> DataFrame:
     """Adds the packed fingerprint of a text column: an array of 64-bit numbers, null for a text without words.
 
-    Each step is a column of its own, so that no array is built anew per element.
+    Each step is a column of its own or the value of ``_let``, so that no array is built anew per element.
     """
-    words, hashes, bins, filled = (f"{name}_{c}" for c in ("words", "sorted", "bins", "filled"))
+    words, hashes, bins = (f"{name}_{c}" for c in ("words", "sorted", "bins"))
     rows = rows.withColumn(words, F.transform(words_of(F.lower(text)), lambda w: F.xxhash64(w)))
     # A text of fewer words is one shingle, of all its words.
     few = F.array(F.aggregate(words, F.lit(42).cast("long"), lambda a, w: F.xxhash64(a, w)))
     shingles = F.when(F.size(words) >= SHINGLE, _shingle_hashes(words)).otherwise(few)
-    # The end of each bin is sorted along, so every bin has a least value; an empty bin's is its end.
-    ends = _fixed([(j + 1 << _REST) - 1 - (1 << 63) for j in range(BINS)], "bigint")
-    rows = rows.withColumn(hashes, F.when(F.size(words) > 0, F.sort_array(F.concat(shingles, ends)))).drop(words)
-    least = F.filter(hashes, lambda h, i: (i == 0) | (_bin(h) != _bin(F.get(hashes, i - 1))))
-    rows = rows.withColumn(bins, least).drop(hashes)
-    rows = rows.withColumn(bins, F.transform(bins, lambda h: F.when(h.bitwiseAND(_END) != _END, h)))
-    rows = rows.withColumn(filled, F.filter(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda i: F.get(bins, i).isNotNull()))
-    rows = rows.withColumn(bins, F.transform(bins, lambda h, j: F.coalesce(h, *_borrowed(bins, filled, j)))).drop(filled)
+    # The end of each bin is sorted along, so every bin has a least value; an empty bin's is its end. The sequences (of
+    # bins below 0 and from 0) hold no null, which lets Spark sort plain numbers.
+    ends = [F.sequence(F.lit(_END - (1 << 63)), F.lit(-1).cast("bigint"), F.lit(1 << _REST)), F.sequence(F.lit(_END), F.lit((1 << 63) - 1), F.lit(1 << _REST))]
+    rows = rows.withColumn(hashes, F.when(F.size(words) > 0, F.sort_array(F.concat(shingles, *ends)))).drop(words)
+    # Before the first hash stands null, which is in no bin.
+    least = F.filter(hashes, lambda h, i: ~_bin(h.bitwiseXOR(F.get(hashes, i - 1))).eqNullSafe(0))
+    rows = rows.withColumn(bins, _let(F.transform(least, lambda h: F.when(h.bitwiseAND(_END) != _END, h)), _filled_up)).drop(hashes)
     digit = lambda a, h: F.shiftleft(a, BITS).bitwiseOR(h.bitwiseAND((1 << BITS) - 1))
     packed = F.transform(F.sequence(F.lit(0), F.lit(BINS // _DIGITS - 1)), lambda w: F.aggregate(
         F.slice(bins, w * _DIGITS + 1, _DIGITS), F.lit(0).cast("bigint"), digit))
     return rows.withColumn(name, F.when(F.col(bins).isNotNull(), packed)).drop(bins)
 
 
-def _borrowed(bins: str, filled: str, j: Column) -> list[Column]:
-    """The values of the first places of an empty bin's sequence, and that of the filled bin that comes first in it."""
+def _filled_up(bins: Column) -> Column:
+    """The bins, each empty one (null) with the value that it borrows."""
+    filled = F.filter(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda i: F.get(bins, i).isNotNull())
+    return _let(filled, lambda f: F.transform(bins, lambda h, j: F.coalesce(h, _borrowed(bins, f, j))))
+
+
+def _borrowed(bins: Column, filled: Column, j: Column) -> Column:
+    """The value of the first filled bin in an empty bin's sequence."""
     tried = [F.get(bins, F.get(_fixed([(a + b * t) % PRIME for a, b in zip(START, STEP)]), j)) for t in range(ATTEMPTS)]
     start, back = F.get(_fixed(START), j), F.get(_fixed(BACK), j)
     ranked = F.transform(filled, lambda i: F.pmod((i - start) * back, F.lit(PRIME)) * BINS + i)
-    return [*tried, F.get(bins, F.pmod(F.array_min(ranked), F.lit(BINS)))]
+    first = F.get(bins, F.pmod(F.array_min(ranked), F.lit(BINS)))
+    return F.when(F.size(filled) <= FEW, first).otherwise(F.coalesce(*tried, first))
 
 
 def fingerprint_text(packed: Column) -> Column:

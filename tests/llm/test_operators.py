@@ -642,6 +642,16 @@ def test_likeness_estimates_the_similarity_of_shingles(spark):
         assert abs(r.x - len(sets[0] & sets[r.doc_id]) / len(sets[0] | sets[r.doc_id])) < 0.09
 
 
+def test_fingerprints_build_no_array_anew_per_bin(spark):
+    """The filled bins are listed once per text, not once per empty bin whose first places are all empty."""
+    found = fingerprints.fingerprints(frame(spark, [(1, "a few words of one short text", None, None, 0)]))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    borrowed = plan[plan.index("coalesce(lambda"):]
+    depth = list(itertools.accumulate((c == "(") - (c == ")") for c in borrowed))
+    borrowed = borrowed[:depth.index(0, len("coalesce("))]
+    assert "array_min" in borrowed and "filter(" not in borrowed
+
+
 @pytest.mark.parametrize("ids", [[None] * 30, [7] * 30, [None] * 9 + [3] * 9 + list(range(9)), [5]])
 def test_next_document_where_ids_are_shared_or_null(spark, ids):
     rows = [(i, f"text {k % 12}", None, None, 0) for k, i in enumerate(ids)]
