@@ -136,6 +136,35 @@ def test_draws_follow_the_poisson_distribution(spark):
         assert mean == pytest.approx(n, rel=0.03) and variance == pytest.approx(n, rel=0.06)
 
 
+def test_a_draw_takes_one_digest_and_not_one_per_element(spark):
+    drawn = spark.createDataFrame([(3, "s/1")], "n bigint, text string").select(growth.poisson_draw(F.col("n"), F.col("text")))
+    plan = drawn._jdf.queryExecution().optimizedPlan().toString()
+    inner = plan[plan.index("filter("):]
+    assert "md5(" not in inner[:inner.index("false)")]
+
+
+def test_profiles_of_a_small_file_of_cells_are_made_by_many_tasks(spark, table, monkeypatch):
+    made, members = [], growth._members
+    monkeypatch.setattr(growth, "MEMBERS_PER_TASK", 100)
+    monkeypatch.setattr(growth, "_members", lambda *a: made.append(members(*a)) or made[-1])
+    counted = growth.cells_of(table, SPEC, 1, F.lit(1))
+    fits = [growth.fit_of(FAMILIES[1], {"n_estimators": 6}, [0, 1, 2, 3])]
+    (spread,) = growth.grow(counted, fits)
+    assert "repartition" in made[0]._jdf.queryExecution().logical().toString().lower()
+    monkeypatch.setattr(growth, "MEMBERS_PER_TASK", 10**9)
+    (single,) = growth.grow(counted, fits)
+    nodes = lambda g: sorted(map(tuple, g.nodes.select("tree", "node", "level", "n", "place", "cut").collect()), key=str)
+    assert "repartition" not in made[1]._jdf.queryExecution().logical().toString().lower()
+    assert nodes(spread) == nodes(single)
+    assert all(node.bit_length() - 1 == level for _, node, level, *_ in nodes(single))
+
+
+def test_levels_follow_from_the_numbers_of_nodes(spark):
+    numbers = [1, 2, 3, 4, 7, 8, 2**growth.MAX_DEPTH]
+    found = spark.createDataFrame([(n,) for n in numbers], "node bigint").select("node", growth._level().alias("level")).collect()
+    assert {r.node: r.level for r in found} == {n: n.bit_length() - 1 for n in numbers}
+
+
 def test_a_forest_costs_as_much_as_there_are_profiles(spark, table):
     """Thousand copies of every row make the same number of cells, so every step sees the same number of rows."""
     many = table.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(1000))))
