@@ -79,6 +79,44 @@ def test_wide_ranks_are_exact(spark):
     assert rho[("a", "b")] == pytest.approx(-1.0)
 
 
+def _shuffled_by(table):
+    return table._jdf.queryExecution().executedPlan().toString().count("hashpartitioning")
+
+
+def test_pairs_of_values_are_never_grouped(spark, monkeypatch):
+    """Only profiles and ranks are shuffled, once for each feature with many values; ranks of others are broadcast."""
+    spec = TableSpec(features=("a", "b", "c"))
+    data = spark.range(300).select(F.col("id").alias("a"), (F.col("id") * 7 % 300 / 3).alias("b"), (F.col("id") % 2).alias("c"), F.lit(1).alias("Result"))
+    looked_up = eda.spearman_matrix(data, spec)
+    assert _shuffled_by(looked_up) == 0
+    expected = data.select("a", "b", "c").toPandas().corr("spearman")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        monkeypatch.setattr(eda, "BROADCAST_VALUES", 2)
+        joined = eda.spearman_matrix(data, spec)
+        assert _shuffled_by(joined) == 4
+        for rows in (looked_up.collect(), joined.collect()):
+            assert len(rows) == 9 and all(r["rho"] == pytest.approx(expected[r["feature_1"]][r["feature_2"]], abs=1e-12) for r in rows)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_rank_correlation_of_odd_tables(spark):
+    """Rows that come twice, features of several types, both zeros, rows without a multiplicity, no rows, missing values."""
+    spec = TableSpec(features=("a", "b", "c"))
+    rows = [(1, -0.0, 1, 2), (1, 0.0, 1, 2), (2, 0.5, 3, 1), (3, 0.25, 3, 3), (3, 0.25, 3, 3), (-7, 1e300, 2, 1), (4, -1.5, 9, None)]
+    data = spark.createDataFrame(rows, "a int, b double, c int, n long").withColumn("c", F.col("c").cast("decimal(10,2)")).withColumn("Result", F.lit(1))
+    for given, by in ((data, spec), (data, spec.with_(multiplicity="n"))):
+        plain = pd.DataFrame([r[:3] for r in rows for _ in range((r[3] or 0) if by.multiplicity else 1)], columns=["a", "b", "c"]).corr("spearman")
+        found = eda.spearman_matrix(given, by).collect()
+        assert len(found) == 9 and all(r["rho"] == pytest.approx(plain[r["feature_1"]][r["feature_2"]], abs=1e-12) for r in found)
+    assert eda.spearman_matrix(data.limit(0), spec).collect() == []
+    for gap in ("a", "b", "c"):
+        with pytest.raises(Exception, match="without missing values"):
+            eda.spearman_matrix(data.withColumn(gap, F.when(F.col("a") > 0, F.col(gap))), spec).collect()
+
+
 def test_class_without_mass_has_no_imbalance_ratio(spark):
     value = {r["statistic"]: r["value"] for r in eda.dataset_statistics(frame(spark, [(1, 1, 1), (2, 2, 1)]), SPEC).collect()}
     assert value[eda.IMBALANCE] is None
