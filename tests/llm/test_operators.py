@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from profilespark.llm import exact_dedup, fill_in_middle, filter_audit, fingerprints, language_id, licenses, line_dedup, mixing, near_dedup, packing, quality_rules, shingles, token_counts, warc
 from profilespark.llm.queries import ORACLES, QUERIES
 from profilespark.llm.tokens import WordIds
+from profilespark.session import materialize
 from tests.llm.tables import changed, documents, frame, odd_rows, prose
 from tests.oracle_check import compare
 
@@ -349,6 +350,41 @@ def test_a_small_language_beside_a_large_one(spark, folder):
     assert judged[2001].word_distance > judged[1000].word_distance and judged[2000].char_distance > 0.3 and judged[2002].word_distance is None
 
 
+def _wordy(spark):
+    """Languages with common words among rare ones, each once; cases, a null text and lang, an empty text and rows that come twice."""
+    rows = [(i, " ".join(f"The the {k}w{i} Of\t" for k in range(100)), "en", "s", 0) for i in range(100)]
+    rows += [(200 + i, "ÉTÉ été " * 4 + " ".join(f"r{k}x{i}" for k in range(1992)), None, "s", 0) for i in range(3)]  # 8 of 2,000: above 1/500
+    rows += [(300 + i, "just " * 2 + " ".join(f"q{k}x{i}" for k in range(998)), "at", "s", 0) for i in range(6)]  # 1/500 exactly
+    rows += [(400 + i, "under " + " ".join(f"u{k}x{i}" for k in range(998)), "no", "s", 0) for i in range(6)]
+    rows += [(500, "few words", "xx", "s", 0), (501, None, "en", "s", 0), (502, "", None, "s", 0), (503, "hot " * 6000, "", "s", 0)]
+    return rows + rows[:7] + rows[-4:]
+
+
+def test_rare_words_are_not_shuffled(spark, monkeypatch):
+    written = {}
+    monkeypatch.setattr(quality_rules, "materialize", lambda df, name: written.setdefault(name, materialize(df, name)))
+    quality_rules.common_words(frame(spark, _wordy(spark)))
+    assert 0 < written["vocabulary"].count() < 1500  # of 28,000 different words
+
+
+@pytest.mark.parametrize("buckets", [1, 7, 4096])
+def test_common_words_do_not_depend_on_buckets(spark, monkeypatch, buckets):
+    monkeypatch.setattr(quality_rules, "BUCKETS", buckets, raising=False)
+    rows = _wordy(spark)
+    found = {None if r.no_lang else r.language: r for r in quality_rules.common_words(frame(spark, rows)).collect()}
+    counts = collections.defaultdict(collections.Counter)
+    for _, text, lang, *_ in rows:
+        counts[lang].update((text or "").lower().split())
+    plain = {}
+    for lang, n in counts.items():
+        if sum(n.values()) >= quality_rules.REFERENCE_WORDS and (listed := sorted(w for w in n if n[w] * 500 >= sum(n.values()))):
+            plain[lang] = (listed, [n[w] for w in listed], sum(n.values()))
+    assert sorted(map(str, plain)) == ["", "None", "at", "en"] and plain["en"][0] == ["of", "the"] and plain["at"][0] == ["just"]
+    assert {k: (r.common, r.word_counts[:-1], r.word_total) for k, r in found.items()} == plain
+    assert all(sum(r.word_counts) == r.word_total for r in found.values())
+    assert quality_rules.common_words(frame(spark, rows[:0])).count() == 0
+
+
 # Line dedup
 
 
